@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import features, identity
+from ..operators import features, identity, recipients
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -178,3 +178,65 @@ def t1(spark, sf_dir):
 def m3(spark, sf_dir):
     t = tables(spark, sf_dir)
     return edge(features.send_probability(features.send_features(t, WIN), t.send_params()))
+
+
+# ------------------------------------------------------------- recipients ---
+def _scores(t: FixtureTables) -> DataFrame:
+    return features.send_probability(features.send_features(t, WIN), t.send_params())
+
+
+def _score_log(t: FixtureTables, scores: DataFrame) -> DataFrame:
+    """Score log as read back by T2: history plus this run's rows."""
+    return t.score_history().unionByName(recipients.score_log_rows(scores, WIN))
+
+
+@query("s6_score_log_rows")
+def s6(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return edge(recipients.score_log_rows(_scores(t), WIN))
+
+
+@query("p9_trailing_window")
+def p9(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return edge(recipients.trailing(t.score_history(), WIN))
+
+
+@query("a5_sent_in_window")
+def a5(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return recipients.sent_in_window(_score_log(t, _scores(t)), WIN)
+
+
+@query("a6_eligible")
+def a6(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return recipients.eligible(_score_log(t, _scores(t)), WIN)
+
+
+@query("p12_threshold_split")
+def p12(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return recipients.threshold_bands(_scores(t)).select("email", "band")
+
+
+@query("l3_fraction_sample")
+def l3(spark, sf_dir):
+    """L3 over the whole click-derived identity map: 45 % of all emails."""
+    t = tables(spark, sf_dir)
+    return recipients.fraction_sample(t.email_uuids().select("email").distinct(),
+                                      config.FRACTION_SEND)
+
+
+@query("t2_select_recipients")
+def t2(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    scores = _scores(t)
+    return recipients.select_recipients(scores, _score_log(t, scores), WIN)
+
+
+@query("u1_union_by_name")
+def u1(spark, sf_dir):
+    """Score log read back -- history and this run's rows, by name."""
+    t = tables(spark, sf_dir)
+    return edge(_score_log(t, _scores(t)))

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     """Session for tests and the bench; on a cluster use the cluster's own."""
     builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

@@ -113,3 +113,41 @@ PROB = (f"select s.email, 1.0 / (1.0 + exp(-((select weight from send_params whe
         f" + {_w}))) as send_pred from scaled s")
 FEAT_CTES3 = dict(FEAT_CTES2, probs=PROB)
 q("m3_send_probability", "select email, round(send_pred, 6) as send_pred from probs", **FEAT_CTES3)
+
+# ------------------------------------------------------------- recipients ---
+RUN_TS = f"TIMESTAMP '{W.run_text}'"
+RUN_ROWS = f"select email, send_pred as prob, {RUN_TS} as timestamp, false as send_flag from probs"
+SCORE_LOG = f"select email, prob, timestamp, send_flag from send_model_output union all {RUN_ROWS}"
+SENT = (f"select email, case when bool_or(send_flag) then 1 else 0 end as sent from score_log "
+        f"where timestamp >= {RUN_TS} - interval {config.RESEND_BLOCK_HOURS} hours group by 1")
+ELIGIBLE = "select email from sent where sent = 0"
+BANDED = (f"select email, send_pred, case when send_pred >= {config.SEND_THRESHOLD} then 'over' "
+          f"when send_pred < {config.SEND_THRESHOLD} then 'under' end as band from probs "
+          "where email in (select email from eligible)")
+
+
+def hash_take(src: str, key: str, frac: float, seed: str = config.SAMPLE_SEED) -> str:
+    """First round_half_even(frac * n) rows of ``src`` in md5(seed || key) order."""
+    return (f"select * exclude (_rn, _n) from (select *, row_number() over "
+            f"(order by md5('{seed}' || {key}), {key}) as _rn, count(*) over () as _n "
+            f"from ({src}) s) r where _rn <= round_even({frac} * _n, 0)")
+
+
+REC_CTES = dict(FEAT_CTES3, score_log=SCORE_LOG, sent=SENT, eligible=ELIGIBLE, banded=BANDED)
+q("s6_score_log_rows", f"select email, round(prob, 6) as prob, strftime(timestamp, '%Y-%m-%d %H:%M:%S') "
+  "as timestamp, send_flag from run_rows", run_rows=RUN_ROWS, **FEAT_CTES3)
+q("p9_trailing_window", "select email, round(prob, 6) as prob, strftime(timestamp, '%Y-%m-%d %H:%M:%S') "
+  f"as timestamp, send_flag from send_model_output where timestamp >= {RUN_TS} - interval "
+  f"{config.RESEND_BLOCK_HOURS} hours")
+q("a5_sent_in_window", "select email, sent from sent", **REC_CTES)
+q("a6_eligible", "select email from eligible", **REC_CTES)
+q("p12_threshold_split", f"select email, case when send_pred >= {config.SEND_THRESHOLD} then 'over' "
+  f"when send_pred < {config.SEND_THRESHOLD} then 'under' end as band from probs "
+  "where send_pred is not null", **FEAT_CTES3)
+q("l3_fraction_sample", hash_take("select distinct email from email_uuids", "email",
+                                  config.FRACTION_SEND))
+q("t2_select_recipients", "select email from banded where band = 'over' union all "
+  + hash_take("select email from banded where band = 'under'", "email", config.FRACTION_SEND),
+  **REC_CTES)
+q("u1_union_by_name", "select email, round(prob, 6) as prob, strftime(timestamp, '%Y-%m-%d %H:%M:%S') "
+  "as timestamp, send_flag from score_log", **REC_CTES)

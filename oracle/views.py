@@ -158,7 +158,7 @@ def _order(names, extra: dict[str, str]):
 def with_views(body: str, ctes: dict[str, str] | None = None) -> str:
     """Prefix ``body`` with every derived view (and extra CTE) it mentions."""
     extra = dict(ctes or {})
-    text = body + " ".join(extra.values())
+    text = body + " " + " ".join(extra.values())
     wanted = [n for n in list(VIEWS) + list(extra) if re.search(rf"\b{re.escape(n)}\b", text)]
     order = _order(wanted, extra)
     parts = [f"{n} as ({extra.get(n, VIEWS.get(n))})" for n in order]
