@@ -64,3 +64,36 @@ def hash_sample(df: DataFrame, key: str, seed: str, take: Callable[[Column], Col
     bucket = F.conv(F.substring("_h", 1, HASH_BUCKET_HEX), 16, 10).cast("int")
     ranked = rank_in_group(x, group_cols, bucket, [F.col("_h"), F.col(key)])
     return ranked.where(F.col("_rank") <= take(F.col("_total"))).drop("_h", "_rank", "_total")
+
+
+def dense_index(df: DataFrame, col: str, index_col: str = "idx",
+                partitions: int | None = None) -> DataFrame:
+    """Sorted distinct values of ``col`` numbered 0..n-1 (a fitted label
+    encoder), without a single-partition window.
+
+    Distinct values are range-partitioned and sorted inside each partition;
+    ``monotonically_increasing_id`` then gives the position inside a
+    partition, and a running sum over the per-partition counts (one row per
+    partition) gives each partition's offset.  The numbered values are
+    checkpointed (written once to the shared checkpoint folder) before the
+    two uses, so both see the same range boundaries, also after a lost
+    executor; a fitted vocabulary is a model artefact and is kept anyway.
+    """
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if partitions:
+        values = values.repartitionByRange(partitions, col)
+    else:
+        values = values.repartitionByRange(col)
+    values = (values.sortWithinPartitions(col)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_mono", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    offsets = (values.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(
+                   Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset")))
+    local = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33)
+    return (values.join(F.broadcast(offsets), "_part")
+            .select(col, (F.col("_offset") + local).cast("int").alias(index_col)))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import features, identity, recipients
+from ..operators import features, identity, recipients, sequences
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -240,3 +240,123 @@ def u1(spark, sf_dir):
     """Score log read back -- history and this run's rows, by name."""
     t = tables(spark, sf_dir)
     return edge(_score_log(t, _scores(t)))
+
+
+# -------------------------------------------------------------- sequences ---
+def _train_rows(spark, sf_dir, start=config.TRAIN_START) -> DataFrame:
+    return sequences.training_views(tables(spark, sf_dir), start)
+
+
+def _seq_text(df: DataFrame) -> DataFrame:
+    return df.select("email", "activity_type", "chunk",
+                     F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+@query("m1_vocabulary")
+def m1(spark, sf_dir):
+    return sequences.fit_vocabulary(_train_rows(spark, sf_dir))
+
+
+@query("w3_sequences")
+def w3(spark, sf_dir):
+    rows = _train_rows(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(rows)
+    return _seq_text(sequences.to_sequences(sequences.encode(rows, vocab)))
+
+
+@query("w3_sequences_step3")
+def w3_step3(spark, sf_dir):
+    """W3 with overlapping windows (length 10, step 3)."""
+    rows = _train_rows(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(rows)
+    return _seq_text(sequences.to_sequences(sequences.encode(rows, vocab), step=3))
+
+
+@query("w4_session_sample")
+def w4(spark, sf_dir):
+    return sequences.session_sample(_train_rows(spark, sf_dir))
+
+
+@query("w4_session_sample_short")
+def w4_short(spark, sf_dir):
+    return sequences.session_sample(_train_rows(spark, sf_dir, config.TRAIN_START_SHORT))
+
+
+def _split(spark, sf_dir):
+    rows = _train_rows(spark, sf_dir)
+    return rows, sequences.train_test_split(rows)
+
+
+@query("j16_semi_join")
+def j16(spark, sf_dir):
+    """Training rows whose activity occurs in a sampled test session."""
+    _, parts = _split(spark, sf_dir)
+    return parts["train"].select("email", "session_id", "activity_type", "activity",
+                                 F.unix_seconds("activity_dt").alias("sec"))
+
+
+@query("j17_anti_join")
+def j17(spark, sf_dir):
+    """Rows outside the sampled test sessions."""
+    rows = _train_rows(spark, sf_dir)
+    picked = sequences.session_sample(rows, by=["activity_type"]).select("activity_type",
+                                                                         "session_id")
+    return (rows.join(picked, ["activity_type", "session_id"], "left_anti")
+            .select("email", "session_id", "activity_type", "activity",
+                    F.unix_seconds("activity_dt").alias("sec")))
+
+
+@query("u2_keys_both_sides")
+def u2(spark, sf_dir):
+    """Test rows restricted to activities present in train."""
+    _, parts = _split(spark, sf_dir)
+    return parts["test"].select("email", "session_id", "activity_type", "activity",
+                                F.unix_seconds("activity_dt").alias("sec"))
+
+
+@query("t4_train_test_split")
+def t4(spark, sf_dir):
+    rows, parts = _split(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(rows)
+    out = None
+    for name in ("train", "test", "full"):
+        s = _seq_text(sequences.to_sequences(sequences.encode(parts[name], vocab)))
+        s = s.withColumn("split", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def _recipients(t: FixtureTables) -> DataFrame:
+    scores = _scores(t)
+    return recipients.select_recipients(scores, _score_log(t, scores), WIN)
+
+
+def _t3(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(sequences.training_views(t, config.TRAIN_START))
+    rows = sequences.scoring_views(t, WIN)
+    return t, vocab, rows, sequences.activity_sequences(rows, _recipients(t), vocab)
+
+
+@query("p13_known_vocabulary")
+def p13(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(sequences.training_views(t, config.TRAIN_START))
+    rows = sequences.scoring_views(t, WIN)
+    return sequences.known_vocabulary(rows, vocab).select(
+        "email", "session_id", F.unix_seconds("activity_dt").alias("sec"), "activity",
+        "activity_type", "color_code")
+
+
+@query("p14_type_split")
+def p14(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    rows = sequences.scoring_views(t, WIN)
+    return rows.where(F.col("activity_type") == "pid").select(
+        "email", "session_id", F.unix_seconds("activity_dt").alias("sec"), "activity", "color_code")
+
+
+@query("t3_activity_sequences")
+def t3(spark, sf_dir):
+    _, _, _, out = _t3(spark, sf_dir)
+    return _seq_text(out["sequences"])

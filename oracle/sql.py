@@ -151,3 +151,94 @@ q("t2_select_recipients", "select email from banded where band = 'over' union al
   **REC_CTES)
 q("u1_union_by_name", "select email, round(prob, 6) as prob, strftime(timestamp, '%Y-%m-%d %H:%M:%S') "
   "as timestamp, send_flag from score_log", **REC_CTES)
+
+# -------------------------------------------------------------- sequences ---
+
+
+def act_views(lo_cond: str, color: str) -> str:
+    return (f"select eu.email, c.session_id, c.timestamp // 1000 as sec, {ACT} as activity, "
+            f"{ACT_TYPE} as activity_type, {color} as color_code "
+            "from clickstream_page_views c join email_uuids eu on c.user_uuid = eu.uuid "
+            f"where ({PDP} <> '' or {CAT} <> '') and {lo_cond} and c.host in ({HOSTS})")
+
+
+TRAIN_VIEWS = act_views(f"c.timestamp > {config.ms(config.TRAIN_START)}", COLOR_RAW)
+TRAIN_VIEWS_SHORT = act_views(f"c.timestamp > {config.ms(config.TRAIN_START_SHORT)}", COLOR_RAW)
+SCORE_VIEWS = act_views(f"c.timestamp >= {W.seq_lo} and c.timestamp < {W.seq_hi}", COLOR)
+VOCAB = ("select activity, cast(row_number() over (order by activity) - 1 as integer) as idx "
+         "from (select distinct activity from train_views) d")
+
+
+def seqs(src: str, step: int = config.SEQUENCE_STEP, length: int = config.MAX_SEQUENCE_LENGTH,
+         extra: str = "") -> str:
+    """Windows of ``length`` items ending at the newest, stepping back by ``step``."""
+    ranked = (f"select r.*, v.idx + 1 as item, row_number() over (partition by {extra} email, "
+              "activity_type order by sec desc, session_id desc, r.activity desc) - 1 as q "
+              f"from ({src}) r join vocab v on r.activity = v.activity")
+    windows = (f"select x.*, k.chunk from ({ranked}) x, "
+               f"(select unnest(range(0, 100000)) as chunk) k "
+               f"where k.chunk * {step} <= x.q and x.q < k.chunk * {step} + {length}")
+    return (f"select {extra} email, activity_type, cast(chunk as integer) as chunk, "
+            f"repeat('0,', {length} - count(*)) || string_agg(cast(item as varchar), ',' "
+            f"order by q desc) as items from ({windows}) w group by all")
+
+
+SEQ_CTES = dict(train_views=TRAIN_VIEWS, vocab=VOCAB)
+q("m1_vocabulary", "select activity, idx from vocab", **SEQ_CTES)
+q("w3_sequences", seqs("select * from train_views"), **SEQ_CTES)
+q("w3_sequences_step3", seqs("select * from train_views", step=3), **SEQ_CTES)
+
+
+def sample_sessions(src: str) -> str:
+    return ("select activity_type, email, session_id from (select *, row_number() over "
+            f"(partition by activity_type, email order by md5('{config.SAMPLE_SEED}' || session_id), "
+            "session_id) as rn, count(*) over (partition by activity_type, email) as n from "
+            f"(select distinct activity_type, email, session_id from ({src}) s) d) r "
+            f"where rn <= case when n >= {config.SESSION_SAMPLE_MIN} then "
+            f"round_even({config.SESSION_SAMPLE_FRACTION} * n, 0) else 1 end")
+
+
+def sample_sessions_by_email(src: str) -> str:
+    return ("select email, session_id from (select *, row_number() over "
+            f"(partition by email order by md5('{config.SAMPLE_SEED}' || session_id), session_id) "
+            "as rn, count(*) over (partition by email) as n from "
+            f"(select distinct email, session_id from ({src}) s) d) r "
+            f"where rn <= case when n >= {config.SESSION_SAMPLE_MIN} then "
+            f"round_even({config.SESSION_SAMPLE_FRACTION} * n, 0) else 1 end")
+
+
+q("w4_session_sample", sample_sessions_by_email("select * from train_views"), **SEQ_CTES)
+q("w4_session_sample_short", sample_sessions_by_email("select * from train_views_short"),
+  train_views_short=TRAIN_VIEWS_SHORT)
+
+SPLIT_CTES = dict(
+    SEQ_CTES,
+    picked=sample_sessions("select * from train_views"),
+    test0="select * from train_views t where (activity_type, session_id) in "
+          "(select (activity_type, session_id) from picked)",
+    rest="select * from train_views t where (activity_type, session_id) not in "
+         "(select (activity_type, session_id) from picked)",
+    train="select * from rest where (activity_type, activity) in "
+          "(select (activity_type, activity) from test0)",
+    test="select * from test0 where (activity_type, activity) in "
+         "(select (activity_type, activity) from train)",
+)
+ROWS5 = "email, session_id, activity_type, activity, sec"
+q("j16_semi_join", f"select {ROWS5} from train", **SPLIT_CTES)
+q("j17_anti_join", f"select {ROWS5} from rest", **SPLIT_CTES)
+q("u2_keys_both_sides", f"select {ROWS5} from test", **SPLIT_CTES)
+q("t4_train_test_split", " union all ".join(
+    f"select *, '{n}' as split from ({seqs(f'select * from {src}')}) s{n}"
+    for n, src in (("train", "train"), ("test", "test"), ("full", "train_views"))), **SPLIT_CTES)
+
+RECIP = ("select email from banded where band = 'over' union all "
+         + hash_take("select email from banded where band = 'under'", "email", config.FRACTION_SEND))
+T3_CTES = dict(REC_CTES, **SEQ_CTES, recip=RECIP, score_views=SCORE_VIEWS,
+               chosen="select * from score_views where email in (select email from recip) "
+                      "and activity in (select activity from vocab)")
+q("p13_known_vocabulary", "select email, session_id, sec, activity, activity_type, color_code "
+  "from score_views where activity in (select activity from vocab)",
+  score_views=SCORE_VIEWS, **SEQ_CTES)
+q("p14_type_split", "select email, session_id, sec, activity, color_code from score_views "
+  "where activity_type = 'pid'", score_views=SCORE_VIEWS)
+q("t3_activity_sequences", seqs("select * from chosen"), **T3_CTES)
