@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import features, identity, recipients, sequences
+from ..operators import affinity, features, identity, recipients, sequences
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -360,3 +360,53 @@ def p14(spark, sf_dir):
 def t3(spark, sf_dir):
     _, _, _, out = _t3(spark, sf_dir)
     return _seq_text(out["sequences"])
+
+
+# --------------------------------------------------------------- affinity ---
+def _full_model(spark, sf_dir):
+    rows = _train_rows(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(rows)
+    seqs = sequences.to_sequences(sequences.encode(rows, vocab))
+    return rows, vocab, seqs, affinity.fit(seqs)
+
+
+@query("m4_affinity_fit")
+def m4(spark, sf_dir):
+    _, _, _, model = _full_model(spark, sf_dir)
+    return edge(affinity.transition_probabilities(model))
+
+
+@query("m5_affinity_score")
+def m5(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    _, vocab, _, model = _full_model(spark, sf_dir)
+    run = sequences.activity_sequences(sequences.scoring_views(t, WIN), _recipients(t), vocab)
+    cands = run["views"].select("email", "activity_type", "activity", "item").distinct()
+    return edge(affinity.score(cands, run["sequences"], model))
+
+
+def _evaluation(spark, sf_dir, fit_on_full: bool = False):
+    rows, parts = _split(spark, sf_dir)
+    vocab = sequences.fit_vocabulary(rows)
+    seq = {n: sequences.to_sequences(sequences.encode(parts[n], vocab))
+           for n in ("train", "test", "full")}
+    fit_seq = seq["full" if fit_on_full else "train"]
+    model = affinity.fit(fit_seq)
+    return affinity.reciprocal_ranks(seq["test"], model, affinity.universe_of(fit_seq))
+
+
+@query("m6_reciprocal_rank")
+def m6(spark, sf_dir):
+    return edge(_evaluation(spark, sf_dir))
+
+
+@query("a13_mean_reciprocal_rank")
+def a13(spark, sf_dir):
+    return edge(affinity.mean_reciprocal_rank(_evaluation(spark, sf_dir)))
+
+
+@query("m7_model_record")
+def m7(spark, sf_dir):
+    version = WIN.run_ms // 1000
+    return edge(affinity.model_record(affinity.mean_reciprocal_rank(_evaluation(spark, sf_dir)),
+                                      version))

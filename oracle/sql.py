@@ -242,3 +242,83 @@ q("p13_known_vocabulary", "select email, session_id, sec, activity, activity_typ
 q("p14_type_split", "select email, session_id, sec, activity, color_code from score_views "
   "where activity_type = 'pid'", score_views=SCORE_VIEWS)
 q("t3_activity_sequences", seqs("select * from chosen"), **T3_CTES)
+
+# --------------------------------------------------------------- affinity ---
+
+
+def ranked(src: str) -> str:
+    return (f"select r.*, v.idx + 1 as item, row_number() over (partition by email, activity_type "
+            "order by sec desc, session_id desc, r.activity desc) - 1 as q "
+            f"from ({src}) r join vocab v on r.activity = v.activity")
+
+
+def model_ctes(prefix: str, ranked_name: str) -> dict[str, str]:
+    """Count tables of the affinity model fitted on the ranked rows."""
+    L = config.MAX_SEQUENCE_LENGTH
+    return {
+        f"{prefix}icnt": f"select activity_type, item, count(*) as item_count from {ranked_name} "
+                         "group by all",
+        f"{prefix}tot": f"select activity_type, cast(sum(item_count) as bigint) as total "
+                        f"from {prefix}icnt group by all",
+        f"{prefix}pairs": f"select a.activity_type, a.item as src, b.item as dst, count(*) as pair_count "
+                          f"from {ranked_name} a join {ranked_name} b on a.email = b.email and "
+                          "a.activity_type = b.activity_type and b.q = a.q - 1 and "
+                          f"a.q // {L} = b.q // {L} group by all",
+        f"{prefix}srcc": f"select activity_type, src, cast(sum(pair_count) as bigint) as src_count "
+                         f"from {prefix}pairs group by all",
+    }
+
+
+M4_CTES = dict(SEQ_CTES, fr=ranked("select * from train_views"), **model_ctes("f_", "fr"))
+q("m4_affinity_fit",
+  "select p.activity_type, p.src, p.dst, p.pair_count, s.src_count, "
+  "round((p.pair_count + 1.0 * i.item_count / t.total) / (s.src_count + 1.0), 6) as prob "
+  "from f_pairs p join f_srcc s on p.activity_type = s.activity_type and p.src = s.src "
+  "join f_icnt i on i.activity_type = p.activity_type and i.item = p.dst "
+  "join f_tot t on t.activity_type = p.activity_type", **M4_CTES)
+
+M5_CTES = dict(T3_CTES, **M4_CTES, cr=ranked("select * from chosen"))
+q("m5_affinity_score",
+  "select c.email, c.activity, c.activity_type, round((coalesce(p.pair_count, 0) + "
+  "coalesce(1.0 * i.item_count / t.total, 0.0)) / (coalesce(s.src_count, 0) + 1.0), 6) as pred "
+  "from (select distinct email, activity_type, activity, item from cr) c "
+  "join (select email, activity_type, item as src from cr where q = 0) l "
+  "  on c.email = l.email and c.activity_type = l.activity_type "
+  "left join f_icnt i on i.activity_type = c.activity_type and i.item = c.item "
+  "left join f_tot t on t.activity_type = c.activity_type "
+  "left join f_pairs p on p.activity_type = c.activity_type and p.src = l.src and p.dst = c.item "
+  "left join f_srcc s on s.activity_type = c.activity_type and s.src = l.src", **M5_CTES)
+
+L_ = config.MAX_SEQUENCE_LENGTH
+EVAL = f"""
+    select e.activity_type, e.email, e.chunk, e.src, e.item,
+      1.0 / (1 + count(*) filter (where u.cji > e.cjt or (u.cji = e.cjt and u.ci > e.ct))
+             + (count(*) filter (where u.cji = e.cjt and u.ci = e.ct) - 1) / 2.0) as rr
+    from (select s.*, coalesce(p.pair_count, 0) as cjt, coalesce(i.item_count, 0) as ct
+          from (select t.activity_type, t.email, t.q // {L_} as chunk, t.item,
+                  coalesce(p.item, 0) as src
+                from ter t left join ter p on p.email = t.email and
+                  p.activity_type = t.activity_type and p.q = t.q + 1 and p.q // {L_} = t.q // {L_}
+                where t.q % {L_} = 0) s
+          left join t_pairs p on p.activity_type = s.activity_type and p.src = s.src and p.dst = s.item
+          left join t_icnt i on i.activity_type = s.activity_type and i.item = s.item) e
+    join (select x.activity_type, x.item, x.src, coalesce(p.pair_count, 0) as cji,
+            coalesce(i.item_count, 0) as ci
+          from (select m.activity_type, r.item, s.src
+                from (select activity_type, max(item) as mx from trr group by all) m,
+                     unnest(range(0, 1000000)) r(item),
+                     (select distinct activity_type, src from (select t.activity_type,
+                        coalesce(p.item, 0) as src from ter t left join ter p on p.email = t.email
+                        and p.activity_type = t.activity_type and p.q = t.q + 1
+                        and p.q // {L_} = t.q // {L_} where t.q % {L_} = 0) z) s
+                where r.item <= m.mx and s.activity_type = m.activity_type) x
+          left join t_pairs p on p.activity_type = x.activity_type and p.src = x.src and p.dst = x.item
+          left join t_icnt i on i.activity_type = x.activity_type and i.item = x.item) u
+      on u.activity_type = e.activity_type and u.src = e.src
+    group by all"""
+EVAL_CTES = dict(SPLIT_CTES, trr=ranked("select * from train"), ter=ranked("select * from test"),
+                 **model_ctes("t_", "trr"), eval=EVAL)
+q("m6_reciprocal_rank", "select activity_type, email, cast(chunk as integer) as chunk, src, item, "
+  "round(rr, 6) as rr from eval", **EVAL_CTES)
+q("a13_mean_reciprocal_rank", "select activity_type, round(avg(rr), 6) as mrr, count(*) as sequences "
+  "from eval group by all", **EVAL_CTES)
