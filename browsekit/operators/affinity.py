@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .. import config
+from ..session import materialize
 
 K = ("activity_type",)
 
@@ -45,14 +46,17 @@ def fit(sequences: DataFrame) -> dict[str, DataFrame]:
     ``items``: ``(activity_type, item, item_count, total)``;
     ``transitions``: ``(activity_type, src, dst, pair_count, src_count)``.
     Every count is a map-side-combined aggregate, so a hot item costs one
-    partial row per task before the shuffle.
+    partial row per task before the shuffle.  The tables are the fitted
+    model, written once to the checkpoint folder.
     """
-    counts = _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count"))
+    counts = materialize(
+        _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")))
     totals = counts.groupBy(*K).agg(F.sum("item_count").alias("total"))
-    items = counts.join(F.broadcast(totals), list(K))
-    pairs = _pairs(sequences).groupBy(*K, "src", "dst").agg(F.count(F.lit(1)).alias("pair_count"))
+    items = materialize(counts.join(F.broadcast(totals), list(K)))
+    pairs = materialize(
+        _pairs(sequences).groupBy(*K, "src", "dst").agg(F.count(F.lit(1)).alias("pair_count")))
     src = pairs.groupBy(*K, "src").agg(F.sum("pair_count").alias("src_count"))
-    return {"items": items, "transitions": pairs.join(src, [*K, "src"])}
+    return {"items": items, "transitions": materialize(pairs.join(src, [*K, "src"]))}
 
 
 def transition_probabilities(model: dict[str, DataFrame],

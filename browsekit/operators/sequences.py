@@ -23,6 +23,7 @@ from ..config import RunWindow
 from ..functions import parse
 from .features import host_filter, window_filter
 from .identity import attach_email
+from ..session import materialize
 from .ranking import dense_index, hash_sample, rank_in_group
 
 ORDER = ("activity_dt", "session_id", "activity")
@@ -162,8 +163,8 @@ def activity_sequences(rows: DataFrame, users: DataFrame, vocab: DataFrame) -> d
     """
     chosen = known_vocabulary(rows.join(users.select("email").distinct(), "email", "left_semi"),
                               vocab)
-    encoded = encode(chosen, vocab)
-    seqs = to_sequences(encoded)
+    encoded = materialize(encode(chosen, vocab))
+    seqs = materialize(to_sequences(encoded))
     return {
         "views": encoded,
         "sequences": seqs,

@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import affinity, features, identity, recipients, sequences
+from ..operators import (affinity, features, identity, inventory, outbox, recipients, recommend,
+                         sequences)
+from ..session import materialize
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -410,3 +412,250 @@ def m7(spark, sf_dir):
     version = WIN.run_ms // 1000
     return edge(affinity.model_record(affinity.mean_reciprocal_rank(_evaluation(spark, sf_dir)),
                                       version))
+
+
+# -------------------------------------------------------------- inventory ---
+def _stocked(t: FixtureTables) -> DataFrame:
+    return inventory.in_stock(inventory.inventory_from_events(t.inventory_events()))
+
+
+@query("s3_latest_snapshot")
+def s3(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return inventory.latest_event(t.inventory_events()).select(
+        "id", "type", F.length("event").alias("event_chars"))
+
+
+@query("s4_inventory_events")
+def s4(spark, sf_dir):
+    return inventory.inventory_from_events(tables(spark, sf_dir).inventory_events())
+
+
+@query("s4_inventory_upper_limit")
+def s4_upper(spark, sf_dir):
+    return inventory.inventory_from_events(tables(spark, sf_dir).inventory_events(), upper_limit=3)
+
+
+@query("s5_inventory_reply")
+def s5(spark, sf_dir):
+    return inventory.inventory_from_reply(tables(spark, sf_dir).inventory_reply())
+
+
+@query("p17_stock_predicate")
+def p17(spark, sf_dir):
+    """SKU rows of the catalogue that are in stock."""
+    t = tables(spark, sf_dir)
+    return (inventory.variant_skus(t.skus())
+            .join(_stocked(t).select(F.col("sku").alias("upc")), "upc", "left_semi"))
+
+
+@query("s12_variant_skus")
+def s12(spark, sf_dir):
+    return inventory.variant_skus(tables(spark, sf_dir).skus())
+
+
+@query("j3_sales_star")
+def j3(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return edge(inventory.sales_rows(t.orders_fact(), t.variants(), t.skus()))
+
+
+@query("a8_latest_sizes")
+def a8(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return inventory.latest_sizes(t.orders_fact(), t.variants(), t.skus())
+
+
+@query("w1_latest_row")
+def w1(spark, sf_dir):
+    """W1 on lower-cased emails (the flag A4 uses)."""
+    t = tables(spark, sf_dir)
+    return inventory.latest_sizes(t.orders_fact(), t.variants(), t.skus(), lower_email=True)
+
+
+@query("p10_category_suffix")
+def p10(spark, sf_dir):
+    return inventory.shoe_departments(tables(spark, sf_dir).variants())
+
+
+@query("j4_sku_sizes")
+def j4(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return inventory.sku_sizes(t.variants(), t.skus(), t.active_products())
+
+
+@query("p11_condition_filter")
+def p11(spark, sf_dir):
+    return (tables(spark, sf_dir).skus().where(F.col("damage_level_id") == 1)
+            .select("product_variant_id", "upc", "identifier"))
+
+
+@query("j18_existence_flag")
+def j18(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    rows = inventory.sku_sizes(t.variants(), t.skus(), t.active_products())
+    return inventory.with_stock_flag(rows, _stocked(t)).select("upc", "has_inventory")
+
+
+@query("a9_color_stock_share")
+def a9(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    prods = inventory.sku_sizes(t.variants(), t.skus(), t.active_products())
+    return edge(inventory.color_stock_share(prods, _stocked(t)))
+
+
+# Predictions for every user over the whole training window (clean colours),
+# so the stock check sees thousands of rows rather than one run's users.
+def _all_predictions(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    lo = config.ms(config.TRAIN_START)
+    views = features.window_filter(t.page_views(lo, None, strict_lo=True), lo, None, strict_lo=True)
+    rows = sequences.activity_views(views, t.email_uuids(), clean_color=True)
+    vocab = sequences.fit_vocabulary(rows)
+    enc = materialize(sequences.encode(rows, vocab))
+    seqs = materialize(sequences.to_sequences(enc))
+    model = affinity.fit(seqs)
+    cands = enc.select("email", "activity_type", "activity", "item").distinct()
+    preds = materialize(affinity.score(cands, seqs, model))
+    pid_rows = rows.where(F.col("activity_type") == "pid").select("email", "activity", "color_code")
+    return t, preds, pid_rows
+
+
+def _t5_input(spark, sf_dir):
+    t, preds, pid_rows = _all_predictions(spark, sf_dir)
+    pid_preds = recommend.product_predictions(preds.where(F.col("activity_type") == "pid"), pid_rows)
+    cat_preds = recommend.category_predictions(preds.where(F.col("activity_type") == "cgid"))
+    mapped = recommend.category_to_product(cat_preds, t.category_map())
+    return t, pid_preds, cat_preds, mapped
+
+
+@query("a7_color_lists")
+def a7(spark, sf_dir):
+    _, _, pid_rows = _all_predictions(spark, sf_dir)
+    return edge(recommend.color_lists(pid_rows))
+
+
+@query("j13_color_join")
+def j13(spark, sf_dir):
+    _, pid_preds, _, _ = _t5_input(spark, sf_dir)
+    return edge(pid_preds)
+
+
+@query("p15_category_allow_list")
+def p15(spark, sf_dir):
+    _, _, cat_preds, _ = _t5_input(spark, sf_dir)
+    return edge(cat_preds.drop("color_code"))
+
+
+@query("j12_category_to_product")
+def j12(spark, sf_dir):
+    _, _, _, mapped = _t5_input(spark, sf_dir)
+    return edge(mapped.drop("color_code"))
+
+
+def _user_sizes(spark, sf_dir):
+    t, pid_preds, _, mapped = _t5_input(spark, sf_dir)
+    preds = pid_preds.unionByName(mapped)
+    latest = inventory.latest_sizes(t.orders_fact(), t.variants(), t.skus(),
+                                    emails=preds.select("email"))
+    return t, preds, inventory.user_sizes(preds, t.variants(), latest)
+
+
+@query("j6_category_join")
+def j6(spark, sf_dir):
+    t, preds, _ = _user_sizes(spark, sf_dir)
+    return edge(preds.join(inventory.shoe_departments(t.variants()), "activity", "left")
+                .drop("color_code"))
+
+
+@query("j7_latest_size_join")
+def j7(spark, sf_dir):
+    _, _, sized = _user_sizes(spark, sf_dir)
+    return edge(sized.drop("color_code"))
+
+
+def _prods(spark, sf_dir):
+    t, preds, sized = _user_sizes(spark, sf_dir)
+    sizes = inventory.sku_sizes(t.variants(), t.skus(), t.active_products())
+    wanted = sized.select("activity", F.col("identifier").alias("_want")).distinct()
+    prods = (wanted.join(sizes, "activity")
+             .where(F.col("_want").isNull() | (F.col("_want") == F.col("identifier"))))
+    return t, sized, sizes, prods
+
+
+@query("j8_optional_key_join")
+def j8(spark, sf_dir):
+    _, _, _, prods = _prods(spark, sf_dir)
+    return prods.select("activity", F.col("_want").alias("wanted"), "sksz_color_code", "pvid",
+                        "identifier", "upc", "active_flag")
+
+
+@query("j9_buyer_sku_join")
+def j9(spark, sf_dir):
+    _, sized, sizes, _ = _prods(spark, sf_dir)
+    return edge(sized.where(F.col("identifier").isNotNull())
+                .join(sizes, ["activity", "identifier"]))
+
+
+@query("j10_lead_sku_join")
+def j10(spark, sf_dir):
+    _, sized, sizes, _ = _prods(spark, sf_dir)
+    return edge(sized.where(F.col("identifier").isNull()).drop("identifier")
+                .join(sizes, "activity"))
+
+
+@query("p16_color_predicate")
+def p16(spark, sf_dir):
+    _, sized, sizes, _ = _prods(spark, sf_dir)
+    j = sized.drop("identifier").join(sizes, "activity")
+    return edge(j.select("email", "activity", "upc", "color_code", "active_flag",
+                         inventory.color_ok().alias("ok")))
+
+
+@query("j11_lead_share_join")
+def j11(spark, sf_dir):
+    t, sized, sizes, prods = _prods(spark, sf_dir)
+    share = inventory.color_stock_share(prods, _stocked(t)).select("activity", "sksz_color_code")
+    return edge(sized.where(F.col("identifier").isNull()).drop("identifier")
+                .join(sizes, "activity").where(inventory.color_ok())
+                .join(share, ["activity", "sksz_color_code"]))
+
+
+def _t5(spark, sf_dir):
+    t, pid_preds, cat_preds, mapped = _t5_input(spark, sf_dir)
+    checked = inventory.check_inventory(pid_preds.unionByName(mapped), t.variants(), t.skus(),
+                                        t.active_products(), t.orders_fact(), _stocked(t))
+    return t, checked, cat_preds
+
+
+@query("t5_check_inventory")
+def t5(spark, sf_dir):
+    _, checked, _ = _t5(spark, sf_dir)
+    return edge(checked)
+
+
+def _t6_best(spark, sf_dir):
+    t, checked, cat_preds = _t5(spark, sf_dir)
+    return t, materialize(recommend.best_per_user(
+        checked.unionByName(cat_preds, allowMissingColumns=True)))
+
+
+@query("w2_best_per_user")
+def w2(spark, sf_dir):
+    _, best = _t6_best(spark, sf_dir)
+    return edge(best.select("email", "activity", "activity_type", "pred", "upc",
+                            "sksz_color_code"))
+
+
+@query("t6_recommend")
+def t6(spark, sf_dir):
+    t, best = _t6_best(spark, sf_dir)
+    out = recommend.with_variant_fields(best, t.variants())
+    return edge(out.select("email", "activity", "activity_type", "pred", "upc", "sksz_color_code",
+                           "product_variant_id", "product_name", "retail_usd", "factory_region"))
+
+
+@query("j14_variant_fields")
+def j14(spark, sf_dir):
+    t, best = _t6_best(spark, sf_dir)
+    return edge(recommend.variant_fields(t.variants(), best))

@@ -76,3 +76,11 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    the written copy: cuts the lineage at a stage boundary, so a lost
+    executor recomputes from here and later plans stay small."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -322,3 +322,178 @@ q("m6_reciprocal_rank", "select activity_type, email, cast(chunk as integer) as
   "round(rr, 6) as rr from eval", **EVAL_CTES)
 q("a13_mean_reciprocal_rank", "select activity_type, round(avg(rr), 6) as mrr, count(*) as sequences "
   "from eval group by all", **EVAL_CTES)
+
+# -------------------------------------------------------------- inventory ---
+PUBLISH = f"'{config.INVENTORY_EVENT_TYPE}'"
+INV_CTES = dict(
+    inv_doc=f"select * from inventory_events where type = {PUBLISH} "
+            "order by id desc nulls first limit 1",
+    inv_ent="select e.sku as sku, coalesce(e.qty, 0) as qty, pos from (select unnest(from_json(event, "
+            "'[{\"sku\":\"VARCHAR\",\"qty\":\"BIGINT\"}]')) as e, "
+            "unnest(range(1, cast(json_array_length(event) as bigint) + 1)) as pos from inv_doc) x",
+    inv="select sku, arg_max(qty, pos) as qty from inv_ent where qty > 0 group by sku",
+    stocked=f"select distinct sku from inv where qty >= {config.INVENTORY_MIN}",
+)
+q("s3_latest_snapshot", "select id, type, length(event) as event_chars from inv_doc", **INV_CTES)
+q("s4_inventory_events", "select sku, qty from inv", **INV_CTES)
+q("s4_inventory_upper_limit", "select sku, arg_max(qty, pos) as qty from inv_ent "
+  "where qty > 0 and qty <= 3 group by sku", **INV_CTES)
+q("s5_inventory_reply", "select sku, qty from (select sku, cast(json_extract(reply, '$.\"' || sku || "
+  "'\".stock_level') as bigint) as qty from (select reply, unnest(json_keys(reply)) as sku "
+  f"from inventory_reply) r) x where qty >= {config.INVENTORY_MIN}")
+q("s12_variant_skus", "select identifier, product_variant_id, upc from dim_product_skus")
+q("p17_stock_predicate", "select identifier, product_variant_id, upc from dim_product_skus "
+  "where upc in (select sku from stocked)", **INV_CTES)
+
+SALES = ("select {email} as email, sk.identifier, sk.product_variant_id, pv.category, "
+         "f.order_date, sk.upc as sku from ft_master_orders f "
+         "join dim_product_skus sk on f.sales_order_sku = sk.upc "
+         "join dim_product_variants pv on sk.product_variant_id = pv.id")
+q("j3_sales_star", "select email, identifier, product_variant_id, category, "
+  "strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date, sku from sales",
+  sales=SALES.format(email="f.billing_email"))
+
+
+def latest(src: str) -> str:
+    return ("select email, category as dept, identifier from (select *, row_number() over "
+            "(partition by email, category order by order_date desc nulls first, sku desc) as rn "
+            f"from ({src}) s) r where rn = 1")
+
+
+q("a8_latest_sizes", latest("select * from sales"), sales=SALES.format(email="f.billing_email"))
+q("w1_latest_row", latest("select * from sales"), sales=SALES.format(email="lower(f.billing_email)"))
+DEPTS = ("select distinct product_style_code || '_' || group_code as activity, category as dept "
+         "from dim_product_variants where category like '%Shoes'")
+q("p10_category_suffix", "select activity, dept from depts", depts=DEPTS)
+SIZES = ("select pv.product_style_code || '_' || pv.group_code as activity, "
+         "pv.color_code as sksz_color_code, pv.id as pvid, sk.identifier, sk.upc, ap.active_flag "
+         "from dim_product_variants pv join dim_product_skus sk on pv.id = sk.product_variant_id "
+         "join active_products ap on sk.upc = ap.upc where sk.damage_level_id = 1")
+q("j4_sku_sizes", "select * from sizes_all", sizes_all=SIZES)
+q("p11_condition_filter", "select product_variant_id, upc, identifier from dim_product_skus "
+  "where damage_level_id = 1")
+FLAG = "cast(upc in (select sku from stocked) as integer)"
+q("j18_existence_flag", f"select upc, {FLAG} as has_inventory from sizes_all",
+  sizes_all=SIZES, **INV_CTES)
+
+
+def share(src: str) -> str:
+    return (f"select activity, sksz_color_code, sku, has_inventory, frac_of_color from ("
+            "select activity, sksz_color_code, count(upc) as sku, "
+            f"cast(sum({FLAG}) as bigint) as has_inventory, "
+            f"cast(sum({FLAG}) as double) / count(upc) as frac_of_color "
+            f"from ({src}) p group by all) g where frac_of_color >= {config.SIZE_THRESHOLD}")
+
+
+q("a9_color_stock_share", "select activity, sksz_color_code, sku, has_inventory, "
+  "round(frac_of_color, 6) as frac_of_color from (" + share("select * from sizes_all") + ") s",
+  sizes_all=SIZES, **INV_CTES)
+
+# Every user's predictions over the whole training window (clean colours).
+ALLV = act_views(f"c.timestamp > {config.ms(config.TRAIN_START)}", COLOR)
+PRED = ("(coalesce(p.pair_count, 0)::double + coalesce(i.item_count::double / t.total::double, 0.0)) "
+        "/ (coalesce(s.src_count, 0)::double + 1.0::double)")
+ALL_CTES = dict(
+    train_views=ALLV, vocab=VOCAB, ar=ranked("select * from train_views"), **model_ctes("a_", "ar"),
+    all_preds="select c.email, c.activity, c.activity_type, " + PRED + " as pred "
+              "from (select distinct email, activity_type, activity, item from ar) c "
+              "join (select email, activity_type, item as src from ar where q = 0) l "
+              "  on c.email = l.email and c.activity_type = l.activity_type "
+              "left join a_icnt i on i.activity_type = c.activity_type and i.item = c.item "
+              "left join a_tot t on t.activity_type = c.activity_type "
+              "left join a_pairs p on p.activity_type = c.activity_type and p.src = l.src "
+              "  and p.dst = c.item "
+              "left join a_srcc s on s.activity_type = c.activity_type and s.src = l.src",
+    colors="select email, activity, list_sort(list(distinct color_code)) as color_code "
+           "from train_views where activity_type = 'pid' and color_code is distinct from '' "
+           "group by all",
+    pid_preds="select p.email, p.activity, p.pred, c.color_code, 'pid' as activity_type "
+              "from all_preds p left join colors c on p.email = c.email and p.activity = c.activity "
+              "where p.activity_type = 'pid'",
+    cat_preds="select email, activity, pred, cast(null as varchar[]) as color_code, "
+              "'cgid' as activity_type from all_preds where activity_type = 'cgid' and activity in ("
+              + ", ".join(f"'{c}'" for c in config.CATEGORIES_TO_SEND) + ")",
+    mapped="select c.email, m.pid as activity, c.pred, cast(null as varchar[]) as color_code, "
+           "'pid' as activity_type from cat_preds c join category_page_product_map m "
+           "on c.activity = m.category",
+    preds_in="select * from pid_preds union all select * from mapped",
+    depts=DEPTS,
+    sales=SALES.format(email="f.billing_email"),
+    latest=latest("select * from sales where email in (select email from preds_in)"),
+    sized="select p.*, d.dept, l.identifier from preds_in p left join depts d on p.activity = d.activity "
+          "left join latest l on l.email = p.email and l.dept = d.dept",
+    sizes_all=SIZES,
+    sizes="select * from sizes_all where activity in (select activity from sized)",
+    wanted="select distinct activity, identifier as want from sized",
+    prods="select w.activity, w.want, s.sksz_color_code, s.pvid, s.identifier, s.upc, s.active_flag "
+          "from wanted w join sizes s on w.activity = s.activity "
+          "where w.want is null or w.want = s.identifier",
+    share=share("select * from prods"),
+    buyers="select b.*, s.sksz_color_code, s.pvid, s.upc, s.active_flag from sized b join sizes s "
+           "on b.activity = s.activity and b.identifier = s.identifier "
+           "where coalesce((b.color_code is null and s.active_flag = 'active') or "
+           "list_contains(b.color_code, s.sksz_color_code), false) "
+           "and s.upc in (select sku from stocked)",
+    leads_all="select l.* exclude (identifier), s.sksz_color_code, s.pvid, s.identifier, s.upc, "
+              "s.active_flag from sized l join sizes s on l.activity = s.activity "
+              "where l.identifier is null",
+    leads="select l.* from leads_all l join share h on l.activity = h.activity "
+          "and l.sksz_color_code = h.sksz_color_code where coalesce((l.color_code is null and "
+          "l.active_flag = 'active') or list_contains(l.color_code, l.sksz_color_code), false)",
+    checked="select * from buyers union all by name select * from leads",
+    best="select * exclude (rn) from (select *, row_number() over (partition by email order by "
+         "pred desc nulls last, activity asc, upc asc nulls first) as rn from "
+         "(select * from checked union all by name select * from cat_preds) u) r where rn = 1",
+    vfields="select variant_primary_image, product_id, product_name, color, material, "
+            "color_code as pv_color_code, group_code, product_style_code, id as product_variant_id, "
+            "retail_usd, factory_region, product_style_code || '_' || group_code as activity "
+            "from dim_product_variants where product_style_code || '_' || group_code in "
+            "(select activity from best where activity_type = 'pid')",
+    **INV_CTES,
+)
+
+
+def txt(col: str) -> str:
+    return f"array_to_string({col}, ',')"
+
+
+q("a7_color_lists", f"select email, activity, {txt('color_code')} as color_code from colors",
+  **ALL_CTES)
+q("j13_color_join", f"select email, activity, round(pred, 6) as pred, {txt('color_code')} as color_code, "
+  "activity_type from pid_preds", **ALL_CTES)
+q("p15_category_allow_list", "select email, activity, round(pred, 6) as pred, activity_type "
+  "from cat_preds", **ALL_CTES)
+q("j12_category_to_product", "select email, activity, round(pred, 6) as pred, activity_type "
+  "from mapped", **ALL_CTES)
+q("j6_category_join", "select p.activity, p.email, round(p.pred, 6) as pred, p.activity_type, d.dept "
+  "from preds_in p left join depts d on p.activity = d.activity", **ALL_CTES)
+q("j7_latest_size_join", "select email, dept, activity, round(pred, 6) as pred, activity_type, "
+  "identifier from sized", **ALL_CTES)
+q("j8_optional_key_join", "select activity, want as wanted, sksz_color_code, pvid, identifier, upc, "
+  "active_flag from prods", **ALL_CTES)
+q("j9_buyer_sku_join", "select b.activity, b.identifier, b.email, b.dept, round(b.pred, 6) as pred, "
+  f"{txt('b.color_code')} as color_code, b.activity_type, s.sksz_color_code, s.pvid, s.upc, "
+  "s.active_flag from sized b join sizes s on b.activity = s.activity and b.identifier = s.identifier",
+  **ALL_CTES)
+q("j10_lead_sku_join", "select email, dept, activity, round(pred, 6) as pred, "
+  f"{txt('color_code')} as color_code, activity_type, sksz_color_code, pvid, identifier, upc, "
+  "active_flag from leads_all", **ALL_CTES)
+q("p16_color_predicate", f"select l.email, l.activity, s.upc, {txt('l.color_code')} as color_code, "
+  "s.active_flag, coalesce((l.color_code is null and s.active_flag = 'active') or "
+  "list_contains(l.color_code, s.sksz_color_code), false) as ok "
+  "from sized l join sizes s on l.activity = s.activity", **ALL_CTES)
+q("j11_lead_share_join", "select email, dept, activity, round(pred, 6) as pred, "
+  f"{txt('color_code')} as color_code, activity_type, sksz_color_code, pvid, identifier, upc, "
+  "active_flag from leads", **ALL_CTES)
+q("t5_check_inventory", "select email, activity, round(pred, 6) as pred, "
+  f"{txt('color_code')} as color_code, activity_type, dept, identifier, sksz_color_code, pvid, "
+  "upc, active_flag from checked", **ALL_CTES)
+q("w2_best_per_user", "select email, activity, activity_type, round(pred, 6) as pred, upc, "
+  "sksz_color_code from best", **ALL_CTES)
+q("t6_recommend", "select b.email, b.activity, b.activity_type, round(b.pred, 6) as pred, b.upc, "
+  "b.sksz_color_code, v.product_variant_id, v.product_name, round(v.retail_usd, 6) as retail_usd, "
+  "v.factory_region from best b left join vfields v on b.activity = v.activity "
+  "and b.sksz_color_code = v.pv_color_code", **ALL_CTES)
+q("j14_variant_fields", "select variant_primary_image, product_id, product_name, color, material, "
+  "pv_color_code, group_code, product_style_code, product_variant_id, round(retail_usd, 6) as "
+  "retail_usd, factory_region, activity from vfields", **ALL_CTES)
