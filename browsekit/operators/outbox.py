@@ -80,7 +80,8 @@ def payload(best: DataFrame, event_name: str = config.EVENT_NAME) -> DataFrame:
         F.concat(F.lit("/"), F.col("activity"), F.lit(".html#!/color/"),
                  F.col("sksz_color_code")).alias("url"),
         F.col("factory_region").alias("manufacturer_region"),
-        F.format_string("%.0f", F.col("retail_usd")).alias("price"))
+        # whole dollars, half to even as Python's format(x, '.0f')
+        F.format_string("%.0f", F.bround(F.col("retail_usd"), 0)).alias("price"))
     return best.select(
         "email", F.lit(event_name).alias("event_name"),
         F.when(is_pid, F.array(product)).alias("products"),

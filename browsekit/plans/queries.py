@@ -20,6 +20,7 @@ from ..functions import parse
 from ..operators import (affinity, features, identity, inventory, outbox, recipients, recommend,
                          sequences)
 from ..session import materialize
+from . import jobs
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -659,3 +660,122 @@ def t6(spark, sf_dir):
 def j14(spark, sf_dir):
     t, best = _t6_best(spark, sf_dir)
     return edge(recommend.variant_fields(t.variants(), best))
+
+
+# ----------------------------------------------------------------- outbox ---
+PAYLOAD_COLS = ("product_group_id", "name", "product_variant_id", "color_code", "image_url", "url",
+                "manufacturer_region", "price")
+
+
+def _flat_payload(df: DataFrame) -> DataFrame:
+    p = F.element_at("products", 1)
+    return edge(df.select("email", "event_name", "category", "pred",
+                          *[p[c].alias(c) for c in PAYLOAD_COLS]))
+
+
+def _json_pred(c):
+    return c.cast("decimal(12,6)")
+
+
+@query("a11_prediction_log")
+def a11(spark, sf_dir):
+    _, pid_preds, cat_preds, _ = _t5_input(spark, sf_dir)
+    return edge(outbox.prediction_log(pid_preds, cat_preds, WIN, pred=_json_pred(F.col("pred"))))
+
+
+@query("l4_rollout_gate")
+def l4(spark, sf_dir):
+    """L4 at 256 bits (DuckDB has no sha224); ``l4_rollout_gate_224`` is the reference's."""
+    t = tables(spark, sf_dir)
+    return outbox.rollout_gate(t.email_uuids().select("email").distinct(), bits=256)
+
+
+@query("l4_rollout_gate_224")
+def l4_224(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return outbox.rollout_gate(t.email_uuids().select("email").distinct(), bits=224)
+
+
+@query("l5_send_cap")
+def l5(spark, sf_dir):
+    _, best = _t6_best(spark, sf_dir)
+    return edge(outbox.send_cap(outbox.rollout_gate(best, bits=256), 50)
+                .select("email", "activity", "pred"))
+
+
+@query("s10_outbox")
+def s10(spark, sf_dir):
+    t, best = _t6_best(spark, sf_dir)
+    full = recommend.with_variant_fields(best, t.variants())
+    return _flat_payload(outbox.payload(outbox.rollout_gate(full, bits=256)))
+
+
+@query("p22_payload_router")
+def p22(spark, sf_dir):
+    t, best = _t6_best(spark, sf_dir)
+    full = recommend.with_variant_fields(best, t.variants())
+    return _flat_payload(outbox.payload(full))
+
+
+@query("s8_run_log")
+def s8(spark, sf_dir):
+    """Past runs (the hours of the score-log history) plus this run;
+    the newest run per feature is what the next run passes as last_run."""
+    t = tables(spark, sf_dir)
+    past = t.score_history().select(F.date_trunc("hour", "timestamp").alias("timestamp"),
+                                    F.lit(config.FEATURE_NAME).alias("feature"))
+    log = past.unionByName(outbox.run_log_row(spark, WIN))
+    return edge(outbox.last_run(log))
+
+
+@query("s9_mark_sent")
+def s9(spark, sf_dir):
+    t, best = _t6_best(spark, sf_dir)
+    log = _score_log(t, _scores(t))
+    delivered = (outbox.rollout_gate(best, bits=256)
+                 .select("email", F.lit(WIN.run_text).cast("timestamp").alias("timestamp")))
+    return edge(outbox.sent_flags(log, delivered))
+
+
+@query("t7_run_scoring")
+def t7(spark, sf_dir):
+    """T7 end to end (rollout gate at 256 bits so DuckDB can check it)."""
+    t = tables(spark, sf_dir)
+    vocab, model = jobs.serving_model(t)
+    run = jobs.build_scoring(t, WIN, vocab, model, rollout_bits=256)
+    return _flat_payload(run.outbox)
+
+
+@query("t7_run_scoring_224")
+def t7_224(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    vocab, model = jobs.serving_model(t)
+    return _flat_payload(jobs.build_scoring(t, WIN, vocab, model).outbox)
+
+
+@query("s7_prediction_log")
+def s7(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    vocab, model = jobs.serving_model(t)
+    run = jobs.build_scoring(t, WIN, vocab, model)
+    return edge(run.prediction_log.select(
+        "email", F.length("product_pred").alias("product_chars"),
+        F.length("category_pred").alias("category_chars"), "timestamp"))
+
+
+@query("t8_run_training")
+def t8(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return edge(jobs.build_training(t, version=WIN.run_ms // 1000).record)
+
+
+@query("s11_model_round_trip")
+def s11(spark, sf_dir):
+    """Write the fitted model tables and read them back."""
+    from ..session import scratch_path
+    t = tables(spark, sf_dir)
+    _, model = jobs.serving_model(t)
+    path = scratch_path(spark, "model")
+    affinity.save_model(model, path)
+    back = affinity.load_model(spark, path)
+    return edge(affinity.transition_probabilities(back))

@@ -497,3 +497,72 @@ q("t6_recommend", "select b.email, b.activity, b.activity_type, round(b.pred, 6)
 q("j14_variant_fields", "select variant_primary_image, product_id, product_name, color, material, "
   "pv_color_code, group_code, product_style_code, product_variant_id, round(retail_usd, 6) as "
   "retail_usd, factory_region, activity from vfields", **ALL_CTES)
+
+# ----------------------------------------------------------------- outbox ---
+ROLL256 = format(int((2 ** 256) * config.DEPLOYMENT_THRESHOLD), "064x")
+
+
+def jlist(cond: str, item: str, order: str) -> str:
+    return f"'[' || coalesce(string_agg({item}, ',' order by {order}) filter (where {cond}), '') || ']'"
+
+
+PRED_ITEM = "'{\"activity\":\"' || activity || '\",\"pred\":' || printf('%.6f', pred) || '}'"
+COLOR_ITEM = ("'{\"activity\":\"' || activity || '\",\"color_code\":' || case when len(color_code) = 0 "
+              "then '[]' else '[\"' || array_to_string(color_code, '\",\"') || '\"]' end || '}'")
+PLOG = ("select email, " + jlist("activity_type = 'pid'", PRED_ITEM, "activity, pred") + " as product_pred, "
+        + jlist("activity_type = 'cgid'", PRED_ITEM, "activity, pred") + " as category_pred, "
+        + jlist("activity_type = 'pid' and color_code is not null", COLOR_ITEM, "activity")
+        + f" as color_codes, '{W.run_text}' as timestamp from "
+        "(select * from pid_preds union all select * from cat_preds) u group by email")
+q("a11_prediction_log", PLOG, **ALL_CTES)
+q("l4_rollout_gate", f"select distinct email from email_uuids where sha256(email) <= '{ROLL256}'")
+
+FULL = ("select b.*, v.product_variant_id, v.product_name, v.retail_usd, v.factory_region, "
+        "v.variant_primary_image from best b left join vfields v on b.activity = v.activity "
+        "and b.sksz_color_code = v.pv_color_code")
+PAYLOAD = ("select email, 'browse-model' as event_name, case when activity_type = 'cgid' then activity "
+           "end as category, round(pred, 6) as pred, "
+           "case when activity_type = 'pid' then activity end as product_group_id, "
+           "case when activity_type = 'pid' then product_name end as name, "
+           "case when activity_type = 'pid' then cast(product_variant_id as varchar) end "
+           "as product_variant_id, "
+           "case when activity_type = 'pid' then sksz_color_code end as color_code, "
+           "case when activity_type = 'pid' then variant_primary_image end as image_url, "
+           "case when activity_type = 'pid' then '/' || activity || '.html#!/color/' || sksz_color_code "
+           "end as url, case when activity_type = 'pid' then factory_region end as manufacturer_region, "
+           "case when activity_type = 'pid' then printf('%.0f', round_even(retail_usd, 0)) end as price "
+           "from full_rec")
+q("l5_send_cap", "select email, activity, round(pred, 6) as pred from best "
+  f"where sha256(email) <= '{ROLL256}' order by pred desc nulls last, email limit 50", **ALL_CTES)
+q("s10_outbox", PAYLOAD + f" where sha256(email) <= '{ROLL256}'", full_rec=FULL, **ALL_CTES)
+q("p22_payload_router", PAYLOAD, full_rec=FULL, **ALL_CTES)
+q("s8_run_log", f"select strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') as last_run from ("
+  f"select date_trunc('hour', timestamp) as timestamp from send_model_output "
+  f"union all select {RUN_TS}) r")
+q("s9_mark_sent", "select l.email, round(l.prob, 6) as prob, strftime(l.timestamp, '%Y-%m-%d %H:%M:%S') "
+  "as timestamp, coalesce(d.sent, l.send_flag, false) as send_flag from score_log l left join "
+  f"(select distinct email, {RUN_TS} as timestamp, true as sent from best "
+  f"where sha256(email) <= '{ROLL256}') d on l.email = d.email and l.timestamp = d.timestamp",
+  **dict(ALL_CTES, **REC_CTES))
+
+# The run's own predictions (M5 over the chosen users) through T6.
+T7_CTES = dict(ALL_CTES, **M5_CTES)
+T7_CTES.update(
+    all_preds="select c.email, c.activity, c.activity_type, " + PRED.replace("a_", "f_") + " as pred "
+              "from (select distinct email, activity_type, activity, item from cr) c "
+              "join (select email, activity_type, item as src from cr where q = 0) l "
+              "  on c.email = l.email and c.activity_type = l.activity_type "
+              "left join f_icnt i on i.activity_type = c.activity_type and i.item = c.item "
+              "left join f_tot t on t.activity_type = c.activity_type "
+              "left join f_pairs p on p.activity_type = c.activity_type and p.src = l.src "
+              "  and p.dst = c.item "
+              "left join f_srcc s on s.activity_type = c.activity_type and s.src = l.src",
+    colors="select email, activity, list_sort(list(distinct color_code)) as color_code "
+           "from chosen where activity_type = 'pid' and color_code is distinct from '' group by all",
+    full_rec=FULL,
+)
+q("t7_run_scoring", PAYLOAD + f" where sha256(email) <= '{ROLL256}'", **T7_CTES)
+q("t8_run_training", f"select 'seq_' || activity_type || '_model{W.run_ms // 1000}' as name, "
+  "activity_type, round(avg(rr), 6) as mrr, count(*) as sequences from eval group by all",
+  **EVAL_CTES)
+SQL["s11_model_round_trip"] = SQL["m4_affinity_fit"]
