@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import (affinity, features, identity, inventory, outbox, recipients, recommend,
-                         sequences)
+from ..operators import (affinity, catalog, features, identity, inventory, outbox, recipients,
+                         recommend, sequences)
 from ..session import materialize
 from . import jobs
 from ..sources.fixtures import FixtureTables
@@ -779,3 +779,123 @@ def s11(spark, sf_dir):
     affinity.save_model(model, path)
     back = affinity.load_model(spark, path)
     return edge(affinity.transition_probabilities(back))
+
+
+# ---------------------------------------------------------------- catalog ---
+@query("s2_resolve_table")
+def s2(spark, sf_dir):
+    """The orders fact under a dated name, found by suffix."""
+    t = tables(spark, sf_dir)
+    facts = t.orders_fact()
+    facts.createOrReplaceTempView("scratch_2023_ft_master_orders")
+    facts.where(F.lit(False)).createOrReplaceTempView("scratch_2022_ft_master_orders")
+    name = catalog.resolve_table(spark, "_ft_master_orders")
+    return edge(spark.table(name))
+
+
+@query("s13_active_styles")
+def s13(spark, sf_dir):
+    return catalog.active_styles(tables(spark, sf_dir).active_products())
+
+
+@query("s14_product_catalog")
+def s14(spark, sf_dir):
+    return edge(catalog.product_catalog(tables(spark, sf_dir).variants()))
+
+
+@query("a10_loyal_shoppers")
+def a10(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return edge(catalog.loyal_shoppers(t.orders_fact(), t.variants(), t.skus()))
+
+
+@query("j15_viewed_variants")
+def j15(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return catalog.viewed_variants(t.page_views(), t.variants())
+
+
+@query("a12_distinct_rows")
+def a12(spark, sf_dir):
+    """Distinct (activity, activity type) pairs of the whole click stream."""
+    t = tables(spark, sf_dir)
+    return (t.page_views().where(parse.has_activity())
+            .select(parse.activity().alias("activity"), parse.activity_type().alias("activity_type"))
+            .distinct())
+
+
+@query("l1_global_sort")
+def l1(spark, sf_dir):
+    """L1: ordered output at the sink (A1 by email)."""
+    t = tables(spark, sf_dir)
+    views = t.page_views(WIN.send_lo, WIN.send_hi)
+    return edge(features.browse_features(views, t.email_uuids(), WIN).orderBy("email"))
+
+
+# --------------------------------------------------------------- scalars ---
+@query("f_string")
+def f_string(spark, sf_dir):
+    """F1-F9 on the variants and the click stream's product ids."""
+    v = tables(spark, sf_dir).variants()
+    return v.select(
+        "id",
+        parse.part("product_name", " ", 2).alias("second_word"),
+        parse.first_match_drop_nondigits(F.col("product_name")).alias("first_match"),
+        parse.regex_group_or_null("product_name", r"([a-z]+)$").alias("last_word"),
+        F.substring("product_name", 1, 7).alias("prefix7"),
+        F.lower("material").alias("material_lower"),
+        F.replace(F.col("product_name"), F.lit("  "), F.lit(" ")).alias("name_clean"),
+        parse.group_key().alias("group_key"),
+        F.concat("product_style_code", F.lit("_"), "group_creative").alias("concat_null"),
+        F.concat_ws("", "product_style_code", "group_creative").alias("concat_skip"),
+        F.col("category").like("%Shoes").alias("is_shoes"))
+
+
+@query("f_time")
+def f_time(spark, sf_dir):
+    """F10-F15 on the click stream and orders."""
+    t = tables(spark, sf_dir)
+    views = t.page_views()
+    secs = parse.epoch_ms_to_ts()
+    run = F.lit(WIN.run_text).cast("timestamp")
+    return edge(views.select(
+        "user_uuid", "timestamp",
+        secs.alias("activity_dt"),
+        F.date_trunc("day", secs).alias("day"),
+        (F.unix_seconds(run) - F.unix_seconds(secs)).alias("epoch_gap"),
+        F.year(secs).alias("year"),
+        F.expr(f"timestampdiff(DAY, timestamp_seconds(timestamp div 1000), "
+               f"TIMESTAMP '{WIN.run_text}')").alias("days"),
+        (run - F.expr("INTERVAL '5 days 2 hours'")).alias("window_start")))
+
+
+@query("f_json")
+def f_json(spark, sf_dir):
+    """JSON field, JSON list with defaults, JSON text."""
+    v = tables(spark, sf_dir).variants()
+    return v.select(
+        "id",
+        F.get_json_object("group_creative", "$.shortDescription").alias("short_desc"),
+        F.to_json(F.struct(F.col("id").alias("id"),
+                           F.col("color_code").alias("color_code"))).alias("as_json"))
+
+
+@query("f_hash")
+def f_hash(spark, sf_dir):
+    """F23 (256-bit twin) and the sampling hash."""
+    e = tables(spark, sf_dir).email_uuids().select("email").distinct()
+    return e.select("email", F.sha2("email", 256).alias("sha256"),
+                    recipients_hash(F.col("email")).alias("sample_hash"),
+                    parse.in_rollout("email", 256).alias("in_rollout"))
+
+
+@query("f_hash_224")
+def f_hash_224(spark, sf_dir):
+    e = tables(spark, sf_dir).email_uuids().select("email").distinct()
+    return e.select("email", F.sha2("email", 224).alias("sha224"),
+                    parse.in_rollout("email", 224).alias("in_rollout"))
+
+
+def recipients_hash(c):
+    from ..operators.ranking import sample_hash
+    return sample_hash(config.SAMPLE_SEED, c)

@@ -26,6 +26,40 @@ def _lp(c: Column, n: int) -> Column:
     return F.lpad(c.cast("string"), n, "0")
 
 
+def derive_page_views(ev: DataFrame) -> DataFrame:
+    """Click-stream rows from raw ``events`` rows (batch or streaming): one
+    row per event, FIXTURES.md rules; only per-row expressions, so the same
+    derivation serves ``readStream``."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    u = F.col("user_id").cast("string")
+    et = F.col("event_type")
+    act = F.concat(_lp(F.expr("k div 2"), 7), F.lit("_"), _lp(F.col("k") % 2 + 1, 2))
+    ms_col = F.unix_millis(F.col("ts").cast("timestamp"))
+    cats = F.element_at(F.array(*[F.lit(c) for c in
+                                  ("moccasins", "pumps", "mens-sneakers", "boots")]),
+                        F.col("k") % 4 + 1)
+    return (ev.select("user_id", "event_type", ms_col.alias("timestamp"), k.alias("k"))
+            .select(
+                F.concat(F.lit("u"), u).alias("user_uuid"),
+                "timestamp",
+                F.concat(F.lit("s"), u, F.lit("_"),
+                         F.expr("timestamp div 86400000").cast("string")).alias("session_id"),
+                F.when(et == "signup", "shop.example")
+                 .when(et == "purchase", "other.example")
+                 .otherwise("www.shop.example").alias("host"),
+                F.when(et == "signup", F.concat(F.lit("cgid="), cats, F.lit("&sz=12")))
+                 .when(et == "error", F.lit("src=home"))
+                 .when(et == "click", F.concat(F.lit("pid="), act, F.lit("?q=1")))
+                 .otherwise(F.concat(F.lit("pid="), act, F.lit("&src=mail")))
+                 .alias("query_string"),
+                F.concat(F.lit("https://www.shop.example/"), act, F.lit(".html"),
+                         F.when(F.col("k") % 3 == 0, F.lit(""))
+                          .otherwise(F.concat(F.lit("#!/color/"), _lp(F.col("k") % 2 + 1, 2),
+                                              F.when(F.col("k") % 5 == 0, F.lit("x7y?z=1"))
+                                               .otherwise(F.lit("/v")))))
+                 .alias("url")))
+
+
 class FixtureTables:
     """Derived views over ``/root/testdata/<sf>/*.parquet``."""
 
@@ -118,34 +152,7 @@ class FixtureTables:
             ev = ev.where(ts_ntz >= lo)
         if hi_ms is not None:
             ev = ev.where(ts_ntz < F.timestamp_millis(F.lit(hi_ms)).cast("timestamp_ntz"))
-        k = F.get_json_object("props", "$.k").cast("int")
-        u = F.col("user_id").cast("string")
-        et = F.col("event_type")
-        act = F.concat(_lp(F.expr("k div 2"), 7), F.lit("_"), _lp(F.col("k") % 2 + 1, 2))
-        ms_col = F.unix_millis(ts_ntz.cast("timestamp"))
-        cats = F.element_at(F.array(*[F.lit(c) for c in
-                                      ("moccasins", "pumps", "mens-sneakers", "boots")]),
-                            F.col("k") % 4 + 1)
-        return (ev.select("user_id", "event_type", ms_col.alias("timestamp"), k.alias("k"))
-                .select(
-                    F.concat(F.lit("u"), u).alias("user_uuid"),
-                    "timestamp",
-                    F.concat(F.lit("s"), u, F.lit("_"),
-                             F.expr("timestamp div 86400000").cast("string")).alias("session_id"),
-                    F.when(et == "signup", "shop.example")
-                     .when(et == "purchase", "other.example")
-                     .otherwise("www.shop.example").alias("host"),
-                    F.when(et == "signup", F.concat(F.lit("cgid="), cats, F.lit("&sz=12")))
-                     .when(et == "error", F.lit("src=home"))
-                     .when(et == "click", F.concat(F.lit("pid="), act, F.lit("?q=1")))
-                     .otherwise(F.concat(F.lit("pid="), act, F.lit("&src=mail")))
-                     .alias("query_string"),
-                    F.concat(F.lit("https://www.shop.example/"), act, F.lit(".html"),
-                             F.when(F.col("k") % 3 == 0, F.lit(""))
-                              .otherwise(F.concat(F.lit("#!/color/"), _lp(F.col("k") % 2 + 1, 2),
-                                                  F.when(F.col("k") % 5 == 0, F.lit("x7y?z=1"))
-                                                   .otherwise(F.lit("/v")))))
-                     .alias("url")))
+        return derive_page_views(ev)
 
     # -- orders ------------------------------------------------------------
     def orders_fact(self) -> DataFrame:

@@ -566,3 +566,56 @@ q("t8_run_training", f"select 'seq_' || activity_type || '_model{W.run_ms // 100
   "activity_type, round(avg(rr), 6) as mrr, count(*) as sequences from eval group by all",
   **EVAL_CTES)
 SQL["s11_model_round_trip"] = SQL["m4_affinity_fit"]
+
+# ---------------------------------------------------------------- catalog ---
+q("s2_resolve_table", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') "
+  "as order_date, sales_order_sku from ft_master_orders")
+q("s13_active_styles", "select distinct cast(pvid as integer) as pvid from active_products "
+  "where active_flag = 'active'")
+q("s14_product_catalog", "select id, replace(product_name, '  ', ' ') as product_name, material, color, "
+  "product_style_code || '_' || group_code as product_group_code, color_code, edition_code, "
+  "product_style_code, round(retail_usd, 6) as retail_usd, factory_region, filter_color, "
+  "variant_primary_image, group_code, coalesce(json_extract_string(group_creative, '$.shortDescription'), "
+  "'') as short_desc, cast(year(plan_date) as integer) as launch_year, id as pvid "
+  "from dim_product_variants where category = 'Shoes'")
+SHOES = ("select lower(f.billing_email) as email, sk.identifier, sk.product_variant_id, pv.category, "
+         "f.order_date from ft_master_orders f join dim_product_skus sk on sk.upc = f.sales_order_sku "
+         "join dim_product_variants pv on pv.id = sk.product_variant_id where pv.category = 'Shoes'")
+q("a10_loyal_shoppers", "select email, identifier, product_variant_id, category, "
+  "strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date from shoes where email in "
+  f"(select email from shoes where email is not null group by email "
+  f"having count(product_variant_id) > {config.MIN_SHOE_UNITS})", shoes=SHOES)
+TOKEN = "nullif(regexp_extract(c.query_string, 'pid=([0-9_]+).*', 1), '')"
+COLOR_RE = "nullif(regexp_extract(c.url, 'color/([0-9]+)', 1), '')"
+q("j15_viewed_variants", f"select pv.id as product_variant_id, substring({TOKEN}, 1, 7) as "
+  f"product_style_code, nullif(regexp_extract(c.query_string, 'pid=([0-9]+).*', 1), '') as pv2, "
+  f"substring({TOKEN}, 9, 10) as group_code, {COLOR_RE} as color_code, c.query_string, c.user_uuid, "
+  "c.timestamp from clickstream_page_views c join dim_product_variants pv on "
+  f"substring({TOKEN}, 1, 7) = pv.product_style_code and substring({TOKEN}, 9, 10) = pv.group_code "
+  f"and {COLOR_RE} = pv.color_code")
+q("a12_distinct_rows", f"select distinct {ACT} as activity, {ACT_TYPE} as activity_type "
+  f"from clickstream_page_views where {PDP} <> '' or {CAT} <> ''")
+q("l1_global_sort", "select * from browse order by email", browse=BROWSE, single_email=SINGLE)
+
+# ---------------------------------------------------------------- scalars ---
+q("f_string", "select id, split_part(product_name, ' ', 2) as second_word, "
+  "regexp_replace(product_name, '[^0-9]+', '') as first_match, "
+  "nullif(regexp_extract(product_name, '([a-z]+)$', 1), '') as last_word, "
+  "substring(product_name, 1, 7) as prefix7, lower(material) as material_lower, "
+  "replace(product_name, '  ', ' ') as name_clean, product_style_code || '_' || group_code as group_key, "
+  "product_style_code || '_' || group_creative as concat_null, "
+  "concat(product_style_code, group_creative) as concat_skip, category like '%Shoes' as is_shoes "
+  "from dim_product_variants")
+q("f_time", "select user_uuid, timestamp, strftime(to_timestamp(timestamp // 1000)::timestamp, "
+  "'%Y-%m-%d %H:%M:%S') as activity_dt, strftime(date_trunc('day', to_timestamp(timestamp // 1000)"
+  "::timestamp), '%Y-%m-%d %H:%M:%S') as day, "
+  f"epoch({RUN_TS})::bigint - timestamp // 1000 as epoch_gap, "
+  "year(to_timestamp(timestamp // 1000)::timestamp) as year, "
+  f"date_sub('day', to_timestamp(timestamp // 1000)::timestamp, {RUN_TS}) as days, "
+  f"strftime({RUN_TS} - interval '5 days 2 hours', '%Y-%m-%d %H:%M:%S') as window_start "
+  "from clickstream_page_views")
+q("f_json", "select id, json_extract_string(group_creative, '$.shortDescription') as short_desc, "
+  "'{\"id\":' || cast(id as varchar) || ',\"color_code\":\"' || color_code || '\"}' as as_json "
+  "from dim_product_variants")
+q("f_hash", f"select distinct email, sha256(email) as sha256, md5('{config.SAMPLE_SEED}' || email) "
+  f"as sample_hash, sha256(email) <= '{ROLL256}' as in_rollout from email_uuids")
