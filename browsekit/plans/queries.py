@@ -21,6 +21,7 @@ from ..operators import (affinity, catalog, features, identity, inventory, outbo
                          recommend, sequences)
 from ..session import materialize
 from . import jobs
+from ..streaming import incremental as streaming
 from ..sources.fixtures import FixtureTables
 
 WIN = RunWindow()
@@ -899,3 +900,36 @@ def f_hash_224(spark, sf_dir):
 def recipients_hash(c):
     from ..operators.ranking import sample_hash
     return sample_hash(config.SAMPLE_SEED, c)
+
+
+# -------------------------------------------------------------- streaming ---
+def _events_glob(sf_dir: str) -> str:
+    """The driver ships one events file; a glob lets the file source watch
+    its folder for that name (a production source is a folder of files)."""
+    return f"{sf_dir.rstrip('/')}/event[s].parquet"
+
+
+def _stream_dirs(spark, name: str) -> tuple[str, str]:
+    from ..session import scratch_path
+    base = scratch_path(spark, name)
+    return f"{base}/out", f"{base}/checkpoint"
+
+
+@query("r1_landed_page_views")
+def r1(spark, sf_dir):
+    """Click rows landed by an availableNow file stream, read back."""
+    out, ckpt = _stream_dirs(spark, "r1")
+    q = streaming.land_page_views(spark, _events_glob(sf_dir), out, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("user_uuid", "timestamp", "session_id", "host",
+                                          "query_string", "url")
+
+
+@query("r2_hourly_partials")
+def r2(spark, sf_dir):
+    """R2: send features from streamed hourly partials (watermark 2 h)."""
+    t = tables(spark, sf_dir)
+    out, ckpt = _stream_dirs(spark, "r2")
+    q = streaming.start_hourly_partials(spark, _events_glob(sf_dir), t.email_uuids(), out, ckpt)
+    q.awaitTermination()
+    return edge(streaming.features_from_partials(spark.read.parquet(out), WIN))

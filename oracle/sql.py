@@ -619,3 +619,8 @@ q("f_json", "select id, json_extract_string(group_creative, '$.shortDescription'
   "from dim_product_variants")
 q("f_hash", f"select distinct email, sha256(email) as sha256, md5('{config.SAMPLE_SEED}' || email) "
   f"as sample_hash, sha256(email) <= '{ROLL256}' as in_rollout from email_uuids")
+
+# -------------------------------------------------------------- streaming ---
+SQL["r1_landed_page_views"] = SQL["s1_scan"]
+q("r2_hourly_partials", "select email, time_since_browse, cgid_count, pdp_count from browse",
+  browse=BROWSE, single_email=SINGLE)
