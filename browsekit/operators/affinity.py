@@ -52,11 +52,13 @@ def fit(sequences: DataFrame) -> dict[str, DataFrame]:
     counts = materialize(
         _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")))
     totals = counts.groupBy(*K).agg(F.sum("item_count").alias("total"))
-    items = materialize(counts.join(F.broadcast(totals), list(K)))
     pairs = materialize(
         _pairs(sequences).groupBy(*K, "src", "dst").agg(F.count(F.lit(1)).alias("pair_count")))
     src = pairs.groupBy(*K, "src").agg(F.sum("pair_count").alias("src_count"))
-    return {"items": items, "transitions": materialize(pairs.join(src, [*K, "src"]))}
+    # one row per activity type in ``totals``; ``src`` is re-aggregated from
+    # the written pair counts, so both derived tables stay cheap scans
+    return {"items": counts.join(F.broadcast(totals), list(K)),
+            "transitions": pairs.join(src, [*K, "src"])}
 
 
 def transition_probabilities(model: dict[str, DataFrame],

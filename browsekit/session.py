@@ -79,8 +79,12 @@ _counter = _count()
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    the written copy: cuts the lineage at a stage boundary, so a lost
-    executor recomputes from here and later plans stay small."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    continue from the written table: cuts the lineage at a stage boundary
+    (a lost executor recomputes from here), keeps later plans small, and
+    the re-read is a columnar scan with pruning, pushdown and real size
+    statistics for AQE's join choices."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
