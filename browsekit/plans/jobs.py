@@ -34,10 +34,10 @@ def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
     ``fit_on_full=True`` reproduces the reference, which fits on every
     sequence and so also on the test rows; the default fits on train.
     """
-    rows = sequences.training_views(tables, start)
+    rows = materialize(sequences.training_views(tables, start))
     vocab = sequences.fit_vocabulary(rows)
     parts = sequences.train_test_split(rows)
-    seq = {n: sequences.to_sequences(sequences.encode(parts[n], vocab))
+    seq = {n: materialize(sequences.to_sequences(sequences.encode(parts[n], vocab)))
            for n in ("train", "test", "full")}
     fit_seq = seq["full" if fit_on_full else "train"]
     model = affinity.fit(fit_seq)
@@ -59,9 +59,10 @@ def run_training(tables, path: str, **kw) -> Training:
 
 def serving_model(tables, start=config.TRAIN_START) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Vocabulary and a model fitted on every training sequence, as served."""
-    rows = sequences.training_views(tables, start)
+    rows = materialize(sequences.training_views(tables, start))
     vocab = sequences.fit_vocabulary(rows)
-    return vocab, affinity.fit(sequences.to_sequences(sequences.encode(rows, vocab)))
+    seqs = materialize(sequences.to_sequences(sequences.encode(rows, vocab)))
+    return vocab, affinity.fit(seqs)
 
 
 @dataclass
@@ -73,15 +74,22 @@ class Scoring:
     outbox: DataFrame
 
 
+def send_scores(tables, win: RunWindow) -> DataFrame:
+    """T1 + M3: one send probability per email, written once (read by the
+    score log and twice by the recipient choice)."""
+    return materialize(features.send_probability(features.send_features(tables, win),
+                                                 tables.send_params()))
+
+
 def build_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, DataFrame],
                   n: int | None = None, score_log: DataFrame | None = None,
-                  rollout_bits: int = 224) -> Scoring:
+                  rollout_bits: int = 224, scores: DataFrame | None = None) -> Scoring:
     """The hourly run as one plan.
 
     ``score_log`` is the log as read back after this run's rows were
     appended; by default the fixture history plus this run's rows.
     """
-    scores = features.send_probability(features.send_features(tables, win), tables.send_params())
+    scores = scores if scores is not None else send_scores(tables, win)
     rows = recipients.score_log_rows(scores, win)
     log = score_log if score_log is not None else tables.score_history().unionByName(rows)
     users = recipients.select_recipients(scores, log, win)
@@ -107,12 +115,12 @@ def run_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, DataF
     the trailing-window read prunes old partitions."""
     spark = vocab.sparkSession
     base = out_dir.rstrip("/")
-    scores = features.send_probability(features.send_features(tables, win), tables.send_params())
+    scores = send_scores(tables, win)
     rows = recipients.score_log_rows(scores, win).withColumn("run_date", F.to_date("timestamp"))
     rows.write.mode("append").partitionBy("run_date").parquet(f"{base}/score_log")
     log = (tables.score_history().unionByName(
         spark.read.parquet(f"{base}/score_log").drop("run_date")))
-    s = build_scoring(tables, win, vocab, model, n=n, score_log=log)
+    s = build_scoring(tables, win, vocab, model, n=n, score_log=log, scores=scores)
     (s.prediction_log.withColumn("run_date", F.to_date("timestamp"))
      .write.mode("append").partitionBy("run_date").parquet(f"{base}/prediction_log"))
     s.outbox.withColumn("timestamp", F.lit(win.run_text).cast("timestamp")) \

@@ -186,7 +186,7 @@ def m3(spark, sf_dir):
 
 # ------------------------------------------------------------- recipients ---
 def _scores(t: FixtureTables) -> DataFrame:
-    return features.send_probability(features.send_features(t, WIN), t.send_params())
+    return jobs.send_scores(t, WIN)
 
 
 def _score_log(t: FixtureTables, scores: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def u1(spark, sf_dir):
 
 # -------------------------------------------------------------- sequences ---
 def _train_rows(spark, sf_dir, start=config.TRAIN_START) -> DataFrame:
-    return sequences.training_views(tables(spark, sf_dir), start)
+    return materialize(sequences.training_views(tables(spark, sf_dir), start))
 
 
 def _seq_text(df: DataFrame) -> DataFrame:
@@ -512,7 +512,7 @@ def _all_predictions(spark, sf_dir):
     t = tables(spark, sf_dir)
     lo = config.ms(config.TRAIN_START)
     views = features.window_filter(t.page_views(lo, None, strict_lo=True), lo, None, strict_lo=True)
-    rows = sequences.activity_views(views, t.email_uuids(), clean_color=True)
+    rows = materialize(sequences.activity_views(views, t.email_uuids(), clean_color=True))
     vocab = sequences.fit_vocabulary(rows)
     enc = materialize(sequences.encode(rows, vocab))
     seqs = materialize(sequences.to_sequences(enc))
