@@ -75,21 +75,19 @@ def dense_index(df: DataFrame, col: str, index_col: str = "idx",
     ``monotonically_increasing_id`` then gives the position inside a
     partition, and a running sum over the per-partition counts (one row per
     partition) gives each partition's offset.  The numbered values are
-    checkpointed (written once to the shared checkpoint folder) before the
-    two uses, so both see the same range boundaries, also after a lost
-    executor; a fitted vocabulary is a model artefact and is kept anyway.
+    written once to the shared checkpoint folder before the two uses, so
+    both see the same range boundaries, also after a lost executor; a
+    fitted vocabulary is a model artefact and is kept anyway.
     """
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
+    from ..session import materialize
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
     if partitions:
         values = values.repartitionByRange(partitions, col)
     else:
         values = values.repartitionByRange(col)
-    values = (values.sortWithinPartitions(col)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    values = materialize(values.sortWithinPartitions(col)
+                         .withColumn("_part", F.spark_partition_id())
+                         .withColumn("_mono", F.monotonically_increasing_id()))
     offsets = (values.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
                .select("_part", F.coalesce(F.sum("_n").over(
                    Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),

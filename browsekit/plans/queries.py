@@ -933,3 +933,35 @@ def r2(spark, sf_dir):
     q = streaming.start_hourly_partials(spark, _events_glob(sf_dir), t.email_uuids(), out, ckpt)
     q.awaitTermination()
     return edge(streaming.features_from_partials(spark.read.parquet(out), WIN))
+
+
+# ------------------------------------------------------ small named rules ---
+@query("p18_nonblank_filter")
+def p18(spark, sf_dir):
+    """Product rows whose colour is not '' (a NULL colour stays)."""
+    rows = sequences.scoring_views(tables(spark, sf_dir), WIN)
+    return (rows.where((F.col("activity_type") == "pid") & ~F.col("color_code").eqNullSafe(""))
+            .select("email", "activity", "color_code"))
+
+
+@query("p21_group_key")
+def p21(spark, sf_dir):
+    return tables(spark, sf_dir).variants().select("id", parse.group_key().alias("activity"))
+
+
+@query("a2_conditional_count")
+def a2(spark, sf_dir):
+    """A2: per email, category and product views of the whole click stream."""
+    t = tables(spark, sf_dir)
+    clicks = identity.attach_email(t.page_views(), t.email_uuids())
+    return clicks.groupBy("email").agg(
+        F.count(F.when(parse.category_key() != "", F.col("timestamp"))).alias("cgid_count"),
+        F.count(F.when(parse.product_key() != "", F.col("timestamp"))).alias("pdp_count"))
+
+
+@query("l2_top1")
+def l2(spark, sf_dir):
+    """L2: the newest order line (a top-1 report)."""
+    o = tables(spark, sf_dir).orders_fact()
+    return edge(o.orderBy(F.desc_nulls_first("order_date"), F.desc("order_id"),
+                          F.desc("sales_order_sku")).limit(1))

@@ -625,3 +625,15 @@ SQL["r1_landed_page_views"] = SQL["s1_scan"]
 q("r2_hourly_partials", "select email, time_since_browse, cgid_count, pdp_count from browse",
   browse=BROWSE, single_email=SINGLE)
 SQL["m7_model_record"] = SQL["t8_run_training"]
+
+# ------------------------------------------------------ small named rules ---
+q("p18_nonblank_filter", "select email, activity, color_code from score_views "
+  "where activity_type = 'pid' and color_code is distinct from ''", score_views=SCORE_VIEWS)
+q("p21_group_key", "select id, product_style_code || '_' || group_code as activity "
+  "from dim_product_variants")
+q("a2_conditional_count", f"select eu.email, count(case when {CAT} <> '' then c.timestamp end) as "
+  f"cgid_count, count(case when {PDP} <> '' then c.timestamp end) as pdp_count "
+  "from clickstream_page_views c join email_uuids eu on c.user_uuid = eu.uuid group by eu.email")
+q("l2_top1", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date, "
+  "sales_order_sku from ft_master_orders order by order_date desc nulls first, order_id desc, "
+  "sales_order_sku desc limit 1")
