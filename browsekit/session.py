@@ -63,9 +63,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A per-call table location under the shared checkpoint folder."""
+    """A per-call table location under the shared checkpoint folder, grouped
+    by application so one run's stage tables can be expired together."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    app = spark.sparkContext.applicationId
+    return f"{base}/browsekit-{app}/{name}-{os.getpid()}-{next(_counter)}"
 
 
 def _count():
