@@ -37,9 +37,10 @@ def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
     rows = materialize(sequences.training_views(tables, start))
     vocab = sequences.fit_vocabulary(rows)
     parts = sequences.train_test_split(rows)
+    fit_part = "full" if fit_on_full else "train"
     seq = {n: materialize(sequences.to_sequences(sequences.encode(parts[n], vocab)))
-           for n in ("train", "test", "full")}
-    fit_seq = seq["full" if fit_on_full else "train"]
+           for n in (fit_part, "test")}
+    fit_seq = seq[fit_part]
     model = affinity.fit(fit_seq)
     rr = affinity.reciprocal_ranks(seq["test"], model, affinity.universe_of(fit_seq))
     version = version if version is not None else config.ms(start) // 1000

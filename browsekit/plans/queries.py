@@ -514,7 +514,7 @@ def _all_predictions(spark, sf_dir):
     views = features.window_filter(t.page_views(lo, None, strict_lo=True), lo, None, strict_lo=True)
     rows = materialize(sequences.activity_views(views, t.email_uuids(), clean_color=True))
     vocab = sequences.fit_vocabulary(rows)
-    enc = materialize(sequences.encode(rows, vocab))
+    enc = sequences.encode(rows, vocab)
     seqs = materialize(sequences.to_sequences(enc))
     model = affinity.fit(seqs)
     cands = enc.select("email", "activity_type", "activity", "item").distinct()
@@ -965,3 +965,14 @@ def l2(spark, sf_dir):
     o = tables(spark, sf_dir).orders_fact()
     return edge(o.orderBy(F.desc_nulls_first("order_date"), F.desc("order_id"),
                           F.desc("sales_order_sku")).limit(1))
+
+
+@query("r1_hourly_run")
+def r1_run(spark, sf_dir):
+    """The hourly run fed by the landed click table (same result as T7)."""
+    t = tables(spark, sf_dir)
+    vocab, model = jobs.serving_model(t)
+    out, ckpt = _stream_dirs(spark, "r1run")
+    run = streaming.hourly_run(spark, t, _events_glob(sf_dir), out, ckpt, WIN, vocab, model,
+                               rollout_bits=256)
+    return _flat_payload(run.outbox)

@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join side is broadcast only when its measured size is under this
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 

@@ -97,3 +97,42 @@ def features_from_partials(partials: DataFrame, win: RunWindow) -> DataFrame:
                     (F.lit(win.run_ms // 1000) - F.expr("_last_ms div 1000"))
                     .cast("double").alias("time_since_browse"),
                     "cgid_count", "pdp_count"))
+
+
+class LandedTables:
+    """The job inputs with page views read from the R1 landed table.
+
+    Every other input comes from ``base``; ``page_views`` prunes the landed
+    table's ``view_date`` partitions to the requested window before the
+    millisecond bounds, so an hourly run reads a few days of partitions.
+    """
+
+    def __init__(self, base, landed_path: str):
+        self._base = base
+        self._path = landed_path
+
+    def __getattr__(self, name):
+        return getattr(self._base, name)
+
+    def page_views(self, lo_ms: int | None = None, hi_ms: int | None = None,
+                   strict_lo: bool = False) -> DataFrame:
+        df = self._base.spark.read.parquet(self._path)
+        ts = F.col("timestamp")
+        if lo_ms is not None:
+            df = df.where(F.col("view_date") >= F.to_date(F.timestamp_millis(F.lit(lo_ms))))
+            df = df.where(ts > lo_ms if strict_lo else ts >= lo_ms)
+        if hi_ms is not None:
+            df = df.where(F.col("view_date") <= F.to_date(F.timestamp_millis(F.lit(hi_ms))))
+            df = df.where(ts < hi_ms)
+        return df.drop("view_date")
+
+
+def hourly_run(spark: SparkSession, tables, events_path: str, landed_path: str,
+               checkpoint: str, win: RunWindow, vocab: DataFrame, model, rollout_bits: int = 224):
+    """Land the new page views (availableNow), then score the run from
+    the landed table (T7).  Returns the run's ``Scoring`` frames."""
+    from ..plans import jobs
+
+    land_page_views(spark, events_path, landed_path, checkpoint).awaitTermination()
+    return jobs.build_scoring(LandedTables(tables, landed_path), win, vocab, model,
+                              rollout_bits=rollout_bits)

@@ -637,3 +637,4 @@ q("a2_conditional_count", f"select eu.email, count(case when {CAT} <> '' then c.
 q("l2_top1", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date, "
   "sales_order_sku from ft_master_orders order by order_date desc nulls first, order_id desc, "
   "sales_order_sku desc limit 1")
+SQL["r1_hourly_run"] = SQL["t7_run_scoring"]
