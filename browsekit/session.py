@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce shuffle partitions to the advisory size (64 MB), not to the
+    # core count: the setting Spark's tuning guide gives for production
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # a join side is broadcast only when its measured size is under this
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
