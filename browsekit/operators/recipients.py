@@ -36,9 +36,10 @@ def sent_in_window(log: DataFrame, win: RunWindow,
             .agg(F.when(F.bool_or("send_flag"), 1).otherwise(0).alias("sent")))
 
 
-def eligible(log: DataFrame, win: RunWindow) -> DataFrame:
+def eligible(log: DataFrame, win: RunWindow,
+             hours: int = config.RESEND_BLOCK_HOURS) -> DataFrame:
     """Emails with a log row in the window and ``sent`` = 0."""
-    return sent_in_window(log, win).where(F.col("sent") == 0).select("email")
+    return sent_in_window(log, win, hours).where(F.col("sent") == 0).select("email")
 
 
 def threshold_bands(scores: DataFrame, threshold: float = config.SEND_THRESHOLD) -> DataFrame:
@@ -62,14 +63,15 @@ def fraction_sample(df: DataFrame, fraction: float, key: str = "email",
 
 def select_recipients(scores: DataFrame, log: DataFrame, win: RunWindow,
                       threshold: float = config.SEND_THRESHOLD,
-                      fraction: float = config.FRACTION_SEND) -> DataFrame:
+                      fraction: float = config.FRACTION_SEND,
+                      hours: int = config.RESEND_BLOCK_HOURS) -> DataFrame:
     """Everyone at or over the threshold plus a sample of those under it,
     all restricted to users not mailed in the resend window.
 
     ``log`` must already hold this run's rows (S6), as the reference writes
     them before reading the log back.
     """
-    ok = scores.join(eligible(log, win), "email", "left_semi")
+    ok = scores.join(eligible(log, win, hours), "email", "left_semi")
     banded = threshold_bands(ok, threshold)
     over = banded.where(F.col("band") == "over").select("email")
     under = fraction_sample(banded.where(F.col("band") == "under"), fraction).select("email")
