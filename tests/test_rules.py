@@ -136,3 +136,14 @@ def test_null_color_filter_keeps_null(spark):
                                              T.StructField("color_code", T.StringType())]))
     got = {r.activity: list(r.color_code) for r in recommend.color_lists(df).collect()}
     assert got == {"p": [], "q": ["01"]}
+
+
+def test_dense_index_many_partitions(spark):
+    from browsekit.operators.ranking import dense_index
+    import random
+    vals = [f"v{random.Random(3).randint(0, 10**9) + i * 7919:012d}" for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals + vals[:500]], "activity string")
+    got = dense_index(df, "activity", partitions=7)
+    assert got.select("activity").distinct().count() == 3000
+    rows = sorted((r.activity, r.idx) for r in got.collect())
+    assert [i for _, i in rows] == list(range(3000))
