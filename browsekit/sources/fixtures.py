@@ -13,7 +13,6 @@ catalog tables of the same schema.  Operators only ever see the interface.
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
