@@ -95,6 +95,21 @@ def _params(params: DataFrame) -> dict[str, tuple[float, float, float]]:
     return {r["feature"]: (r["mean"], r["scale"], r["weight"]) for r in rows}
 
 
+def fit_scaler(features: DataFrame, names=config.SEND_FEATURES) -> DataFrame:
+    """M2 fit: per feature, mean and population standard deviation (the
+    scaler the reference loads is fitted this way), as ``(feature, mean,
+    scale)`` rows; a zero deviation scales by 1.  One aggregation, combined
+    map-side, then a tiny unpivot."""
+    aggs = []
+    for n in names:
+        aggs += [F.avg(n).alias(f"m_{n}"), F.stddev_pop(n).alias(f"s_{n}")]
+    wide = features.agg(*aggs)
+    rows = [F.struct(F.lit(n).alias("feature"), F.col(f"m_{n}").alias("mean"),
+                     F.when(F.col(f"s_{n}") == 0, F.lit(1.0)).otherwise(F.col(f"s_{n}"))
+                     .alias("scale")) for n in names]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def standardize(features: DataFrame, params: DataFrame,
                 names=config.SEND_FEATURES) -> DataFrame:
     """M2: ``(x - mean) / scale`` with stored mean and scale per feature."""

@@ -976,3 +976,13 @@ def r1_run(spark, sf_dir):
     run = streaming.hourly_run(spark, t, _events_glob(sf_dir), out, ckpt, WIN, vocab, model,
                                rollout_bits=256)
     return _flat_payload(run.outbox)
+
+
+@query("m2_fit_scaler")
+def m2_fit(spark, sf_dir):
+    """M2 fit: mean and population deviation of the six unscaled features."""
+    t = tables(spark, sf_dir)
+    views = t.page_views(WIN.send_lo, WIN.send_hi)
+    feats = features.with_order_history(features.browse_features(views, t.email_uuids(), WIN),
+                                        features.order_history(t.orders_fact(), WIN))
+    return edge(features.fit_scaler(feats))

@@ -638,3 +638,7 @@ q("l2_top1", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:
   "sales_order_sku from ft_master_orders order by order_date desc nulls first, order_id desc, "
   "sales_order_sku desc limit 1")
 SQL["r1_hourly_run"] = SQL["t7_run_scoring"]
+q("m2_fit_scaler", " union all ".join(
+    f"select '{n}' as feature, round(avg(\"{n}\"), 6) as mean, "
+    f"round(case when stddev_pop(\"{n}\") = 0 then 1.0 else stddev_pop(\"{n}\") end, 6) as scale "
+    "from feats" for n in config.SEND_FEATURES), **FEAT_CTES)
