@@ -122,11 +122,19 @@ def latest_sizes(orders: DataFrame, variants: DataFrame, skus: DataFrame,
             .select("email", F.col("category").alias("dept"), "identifier"))
 
 
-def user_sizes(preds: DataFrame, variants: DataFrame, latest: DataFrame) -> DataFrame:
+def user_sizes(preds: DataFrame, variants: DataFrame, latest: DataFrame,
+               null_safe: bool = False) -> DataFrame:
     """J6 + J7: attach the shoe department of each activity (fans out when an
-    activity has two) and the user's latest size in it (NULL when none)."""
+    activity has two) and the user's latest size in it (NULL when none).
+
+    SQL equality by default: a NULL department matches nothing.
+    ``null_safe=True`` matches NULL to NULL, as a pandas merge does."""
     with_dept = preds.join(shoe_departments(variants), "activity", "left")
-    return with_dept.join(latest, ["email", "dept"], "left")
+    if not null_safe:
+        return with_dept.join(latest, ["email", "dept"], "left")
+    l = latest.select(F.col("email").alias("_le"), F.col("dept").alias("_ld"), "identifier")
+    cond = (with_dept.email == l._le) & with_dept.dept.eqNullSafe(l._ld)
+    return with_dept.join(l, cond, "left").drop("_le", "_ld")
 
 
 # -- predicates -------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import RunWindow
-from .ranking import hash_sample
+from .ranking import hash_sample, sample_hash
 
 
 def score_log_rows(scores: DataFrame, win: RunWindow) -> DataFrame:
@@ -51,13 +51,18 @@ def threshold_bands(scores: DataFrame, threshold: float = config.SEND_THRESHOLD)
 
 
 def fraction_sample(df: DataFrame, fraction: float, key: str = "email",
-                    seed: str = config.SAMPLE_SEED) -> DataFrame:
+                    seed: str = config.SAMPLE_SEED, exact: bool = True) -> DataFrame:
     """L3: exactly ``round_half_even(fraction * n)`` rows, first in hash order.
 
     No global sort: rows are ranked through 65,536 hash-prefix buckets
     (see ``ranking``), so the only single-task step is a running sum over
-    at most 65,536 bucket counts.
+    at most 65,536 bucket counts.  ``exact=False`` keeps each row whose
+    hash falls in the first ``fraction`` of the hash space: no ranking and
+    no count, about ``fraction * n`` rows, the same rows on every run.
     """
+    if not exact:
+        h = F.conv(F.substring(sample_hash(seed, F.col(key)), 1, 8), 16, 10).cast("long")
+        return df.where(h < F.lit(int(fraction * 16 ** 8)))
     return hash_sample(df, key, seed, lambda n: F.bround(F.lit(float(fraction)) * n))
 
 

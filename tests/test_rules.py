@@ -147,3 +147,21 @@ def test_dense_index_many_partitions(spark):
     assert got.select("activity").distinct().count() == 3000
     rows = sorted((r.activity, r.idx) for r in got.collect())
     assert [i for _, i in rows] == list(range(3000))
+
+
+def test_null_safe_department_join(spark):
+    preds = spark.createDataFrame([("e", "x_01")], "email string, activity string")
+    variants = spark.createDataFrame([(1, "x", "01", "Bags")],
+                                     "id long, product_style_code string, group_code string, "
+                                     "category string")
+    latest = spark.createDataFrame([("e", None, "37")], "email string, dept string, identifier string")
+    plain = inventory.user_sizes(preds, variants, latest).collect()
+    safe = inventory.user_sizes(preds, variants, latest, null_safe=True).collect()
+    assert plain[0].identifier is None and safe[0].identifier == "37"
+
+
+def test_approximate_sample_is_repeatable(spark):
+    df = spark.createDataFrame([(f"e{i}",) for i in range(2000)], "email string")
+    a = {r.email for r in recipients.fraction_sample(df, 0.45, exact=False).collect()}
+    b = {r.email for r in recipients.fraction_sample(df, 0.45, exact=False).collect()}
+    assert a == b and 700 < len(a) < 1100

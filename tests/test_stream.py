@@ -34,3 +34,17 @@ def test_landed_page_views_equal_batch(spark):
     cols = ["user_uuid", "timestamp", "session_id", "host", "query_string", "url"]
     landed = spark.read.parquet(f"{base}/out").select(*cols)
     assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, t.page_views().select(*cols).collect()))
+
+
+def test_landed_read_prunes_date_partitions(spark):
+    t = FixtureTables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="browsekit-prune-")
+    incremental.land_page_views(spark, f"{SF_SMALL}/event[s].parquet", f"{base}/out",
+                                f"{base}/ckpt").awaitTermination()
+    win = RunWindow()
+    landed = incremental.LandedTables(t, f"{base}/out")
+    df = landed.page_views(win.send_lo, win.send_hi)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(view_date" in plan and "view_date#" in plan
+    want = sorted(map(tuple, t.page_views(win.send_lo, win.send_hi).collect()))
+    assert sorted(map(tuple, df.collect())) == want
