@@ -59,8 +59,11 @@ def best_per_user(df: DataFrame, user: str = "email", score: str = "pred") -> Da
     ``WindowGroupLimit``, so each task keeps one row per user before the
     shuffle."""
     s = F.nanvl(F.col(score), F.lit(None).cast("double"))
+    # rows equal on (score, activity, sku) differ only where J6 fanned out;
+    # ordering on those columns too keeps the pick the same on recompute
+    extra = [F.asc_nulls_first(c) for c in ("dept", "identifier") if c in df.columns]
     w = Window.partitionBy(user).orderBy(F.desc_nulls_last(s), F.asc("activity"),
-                                         F.asc_nulls_first("upc"))
+                                         F.asc_nulls_first("upc"), *extra)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -442,7 +442,8 @@ ALL_CTES = dict(
           "l.active_flag = 'active') or list_contains(l.color_code, l.sksz_color_code), false)",
     checked="select * from buyers union all by name select * from leads",
     best="select * exclude (rn) from (select *, row_number() over (partition by email order by "
-         "pred desc nulls last, activity asc, upc asc nulls first) as rn from "
+         "pred desc nulls last, activity asc, upc asc nulls first, dept asc nulls first, "
+         "identifier asc nulls first) as rn from "
          "(select * from checked union all by name select * from cat_preds) u) r where rn = 1",
     vfields="select variant_primary_image, product_id, product_name, color, material, "
             "color_code as pv_color_code, group_code, product_style_code, id as product_variant_id, "
