@@ -84,11 +84,13 @@ def send_scores(tables, win: RunWindow) -> DataFrame:
 
 def build_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, DataFrame],
                   n: int | None = None, score_log: DataFrame | None = None,
-                  rollout_bits: int = 224, scores: DataFrame | None = None) -> Scoring:
+                  rollout_bits: int = 224, scores: DataFrame | None = None,
+                  log_pred=None) -> Scoring:
     """The hourly run as one plan.
 
     ``score_log`` is the log as read back after this run's rows were
     appended; by default the fixture history plus this run's rows.
+    ``log_pred`` optionally renders the prediction-log scores (a Column).
     """
     scores = scores if scores is not None else send_scores(tables, win)
     rows = recipients.score_log_rows(scores, win)
@@ -101,7 +103,7 @@ def build_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, Dat
     cat_scores = preds.where(F.col("activity_type") == "cgid")
     pid_preds = recommend.product_predictions(pid_scores, run["pid_rows"])
     cat_preds = recommend.category_predictions(cat_scores)
-    plog = outbox.prediction_log(pid_preds, cat_preds, win)
+    plog = outbox.prediction_log(pid_preds, cat_preds, win, pred=log_pred)
     stocked = inventory.in_stock(inventory.inventory_from_events(tables.inventory_events()))
     best = materialize(recommend.recommend(pid_scores, cat_scores, run["pid_rows"], tables,
                                            stocked))

@@ -756,12 +756,11 @@ def t7_224(spark, sf_dir):
 
 @query("s7_prediction_log")
 def s7(spark, sf_dir):
+    """The run's prediction log rows (preds as 6-place decimals in the JSON)."""
     t = tables(spark, sf_dir)
     vocab, model = jobs.serving_model(t)
-    run = jobs.build_scoring(t, WIN, vocab, model)
-    return edge(run.prediction_log.select(
-        "email", F.length("product_pred").alias("product_chars"),
-        F.length("category_pred").alias("category_chars"), "timestamp"))
+    run = jobs.build_scoring(t, WIN, vocab, model, log_pred=_json_pred(F.col("pred")))
+    return edge(run.prediction_log)
 
 
 @query("t8_run_training")

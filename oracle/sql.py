@@ -643,3 +643,4 @@ q("m2_fit_scaler", " union all ".join(
     f"select '{n}' as feature, round(avg(\"{n}\"), 6) as mean, "
     f"round(case when stddev_pop(\"{n}\") = 0 then 1.0 else stddev_pop(\"{n}\") end, 6) as scale "
     "from feats" for n in config.SEND_FEATURES), **FEAT_CTES)
+q("s7_prediction_log", PLOG, **T7_CTES)
