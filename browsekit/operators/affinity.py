@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .. import config
-from ..session import materialize
+from ..session import materialize_many
 
 K = ("activity_type",)
 
@@ -49,11 +49,10 @@ def fit(sequences: DataFrame) -> dict[str, DataFrame]:
     partial row per task before the shuffle.  The tables are the fitted
     model, written once to the checkpoint folder.
     """
-    counts = materialize(
-        _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")))
-    totals = counts.groupBy(*K).agg(F.sum("item_count").alias("total"))
-    pairs = materialize(
+    counts, pairs = materialize_many(
+        _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")),
         _pairs(sequences).groupBy(*K, "src", "dst").agg(F.count(F.lit(1)).alias("pair_count")))
+    totals = counts.groupBy(*K).agg(F.sum("item_count").alias("total"))
     src = pairs.groupBy(*K, "src").agg(F.sum("pair_count").alias("src_count"))
     # one row per activity type in ``totals``; ``src`` is re-aggregated from
     # the written pair counts, so both derived tables stay cheap scans

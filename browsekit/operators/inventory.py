@@ -15,7 +15,7 @@ from pyspark.sql import Window
 
 from .. import config
 from ..functions import parse
-from ..session import materialize
+from ..session import materialize_many
 
 EVENT_SCHEMA = T.ArrayType(T.StructType([T.StructField("sku", T.StringType()),
                                          T.StructField("qty", T.LongType())]))
@@ -183,12 +183,14 @@ def check_inventory(preds: DataFrame, variants: DataFrame, skus: DataFrame,
     per SKU.  Returns the prediction columns plus the SKU columns.
 
     The sized predictions and their SKU rows are each used three times;
-    both are written once to the checkpoint folder (stage boundary).
+    both are written once to the checkpoint folder (stage boundary), as
+    two concurrent jobs since neither needs the other.
     """
-    pid = materialize(user_sizes(preds, variants,
-                                 latest_sizes(orders, variants, skus, emails=preds.select("email"))))
-    sizes = materialize(sku_sizes(variants, skus, active).join(
-        pid.select("activity").distinct(), "activity", "left_semi"))
+    pid, sizes = materialize_many(
+        user_sizes(preds, variants, latest_sizes(orders, variants, skus,
+                                                 emails=preds.select("email"))),
+        sku_sizes(variants, skus, active).join(preds.select("activity").distinct(),
+                                               "activity", "left_semi"))
     wanted = pid.select("activity", F.col("identifier").alias("_want")).distinct()
     prods = (wanted.join(sizes, "activity")
              .where(F.col("_want").isNull() | (F.col("_want") == F.col("identifier"))))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import RunWindow
-from ..session import materialize
+from ..session import materialize, materialize_many
 from ..operators import (affinity, features, inventory, outbox, recipients, recommend,
                          sequences)
 
@@ -38,8 +38,9 @@ def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
     vocab = sequences.fit_vocabulary(rows)
     parts = sequences.train_test_split(rows)
     fit_part = "full" if fit_on_full else "train"
-    seq = {n: materialize(sequences.to_sequences(sequences.encode(parts[n], vocab)))
-           for n in (fit_part, "test")}
+    built = materialize_many(*[sequences.to_sequences(sequences.encode(parts[n], vocab))
+                               for n in (fit_part, "test")])
+    seq = dict(zip((fit_part, "test"), built))
     fit_seq = seq[fit_part]
     model = affinity.fit(fit_seq)
     rr = affinity.reciprocal_ranks(seq["test"], model, affinity.universe_of(fit_seq))
@@ -66,6 +67,18 @@ def serving_model(tables, start=config.TRAIN_START) -> tuple[DataFrame, dict[str
     return vocab, affinity.fit(seqs)
 
 
+def prepare_run(tables, win: RunWindow, start=config.TRAIN_START):
+    """The serving vocabulary and model, and this run's send scores, built
+    as concurrent jobs (independent inputs)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        served = pool.submit(serving_model, tables, start)
+        scores = pool.submit(send_scores, tables, win)
+        vocab, model = served.result()
+        return vocab, model, scores.result()
+
+
 @dataclass
 class Scoring:
     score_rows: DataFrame

@@ -742,24 +742,25 @@ def s9(spark, sf_dir):
 def t7(spark, sf_dir):
     """T7 end to end (rollout gate at 256 bits so DuckDB can check it)."""
     t = tables(spark, sf_dir)
-    vocab, model = jobs.serving_model(t)
-    run = jobs.build_scoring(t, WIN, vocab, model, rollout_bits=256)
+    vocab, model, scores = jobs.prepare_run(t, WIN)
+    run = jobs.build_scoring(t, WIN, vocab, model, rollout_bits=256, scores=scores)
     return _flat_payload(run.outbox)
 
 
 @query("t7_run_scoring_224")
 def t7_224(spark, sf_dir):
     t = tables(spark, sf_dir)
-    vocab, model = jobs.serving_model(t)
-    return _flat_payload(jobs.build_scoring(t, WIN, vocab, model).outbox)
+    vocab, model, scores = jobs.prepare_run(t, WIN)
+    return _flat_payload(jobs.build_scoring(t, WIN, vocab, model, scores=scores).outbox)
 
 
 @query("s7_prediction_log")
 def s7(spark, sf_dir):
     """The run's prediction log rows (preds as 6-place decimals in the JSON)."""
     t = tables(spark, sf_dir)
-    vocab, model = jobs.serving_model(t)
-    run = jobs.build_scoring(t, WIN, vocab, model, log_pred=_json_pred(F.col("pred")))
+    vocab, model, scores = jobs.prepare_run(t, WIN)
+    run = jobs.build_scoring(t, WIN, vocab, model, scores=scores,
+                             log_pred=_json_pred(F.col("pred")))
     return edge(run.prediction_log)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 
@@ -78,14 +79,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/browsekit-{app}/{name}-{os.getpid()}-{next(_counter)}"
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+_counter = itertools.count(1)   # next() on a count is atomic: safe from job threads
 
 
 def materialize(df):
@@ -98,3 +92,15 @@ def materialize(df):
     path = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_many(*dfs):
+    """``materialize`` for independent frames, submitted as concurrent Spark
+    jobs (one driver thread each) so small stages share the cluster instead
+    of queueing behind one another."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(dfs) < 2:
+        return [materialize(d) for d in dfs]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(materialize, dfs))
