@@ -67,16 +67,23 @@ def serving_model(tables, start=config.TRAIN_START) -> tuple[DataFrame, dict[str
     return vocab, affinity.fit(seqs)
 
 
+def concurrently(*steps):
+    """Run independent driver-side steps (each building and writing its own
+    stage tables) on separate threads, so their Spark jobs run side by side;
+    returns their results in order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
 def prepare_run(tables, win: RunWindow, start=config.TRAIN_START):
     """The serving vocabulary and model, and this run's send scores, built
     as concurrent jobs (independent inputs)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        served = pool.submit(serving_model, tables, start)
-        scores = pool.submit(send_scores, tables, win)
-        vocab, model = served.result()
-        return vocab, model, scores.result()
+    served, scores = concurrently(lambda: serving_model(tables, start),
+                                  lambda: send_scores(tables, win))
+    return (*served, scores)
 
 
 @dataclass

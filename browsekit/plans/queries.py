@@ -330,16 +330,18 @@ def t4(spark, sf_dir):
     return out
 
 
-def _recipients(t: FixtureTables) -> DataFrame:
-    scores = _scores(t)
+def _recipients(t: FixtureTables, scores: DataFrame | None = None) -> DataFrame:
+    scores = scores if scores is not None else _scores(t)
     return recipients.select_recipients(scores, _score_log(t, scores), WIN)
 
 
 def _t3(spark, sf_dir):
     t = tables(spark, sf_dir)
-    vocab = sequences.fit_vocabulary(sequences.training_views(t, config.TRAIN_START))
+    vocab, scores = jobs.concurrently(
+        lambda: sequences.fit_vocabulary(sequences.training_views(t, config.TRAIN_START)),
+        lambda: _scores(t))
     rows = sequences.scoring_views(t, WIN)
-    return t, vocab, rows, sequences.activity_sequences(rows, _recipients(t), vocab)
+    return t, vocab, rows, sequences.activity_sequences(rows, _recipients(t, scores), vocab)
 
 
 @query("p13_known_vocabulary")
@@ -383,8 +385,10 @@ def m4(spark, sf_dir):
 @query("m5_affinity_score")
 def m5(spark, sf_dir):
     t = tables(spark, sf_dir)
-    _, vocab, _, model = _full_model(spark, sf_dir)
-    run = sequences.activity_sequences(sequences.scoring_views(t, WIN), _recipients(t), vocab)
+    (_, vocab, _, model), scores = jobs.concurrently(lambda: _full_model(spark, sf_dir),
+                                                     lambda: _scores(t))
+    run = sequences.activity_sequences(sequences.scoring_views(t, WIN), _recipients(t, scores),
+                                       vocab)
     cands = run["views"].select("email", "activity_type", "activity", "item").distinct()
     return edge(affinity.score(cands, run["sequences"], model))
 
