@@ -107,9 +107,9 @@ def to_sequences(df: DataFrame, group_cols: Sequence[str] = ("email", "activity_
     q = F.col("_total") - F.col("_rank")
     k_hi = F.floor(q / step)
     k_lo = F.greatest(F.lit(0), F.ceil((q - length + 1) / step))
-    per_window = ranked.select(*g, item_col, q.alias("_q"),
-                               F.explode(F.sequence(k_lo.cast("int"), k_hi.cast("int")))
-                               .alias("chunk"))
+    # step > length leaves gaps: a row between windows belongs to none
+    windows = F.when(k_lo <= k_hi, F.sequence(k_lo.cast("int"), k_hi.cast("int")))
+    per_window = ranked.select(*g, item_col, q.alias("_q"), F.explode(windows).alias("chunk"))
     items = F.transform(F.array_sort(F.collect_list(F.struct(
         (-F.col("_q")).alias("o"), F.col(item_col).alias("v")))), lambda s: s["v"])
     seqs = per_window.groupBy(*g, "chunk").agg(items.alias("_items"))

@@ -165,3 +165,13 @@ def test_approximate_sample_is_repeatable(spark):
     a = {r.email for r in recipients.fraction_sample(df, 0.45, exact=False).collect()}
     b = {r.email for r in recipients.fraction_sample(df, 0.45, exact=False).collect()}
     assert a == b and 700 < len(a) < 1100
+
+
+def test_sequence_windows_with_gaps(spark):
+    rows = [("u", "pid", "s", f"a{i}", i + 1, i) for i in range(11)]
+    df = (spark.createDataFrame(rows, "email string, activity_type string, session_id string, "
+                                      "activity string, item int, sec long")
+          .withColumn("activity_dt", F.timestamp_seconds("sec")))
+    got = {r.chunk: list(r["items"]) for r in sequences.to_sequences(df, length=3, step=5).collect()}
+    # windows end at 11, 6, 1 (newest first) and hold the 3 items before each end
+    assert got == {0: [9, 10, 11], 1: [4, 5, 6], 2: [0, 0, 1]}
