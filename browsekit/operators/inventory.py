@@ -113,9 +113,13 @@ def latest_sizes(orders: DataFrame, variants: DataFrame, skus: DataFrame,
     shuffle, so even a buyer with a third of all orders ships one row per
     task and category.
     """
-    s = sales_rows(orders, variants, skus, lower_email)
     if emails is not None:
-        s = s.join(emails.select("email").distinct(), "email", "left_semi")
+        # restrict the orders to the wanted buyers before the star join, so
+        # only their lines meet the SKU and variant tables
+        key = F.lower("billing_email") if lower_email else F.col("billing_email")
+        wanted = emails.select(F.col("email").alias("_we")).distinct()
+        orders = orders.join(wanted, key == wanted._we, "left_semi")
+    s = sales_rows(orders, variants, skus, lower_email)
     w = Window.partitionBy("email", "category").orderBy(F.desc_nulls_first("order_date"),
                                                         F.desc("sku"))
     return (s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
