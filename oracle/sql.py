@@ -334,7 +334,8 @@ INV_CTES = dict(
     inv="select sku, arg_max(qty, pos) as qty from inv_ent where qty > 0 group by sku",
     stocked=f"select distinct sku from inv where qty >= {config.INVENTORY_MIN}",
 )
-q("s3_latest_snapshot", "select id, type, length(event) as event_chars from inv_doc", **INV_CTES)
+q("s3_latest_snapshot", "select id, type, cast(length(event) as integer) as event_chars from inv_doc",
+  **INV_CTES)
 q("s4_inventory_events", "select sku, qty from inv", **INV_CTES)
 q("s4_inventory_upper_limit", "select sku, arg_max(qty, pos) as qty from inv_ent "
   "where qty > 0 and qty <= 3 group by sku", **INV_CTES)
@@ -611,7 +612,7 @@ q("f_time", "select user_uuid, timestamp, strftime(to_timestamp(timestamp // 100
   "'%Y-%m-%d %H:%M:%S') as activity_dt, strftime(date_trunc('day', to_timestamp(timestamp // 1000)"
   "::timestamp), '%Y-%m-%d %H:%M:%S') as day, "
   f"epoch({RUN_TS})::bigint - timestamp // 1000 as epoch_gap, "
-  "year(to_timestamp(timestamp // 1000)::timestamp) as year, "
+  "cast(year(to_timestamp(timestamp // 1000)::timestamp) as integer) as year, "
   f"date_sub('day', to_timestamp(timestamp // 1000)::timestamp, {RUN_TS}) as days, "
   f"strftime({RUN_TS} - interval '5 days 2 hours', '%Y-%m-%d %H:%M:%S') as window_start "
   "from clickstream_page_views")

@@ -14,6 +14,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
+
+
 def canon(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "<null>"
@@ -39,9 +43,12 @@ def con():
 def test_matches_duckdb(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(entry.oracle_sql()[key])
-    want = rows_of([d[0] for d in res.description], res.fetchall())
+    rel = con.sql(entry.oracle_sql()[key])
+    want = rows_of(rel.columns, rel.fetchall())
     assert got == want
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
 
 
 def test_every_query_runs(spark):
