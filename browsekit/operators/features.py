@@ -58,15 +58,20 @@ def browse_features(views: DataFrame, identity: DataFrame, win: RunWindow) -> Da
                     "cgid_count", "pdp_count", "count"))
 
 
-def order_history(orders: DataFrame, win: RunWindow) -> DataFrame:
+def order_history(orders: DataFrame, win: RunWindow, emails: DataFrame | None = None) -> DataFrame:
     """A4: per lower(email): distinct orders and whole days since the last.
 
     Distinct orders are counted in two steps ((email, order) then email) so
-    a heavy buyer's rows spread over the first shuffle.
+    a heavy buyer's rows spread over the first shuffle.  ``emails``, when
+    given, keeps only those buyers before any shuffle (a semi join the
+    planner can broadcast): the hourly run needs the history of the users
+    it scores, not of every buyer in the fact table.
     """
-    per_order = (orders.select(F.lower("billing_email").alias("email"), "order_id",
-                               F.col("order_date").cast("timestamp").alias("order_date"))
-                 .groupBy("email", "order_id").agg(F.max("order_date").alias("_last")))
+    o = orders.select(F.lower("billing_email").alias("email"), "order_id",
+                      F.col("order_date").cast("timestamp").alias("order_date"))
+    if emails is not None:
+        o = o.join(emails.select("email").distinct(), "email", "left_semi")
+    per_order = o.groupBy("email", "order_id").agg(F.max("order_date").alias("_last"))
     return (per_order.groupBy("email")
             .agg(F.count("order_id").alias("lifetime_orders"),
                  F.max("_last").alias("_last"))
@@ -133,5 +138,6 @@ def send_features(tables, win: RunWindow) -> DataFrame:
     """Scaled six-feature rows per email, ready for the send model."""
     views = tables.page_views(win.send_lo, win.send_hi)
     feats = browse_features(views, tables.email_uuids(), win)
-    full = with_order_history(feats, order_history(tables.orders_fact(), win))
+    history = order_history(tables.orders_fact(), win, emails=feats.select("email"))
+    full = with_order_history(feats, history)
     return standardize(full, tables.send_params())
