@@ -134,6 +134,19 @@ def send_probability(scaled: DataFrame, params: DataFrame,
     return scaled.select("email", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("send_pred"))
 
 
+def send_probability_from_model(scaled: DataFrame, model, names=config.SEND_FEATURES) -> DataFrame:
+    """M3 with a fitted Spark ML ``LogisticRegressionModel`` instead of the
+    parameter table: the six scaled columns are assembled into a vector and
+    the model's JVM-side ``transform`` scores them; ``send_pred`` is the
+    positive-class probability."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    vec = VectorAssembler(inputCols=list(names), outputCol="_features").transform(scaled)
+    scored = model.copy({model.featuresCol: "_features"}).transform(vec)
+    return scored.select("email", vector_to_array(model.getProbabilityCol())[1].alias("send_pred"))
+
+
 def send_features(tables, win: RunWindow) -> DataFrame:
     """Scaled six-feature rows per email, ready for the send model."""
     views = tables.page_views(win.send_lo, win.send_hi)

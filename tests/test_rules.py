@@ -175,3 +175,21 @@ def test_sequence_windows_with_gaps(spark):
     got = {r.chunk: list(r["items"]) for r in sequences.to_sequences(df, length=3, step=5).collect()}
     # windows end at 11, 6, 1 (newest first) and hold the 3 items before each end
     assert got == {0: [9, 10, 11], 1: [4, 5, 6], 2: [0, 0, 1]}
+
+
+def test_send_probability_from_spark_ml_model(spark):
+    import math as m
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from browsekit.operators import features
+    from browsekit import config
+    train = spark.createDataFrame([(float(i % 2), Vectors.dense([i * 0.1, -i * 0.05, 1.0, 0.5 * i, 0.0, 1.0]))
+                                   for i in range(40)], ["label", "features"])
+    model = LogisticRegression(maxIter=20).fit(train)
+    rows = [(f"e{i}", *[float(i * (j + 1)) / 10 for j in range(6)]) for i in range(5)]
+    scaled = spark.createDataFrame(rows, "email string, " + ", ".join(f"`{n}` double" for n in config.SEND_FEATURES))
+    got = {r.email: r.send_pred for r in features.send_probability_from_model(scaled, model).collect()}
+    w, b = model.coefficients.toArray(), model.intercept
+    for e, *x in rows:
+        z = b + sum(wi * xi for wi, xi in zip(w, x))
+        assert m.isclose(got[e], 1 / (1 + m.exp(-z)), rel_tol=1e-9)
