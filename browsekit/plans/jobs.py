@@ -59,6 +59,13 @@ def run_training(tables, path: str, **kw) -> Training:
     return t
 
 
+def load_serving(spark, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Vocabulary and model tables written by ``run_training``, as the hourly
+    run loads them (the reference downloads its fitted artefacts likewise)."""
+    base = path.rstrip("/")
+    return spark.read.parquet(f"{base}/vocabulary"), affinity.load_model(spark, base)
+
+
 def serving_model(tables, start=config.TRAIN_START) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Vocabulary and a model fitted on every training sequence, as served."""
     rows = materialize(sequences.training_views(tables, start))

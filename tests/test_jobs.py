@@ -7,7 +7,7 @@ import tempfile
 from conftest import SF_SMALL
 
 from browsekit.config import RunWindow
-from browsekit.operators import affinity, outbox
+from browsekit.operators import outbox
 from browsekit.plans import jobs
 from browsekit.sources.fixtures import FixtureTables
 
@@ -17,8 +17,7 @@ def test_training_then_scoring_writes(spark):
     base = tempfile.mkdtemp(prefix="browsekit-jobs-")
     trained = jobs.run_training(t, f"{base}/model", fit_on_full=True)
     assert {r.activity_type for r in spark.read.parquet(f"{base}/model/record").collect()} == {"pid", "cgid"}
-    model = affinity.load_model(spark, f"{base}/model")
-    vocab = spark.read.parquet(f"{base}/model/vocabulary")
+    vocab, model = jobs.load_serving(spark, f"{base}/model")
     assert vocab.count() == trained.vocabulary.count()
 
     win = RunWindow()
