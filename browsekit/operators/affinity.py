@@ -46,8 +46,9 @@ def fit(sequences: DataFrame) -> dict[str, DataFrame]:
     ``items``: ``(activity_type, item, item_count, total)``;
     ``transitions``: ``(activity_type, src, dst, pair_count, src_count)``.
     Every count is a map-side-combined aggregate, so a hot item costs one
-    partial row per task before the shuffle.  The tables are the fitted
-    model, written once to the checkpoint folder.
+    partial row per task before the shuffle.  The item and pair counts (the
+    fitted model) are written once to the checkpoint folder, as two
+    concurrent jobs; totals and predecessor counts are derived from them.
     """
     counts, pairs = materialize_many(
         _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")),
