@@ -934,9 +934,14 @@ def r2(spark, sf_dir):
     """R2: send features from streamed hourly partials (watermark 2 h)."""
     t = tables(spark, sf_dir)
     out, ckpt = _stream_dirs(spark, "r2")
-    q = streaming.start_hourly_partials(spark, _events_glob(sf_dir), t.email_uuids(), out, ckpt)
-    q.awaitTermination()
-    return edge(streaming.features_from_partials(spark.read.parquet(out), WIN))
+    dout, dckpt = _stream_dirs(spark, "r2d")
+    ids = t.email_uuids()
+    queries_ = [streaming.start_hourly_partials(spark, _events_glob(sf_dir), ids, out, ckpt),
+                streaming.start_hourly_distinct(spark, _events_glob(sf_dir), ids, dout, dckpt)]
+    for q in queries_:
+        q.awaitTermination()
+    return edge(streaming.features_from_partials(spark.read.parquet(out), WIN,
+                                                 distinct=spark.read.parquet(dout)))
 
 
 # ------------------------------------------------------ small named rules ---

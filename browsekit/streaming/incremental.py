@@ -9,9 +9,10 @@ product view counts -- as hourly partials per email under a 2-hour
 watermark (the reference ends every window 2 h before the run for late
 rows).  A run then sums the 122 hourly partials of its window instead of
 rescanning 5 days of clicks.  Each row lands in exactly one hour, so no
-row is replicated across overlapping windows.  The distinct-timestamp
-count is not mergeable across hours of a stream aggregate and stays in the
-batch job (A1).
+row is replicated across overlapping windows.  The distinct-timestamp count
+comes from a second stream that deduplicates (email, timestamp) under the
+watermark before counting per hour; since a timestamp lies in one hour, the
+hourly distinct counts add up exactly.
 """
 
 from __future__ import annotations
@@ -72,31 +73,68 @@ def hourly_partials(clicks: DataFrame, identity: DataFrame, hosts=config.HOSTS,
                     "last_ms", "cgid_count", "pdp_count", "views"))
 
 
+def hourly_distinct_views(clicks: DataFrame, identity: DataFrame, hosts=config.HOSTS,
+                          lateness: str = "2 hours") -> DataFrame:
+    """R2, distinct part: per (email, hour) the number of distinct view
+    timestamps.  Rows are deduplicated on (email, timestamp) under the
+    watermark, then counted per hour; a timestamp lies in exactly one hour,
+    so summing hours gives the exact distinct count of any hour-aligned
+    window."""
+    c = host_filter(clicks, hosts).select(
+        "user_uuid", "timestamp", F.timestamp_millis("timestamp").alias("event_time"))
+    joined = attach_email(c, restrict_single_email(identity))
+    return (joined.withWatermark("event_time", lateness)
+            .dropDuplicates(["email", "timestamp", "event_time"])
+            .groupBy("email", F.window("event_time", "1 hour").alias("w"))
+            .agg(F.count(F.lit(1)).alias("distinct_views"))
+            .select("email", F.col("w.start").alias("hour_start"),
+                    F.col("w.end").alias("hour_end"), "distinct_views"))
+
+
+def _start(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
+    return (df.writeStream.format("parquet").outputMode("append")
+            .option("path", out_path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def start_hourly_partials(spark: SparkSession, events_path: str, identity: DataFrame,
                           out_path: str, checkpoint: str) -> StreamingQuery:
     """Run R2 once over the available files (``availableNow``), appending
     finalized hours to a parquet table."""
     clicks = derive_page_views(event_stream(spark, events_path))
-    return (hourly_partials(clicks, identity).writeStream.format("parquet")
-            .outputMode("append").option("path", out_path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _start(hourly_partials(clicks, identity), out_path, checkpoint)
+
 
+def start_hourly_distinct(spark: SparkSession, events_path: str, identity: DataFrame,
+                          out_path: str, checkpoint: str) -> StreamingQuery:
+    """The distinct-timestamp partials as their own availableNow stream."""
+    clicks = derive_page_views(event_stream(spark, events_path))
+    return _start(hourly_distinct_views(clicks, identity), out_path, checkpoint)
 
-def features_from_partials(partials: DataFrame, win: RunWindow) -> DataFrame:
+
+def features_from_partials(partials: DataFrame, win: RunWindow,
+                           distinct: DataFrame | None = None) -> DataFrame:
     """Sum the hourly partials inside ``[send_lo, send_hi)`` and apply the
-    recency gate: the A1 columns except the distinct count."""
+    recency gate: the A1 columns, with ``count`` (distinct view timestamps)
+    when the distinct partials are given."""
     lo = F.timestamp_millis(F.lit(win.send_lo))
     hi = F.timestamp_millis(F.lit(win.send_hi))
-    p = partials.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
-    agg = p.groupBy("email").agg(F.max("last_ms").alias("_last_ms"),
-                                 F.sum("cgid_count").alias("cgid_count"),
-                                 F.sum("pdp_count").alias("pdp_count"))
+
+    def in_window(df: DataFrame) -> DataFrame:
+        return df.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
+
+    agg = in_window(partials).groupBy("email").agg(F.max("last_ms").alias("_last_ms"),
+                                                   F.sum("cgid_count").alias("cgid_count"),
+                                                   F.sum("pdp_count").alias("pdp_count"))
+    cols = ["cgid_count", "pdp_count"]
+    if distinct is not None:
+        d = in_window(distinct).groupBy("email").agg(F.sum("distinct_views").alias("count"))
+        agg = agg.join(d, "email", "left")
+        cols.append("count")
     return (agg.where(F.col("_last_ms") >= F.lit(win.recency_lo))
             .select("email",
                     (F.lit(win.run_ms // 1000) - F.expr("_last_ms div 1000"))
-                    .cast("double").alias("time_since_browse"),
-                    "cgid_count", "pdp_count"))
+                    .cast("double").alias("time_since_browse"), *cols))
 
 
 class LandedTables:

@@ -624,7 +624,7 @@ q("f_hash", f"select distinct email, sha256(email) as sha256, md5('{config.SAMPL
 
 # -------------------------------------------------------------- streaming ---
 SQL["r1_landed_page_views"] = SQL["s1_scan"]
-q("r2_hourly_partials", "select email, time_since_browse, cgid_count, pdp_count from browse",
+q("r2_hourly_partials", 'select email, time_since_browse, cgid_count, pdp_count, "count" from browse',
   browse=BROWSE, single_email=SINGLE)
 SQL["m7_model_record"] = SQL["t8_run_training"]
 

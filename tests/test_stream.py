@@ -14,12 +14,16 @@ def test_hourly_partials_equal_batch(spark):
     win = RunWindow()
     t = FixtureTables(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="browsekit-stream-")
-    q = incremental.start_hourly_partials(spark, f"{SF_SMALL}/event[s].parquet", t.email_uuids(),
-                                          f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    streamed = incremental.features_from_partials(spark.read.parquet(f"{base}/out"), win)
+    ev = f"{SF_SMALL}/event[s].parquet"
+    for q in (incremental.start_hourly_partials(spark, ev, t.email_uuids(), f"{base}/out",
+                                                f"{base}/ckpt"),
+              incremental.start_hourly_distinct(spark, ev, t.email_uuids(), f"{base}/dist",
+                                                f"{base}/dckpt")):
+        q.awaitTermination()
+    streamed = incremental.features_from_partials(spark.read.parquet(f"{base}/out"), win,
+                                                  distinct=spark.read.parquet(f"{base}/dist"))
     batch = features.browse_features(t.page_views(win.send_lo, win.send_hi), t.email_uuids(), win)
-    cols = ["email", "time_since_browse", "cgid_count", "pdp_count"]
+    cols = ["email", "time_since_browse", "cgid_count", "pdp_count", "count"]
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert a == b and len(a) > 0
