@@ -143,7 +143,8 @@ def train_test_split(df: DataFrame, seed: str = config.SAMPLE_SEED,
     type in one pass (sampling, semi and anti joins all keyed by it).
     """
     b = list(by)
-    picked = session_sample(df, seed=seed, by=b).select(*b, "session_id")
+    # the sampled sessions feed four joins: written once
+    picked = materialize(session_sample(df, seed=seed, by=b).select(*b, "session_id"))
     test0 = df.join(picked, [*b, "session_id"], "left_semi")
     rest = df.join(picked, [*b, "session_id"], "left_anti")
     train = rest.join(test0.select(*b, "activity").distinct(), [*b, "activity"], "left_semi")
