@@ -186,15 +186,16 @@ def check_inventory(preds: DataFrame, variants: DataFrame, skus: DataFrame,
     at least ``threshold`` in stock (J8 + A9 + J11).  Lead rows stay one
     per SKU.  Returns the prediction columns plus the SKU columns.
 
-    The sized predictions and their SKU rows are each used three times;
-    both are written once to the checkpoint folder (stage boundary), as
-    two concurrent jobs since neither needs the other.
+    The sized predictions, their SKU rows and the in-stock SKU set are each
+    used more than once; they are written once to the checkpoint folder
+    (stage boundary), as concurrent jobs since none needs another.
     """
-    pid, sizes = materialize_many(
+    pid, sizes, stocked = materialize_many(
         user_sizes(preds, variants, latest_sizes(orders, variants, skus,
                                                  emails=preds.select("email"))),
         sku_sizes(variants, skus, active).join(preds.select("activity").distinct(),
-                                               "activity", "left_semi"))
+                                               "activity", "left_semi"),
+        stocked.select("sku").distinct())
     wanted = pid.select("activity", F.col("identifier").alias("_want")).distinct()
     prods = (wanted.join(sizes, "activity")
              .where(F.col("_want").isNull() | (F.col("_want") == F.col("identifier"))))
