@@ -129,16 +129,15 @@ class FixtureTables:
     # -- people and clicks -------------------------------------------------
     def email_uuids(self) -> DataFrame:
         u = F.col("user_id")
-        users = self.raw("events").select("user_id").distinct()
-        main = users.select(
-            F.concat(F.lit("u"), u.cast("string")).alias("uuid"),
-            F.concat(F.lit("user"),
-                     F.when(u % 10 == 3, u - 1).otherwise(u).cast("string"),
-                     F.lit("@example.com")).alias("email"))
-        alias = users.where(u % 10 == 0).select(
-            F.concat(F.lit("u"), u.cast("string")).alias("uuid"),
-            F.concat(F.lit("alias"), u.cast("string"), F.lit("@example.com")).alias("email"))
-        return main.unionByName(alias)
+        main = F.concat(F.lit("user"), F.when(u % 10 == 3, u - 1).otherwise(u).cast("string"),
+                        F.lit("@example.com"))
+        alias = F.concat(F.lit("alias"), u.cast("string"), F.lit("@example.com"))
+        # one pass over the distinct users: the main row, plus an alias row
+        # for every tenth user
+        emails = F.when(u % 10 == 0, F.array(main, alias)).otherwise(F.array(main))
+        return (self.raw("events").select("user_id").distinct()
+                .select(F.concat(F.lit("u"), u.cast("string")).alias("uuid"),
+                        F.explode(emails).alias("email")))
 
     def page_views(self, lo_ms: int | None = None, hi_ms: int | None = None,
                    strict_lo: bool = False) -> DataFrame:
