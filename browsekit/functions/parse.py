@@ -89,7 +89,17 @@ ROLLOUT_HEX_224 = format(int((2 ** 224) * 0.9), "056x")
 ROLLOUT_HEX_256 = format(int((2 ** 256) * 0.9), "064x")
 
 
-def in_rollout(email="email", bits: int = 224) -> Column:
-    """sha-``bits`` of the email, as an integer, at most 2**bits * 0.9."""
-    limit = ROLLOUT_HEX_224 if bits == 224 else ROLLOUT_HEX_256
+def rollout_limit(bits: int = 224, share: float = 0.9) -> str:
+    """``2**bits * share`` (computed in floating point, as the gate's
+    definition does) as ``bits/4`` lower-case hex digits."""
+    top = 2 ** bits - 1   # a share of 1 or more admits every hash
+    return format(min(int((2 ** bits) * share), top), f"0{bits // 4}x")
+
+
+def in_rollout(email="email", bits: int = 224, share: float = 0.9) -> Column:
+    """sha-``bits`` of the email, as an integer, at most 2**bits * share."""
+    if share == 0.9:
+        limit = ROLLOUT_HEX_224 if bits == 224 else ROLLOUT_HEX_256
+    else:
+        limit = rollout_limit(bits, share)
     return F.sha2(_c(email), bits) <= F.lit(limit)

@@ -64,3 +64,13 @@ def test_rollout_gate_matches_integer_rule(spark, emails):
     got = {r.email: r.ok for r in df.select("email", parse.in_rollout("email", 224).alias("ok")).collect()}
     for e in emails:
         assert got[e] == (int(hashlib.sha224(e.encode()).hexdigest(), 16) <= (2 ** 224) * 0.9)
+
+
+@SETTINGS
+@given(st.floats(0.01, 0.98), st.floats(0.0, 0.5))
+def test_rollout_gate_monotone_in_share(spark, lo, gap):
+    hi = min(1.0, lo + gap)
+    df = spark.createDataFrame([(f"user{i}@example.com",) for i in range(200)], "email string")
+    a = {r.email for r in df.where(parse.in_rollout("email", 224, lo)).collect()}
+    b = {r.email for r in df.where(parse.in_rollout("email", 224, hi)).collect()}
+    assert a <= b
