@@ -40,3 +40,19 @@ def test_latest_row_uses_window_group_limit(spark):
     df = entry.queries()["a8_latest_sizes"](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
     assert "WindowGroupLimit" in plan_of(df)
+
+
+def test_browse_features_two_level_aggregate(spark):
+    """A hot email is spread over (email, timestamp) before the per-email step."""
+    df = entry.queries()["a1_browse_features"](spark, SF_SMALL)
+    text = plan_of(df)
+    assert "hashpartitioning(email" in text
+    assert any("keys=[email" in line and "timestamp" in line for line in text.split("\n")
+               if "HashAggregate" in line)
+
+
+def test_sequence_ranks_are_bucketed(spark):
+    """W3 ranks inside (user, type, minute bucket), never a whole user in one sort."""
+    df = entry.queries()["w3_sequences"](spark, SF_SMALL)
+    text = plan_of(df)
+    assert "row_number()" in text and "_bucket" in text
