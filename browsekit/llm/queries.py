@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition
+from . import repetition, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +21,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "dup_line_chars")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
 }
 SQL: dict[str, str] = {}

@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Texts, Words, arrow_map, byte_table, group_sum, in_groups, space_table, span_hash
+from .text import (Texts, Words, arrow_map, byte_table, group_sum, in_groups, mix, space_table, span_hash,
+                   window_hash)
 
 # n-gram length -> largest share of a document's word characters that may lie in
 # n-grams found twice or more (first included).
@@ -31,8 +32,6 @@ STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 def _covered(words: Words, n: int) -> np.ndarray:
     """True for words inside a run of n words that occurs twice or more in the same text."""
-    from .text import mix, window_hash
-
     cover = np.zeros(len(words.doc) + 1, dtype=np.int32)
     at = words.windows(n)
     if len(at):

@@ -155,18 +155,21 @@ def slices(array: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, Texts], dict], schema: str,
-              text_col: str, keep: tuple[str, ...] = (), max_bytes: int = SLICE_BYTES) -> DataFrame:
+              text_col: str, keep: tuple[str, ...] = (), max_bytes: int = SLICE_BYTES,
+              per_task: bool = False) -> DataFrame:
     """``mapInArrow`` over slices: ``work(rows, texts)`` gives one array per new column, and the
-    columns in ``keep`` are carried over.  ``schema`` is the DDL of the new columns."""
+    columns in ``keep`` are carried over.  ``schema`` is the DDL of the new columns.  With
+    ``per_task``, ``work()`` is called once a task and gives that function (for state)."""
     kept = df.select(*keep).schema
     new = df.sparkSession.createDataFrame([], schema).schema
     out = type(new)([*kept.fields, *new.fields])
 
     def run(batches):
+        step = work() if per_task else work
         for batch in batches:
             for at, texts in slices(batch.column(batch.schema.get_field_index(text_col)), max_bytes):
                 rows = batch.slice(at, texts.n)
-                made = work(rows, texts)
+                made = step(rows, texts)
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(rows.schema.get_field_index(c)) for c in keep),
                      *(made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name])
