@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition, substring
+from . import near, repetition, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +25,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicate_classes(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
 }
 SQL: dict[str, str] = {}
