@@ -5,10 +5,19 @@ Each query applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near, repetition, substring
+from . import near, packing, repetition, substring
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed tokenizers; BROWSEKIT_TOKENIZER names another one."""
+    import public_tokenizers
+
+    return os.environ.get("BROWSEKIT_TOKENIZER") or str(public_tokenizers.path(name))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +30,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "dup_line_chars")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
@@ -30,6 +43,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
