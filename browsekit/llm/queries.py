@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near, packing, repetition, substring
+from . import lines, mixing, near, packing, repetition, substring
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -42,10 +42,28 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicate_classes(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_boilerplate(documents(spark, sf_dir)).select(
+        F.col("_row.doc_id").alias("doc_id"), F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"), F.col("_text").alias("text"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_probabilities(documents(spark, sf_dir)).select(
+        F.col("_row.doc_id").alias("doc_id"), F.col("_cell_source").alias("cell_source"),
+        F.col("_cell_lang").alias("cell_lang"), F.col("_cell_topic").alias("cell_topic"),
+        F.col("_tokens").alias("tokens"), F.round("_p", 6).alias("p"), F.col("_kept").alias("kept"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_mixing": op9_mixing,
+}
+SQL: dict[str, str] = {
+    "op7_line_dedup": lines.line_dedup_sql(),
+    "op9_mixing": mixing.mixing_sql(),
 }
-SQL: dict[str, str] = {}
