@@ -14,7 +14,6 @@ tokenizer itself, once per character.
 
 from __future__ import annotations
 
-import json
 from itertools import chain
 
 import numpy as np
@@ -24,35 +23,23 @@ from .text import Texts, span_hash, worker_cache
 LETTER, DIGIT, MARK, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The characters that stand for bytes in a byte-level vocabulary: printable Latin-1
-    characters for themselves, the others for code points from 256 on, in order."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+def byte_alphabet() -> dict[int, int]:
+    """Byte -> the character that stands for it in a byte-level vocabulary: printable Latin-1
+    characters stand for themselves, the others for code points from 256 on, in order."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Ids of texts under one tokenizer file; keep one for each worker with ``encoder``."""
 
     def __init__(self, path: str):
-        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        alphabet = byte_alphabet()
-        ranks = {}
-        for token, i in vocabulary.items():
-            try:
-                ranks[bytes(alphabet[c] for c in token)] = i
-            except KeyError:    # a special token: never the id of ordinary text
-                continue
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        ranks = {k: i for k, i in ranks.items() if i not in special.values()}
-        # the same vocabulary in a BPE core that takes single pieces
-        self.core = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.model = self.tokenizer.model
+        self.alphabet = byte_alphabet()
         self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
         self.ids: dict[int, list[int]] = {}
         self._learn(range(128))
@@ -65,6 +52,10 @@ class Encoder:
             self.kinds[p] = next((kind for kind, mate in ((LETTER, "a"), (DIGIT, "1"), (MARK, "!"))
                                   if len(split(mate + c)) == 1), SPACE)
 
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of one piece, from the tokenizer's own model."""
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
+
     def _starts(self, points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Where the pieces of some texts begin (code points, text bounds)."""
         n = len(points)
@@ -109,7 +100,7 @@ class Encoder:
         for k, a, b in zip(key.tolist(), start[place].tolist(), end[place].tolist()):
             got = self.ids.get(k)
             if got is None:
-                got = self.ids[k] = self.core._core_bpe.encode_single_piece(string[a:b].encode())
+                got = self.ids[k] = self._piece(string[a:b])
             lists.append(got)
         if len(self.ids) > 1_000_000:   # bounds the worker's memory, not the result
             self.ids.clear()
