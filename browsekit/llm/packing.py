@@ -127,7 +127,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         return work
 
     return (arrow_map(x, start, f"doc_tokens long, pieces array<struct<{piece}>>", "_text", ("_id",),
-                      max_bytes=1 << 20, per_task=True)
+                      max_bytes=1 << 19, per_task=True)
             .withColumnRenamed("_id", id_col))
 
 

@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, near, packing, repetition, substring
+from . import compression, lines, mixing, near, packing, repetition, substring
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -42,6 +42,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicate_classes(documents(spark, sf_dir))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = compression.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return compression.score_quality(docs, model)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_boilerplate(documents(spark, sf_dir)).select(
         F.col("_row.doc_id").alias("doc_id"), F.col("_n_lines").alias("n_lines"),
@@ -59,6 +65,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op9_mixing": op9_mixing,

@@ -102,7 +102,7 @@ class Encoder:
             if got is None:
                 got = self.ids[k] = self._piece(string[a:b])
             lists.append(got)
-        if len(self.ids) > 1_000_000:   # bounds the worker's memory, not the result
+        if len(self.ids) > 400_000:   # bounds the worker's memory, not the result
             self.ids.clear()
         size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
         flat = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(size.sum()))
