@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, lines, mixing, near, packing, repetition, substring
+from . import compression, licenses, lines, mixing, near, packing, repetition, substring
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -54,6 +54,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_n_removed").alias("n_removed"), F.col("_text").alias("text"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("expressions")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_probabilities(documents(spark, sf_dir)).select(
         F.col("_row.doc_id").alias("doc_id"), F.col("_cell_source").alias("cell_source"),
@@ -68,6 +72,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
 }
 SQL: dict[str, str] = {
