@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, licenses, lines, mixing, near, packing, repetition, substring
+from . import compression, licenses, lines, mixing, near, packing, repetition, spots, substring
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -48,6 +48,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.score_quality(docs, model)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.neighbour_likeness(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_boilerplate(documents(spark, sf_dir)).select(
         F.col("_row.doc_id").alias("doc_id"), F.col("_n_lines").alias("n_lines"),
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
