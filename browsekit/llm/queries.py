@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, licenses, lines, mixing, near, packing, repetition, spots, substring
+from . import compression, langid, licenses, lines, mixing, near, packing, repetition, spots, substring
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -69,6 +69,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_tokens").alias("tokens"), F.round("_p", 6).alias("p"), F.col("_kept").alias("kept"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict_languages(docs, langid.fit_languages(docs))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -79,6 +84,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {
     "op7_line_dedup": lines.line_dedup_sql(),
