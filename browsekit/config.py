@@ -27,8 +27,6 @@ SESSION_SAMPLE_FRACTION = 0.25  # share of sessions sampled into test
 FILL_LIFETIME_ORDERS = 0        # users without orders
 FILL_DAYS_SINCE_LAST_ORDER = 100
 CATEGORIES_TO_SEND = ("moccasins", "pumps", "womens_pumps", "mens-sneakers")
-FEATURE_NAME = "browse_model"
-EVENT_NAME = "browse-model"
 SEND_WINDOW = timedelta(days=5, hours=2)   # send features look back this far
 WINDOW_LAG = timedelta(hours=2)            # every window ends this long before the run
 RECENCY_GATE = timedelta(hours=9)          # last view at or after last_run - 9 h
@@ -48,6 +46,8 @@ TRAIN_START = datetime(2024, 1, 2, 0, 0, 0)
 TRAIN_START_SHORT = datetime(2024, 1, 29, 0, 0, 0)
 INVENTORY_EVENT_TYPE = "inventory.publish"
 SAMPLE_SEED = "browse"
+FEATURE_NAME = "reminders"      # name of this job in the run log
+EVENT_NAME = "reminder"         # event the outbox asks the mailer to send
 
 # Logistic send model stand-in: (feature, mean, scale, weight), plus bias.
 # The trained model is not part of the reference; these are our parameters.

@@ -83,12 +83,7 @@ def ms_of(ts) -> Column:
     return F.unix_millis(_c(ts).cast("timestamp"))
 
 
-# -- F23 / L4: rollout hash -----------------------------------------------------
-# 2**224 * 0.9 as 56 hex digits; equal-length hex text orders like the number.
-ROLLOUT_HEX_224 = format(int((2 ** 224) * 0.9), "056x")
-ROLLOUT_HEX_256 = format(int((2 ** 256) * 0.9), "064x")
-
-
+# -- F23 / L4: rollout hash; equal-length hex text orders like the number -----------
 def rollout_limit(bits: int = 224, share: float = 0.9) -> str:
     """``2**bits * share`` (computed in floating point, as the gate's
     definition does) as ``bits/4`` lower-case hex digits."""
@@ -98,8 +93,5 @@ def rollout_limit(bits: int = 224, share: float = 0.9) -> str:
 
 def in_rollout(email="email", bits: int = 224, share: float = 0.9) -> Column:
     """sha-``bits`` of the email, as an integer, at most 2**bits * share."""
-    if share == 0.9:
-        limit = ROLLOUT_HEX_224 if bits == 224 else ROLLOUT_HEX_256
-    else:
-        limit = rollout_limit(bits, share)
+    limit = rollout_limit(bits, share)
     return F.sha2(_c(email), bits) <= F.lit(limit)

@@ -101,7 +101,7 @@ def score(candidates: DataFrame, sequences: DataFrame, model: dict[str, DataFram
 
 
 def reciprocal_ranks(test: DataFrame, model: dict[str, DataFrame],
-                     universe: DataFrame) -> DataFrame:
+                     universe: DataFrame, alpha: float = config.AFFINITY_ALPHA) -> DataFrame:
     """M6: reciprocal rank of each test sequence's last item among all items
     of ``universe`` (``(activity_type, max_item)``: items 0..max_item),
     scored from the item before it; ties take the average rank.
@@ -109,12 +109,17 @@ def reciprocal_ranks(test: DataFrame, model: dict[str, DataFrame],
     Scores compare as the integer pair ``(c_ji, c_i)`` (the smoothing term
     is below 1), so ranks are exact and need no pairwise comparison:
 
+    That holds while ``alpha`` times an item's share stays below one whole pair, which
+    every ``0 < alpha <= 1`` ensures; another ``alpha`` raises.
+
     * target seen after j: items above it are j's successors with a larger
       pair, found by a running sum over j's distinct count pairs;
     * target never after j: all of j's successors are above it, plus items
       with a larger popularity among the others -- a running sum over the
       distinct item counts of the universe minus those of j's successors.
     """
+    if not 0 < alpha <= 1:
+        raise ValueError("ranks by count pairs need 0 < alpha <= 1")
     tr = model["transitions"].select(*K, "src", F.col("dst").alias("item"), "pair_count")
     cnt = model["items"].select(*K, "item", "item_count")
     q = (test.select(*K, F.element_at("items", -2).alias("src"),

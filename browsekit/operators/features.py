@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
+from ..session import materialize
 from .identity import attach_email, restrict_single_email
 
 
@@ -94,9 +95,7 @@ def with_order_history(features: DataFrame, history: DataFrame) -> DataFrame:
 def _params(params: DataFrame) -> dict[str, tuple[float, float, float]]:
     """Model parameters are a handful of rows (one per feature): read them
     once on the driver like any fitted model's coefficients."""
-    rows = params.limit(65).collect()
-    if len(rows) > 64:
-        raise ValueError("send_params holds more than 64 rows; not a parameter table")
+    rows = params.where(F.col("feature").isin("bias", *config.SEND_FEATURES)).limit(64).collect()
     return {r["feature"]: (r["mean"], r["scale"], r["weight"]) for r in rows}
 
 
@@ -150,7 +149,9 @@ def send_probability_from_model(scaled: DataFrame, model, names=config.SEND_FEAT
 def send_features(tables, win: RunWindow) -> DataFrame:
     """Scaled six-feature rows per email, ready for the send model."""
     views = tables.page_views(win.send_lo, win.send_hi)
-    feats = browse_features(views, tables.email_uuids(), win)
+    # one row per scored user, written once: the features feed both the join and the
+    # set of buyers, and the clicks behind them are scanned a single time
+    feats = materialize(browse_features(views, tables.email_uuids(), win))
     history = order_history(tables.orders_fact(), win, emails=feats.select("email"))
     full = with_order_history(feats, history)
     return standardize(full, tables.send_params())

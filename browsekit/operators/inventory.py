@@ -1,7 +1,7 @@
 """Stock and size checks (S3-S5, S12, A8, A9, J3, J4, J6-J11, J18, P10, P11, P16, P17 -> T5).
 
-Inventory arrives as documents (an event log whose newest ``publish`` event
-holds a JSON array of ``{sku, qty}``, or a reply map ``sku -> {stock_level}``);
+Inventory arrives as documents of bounded size (an event log whose newest
+``publish`` holds JSON arrays of ``{sku, qty}``, or reply maps ``sku -> {stock_level}``);
 both become an ``(sku, qty)`` DataFrame by ``from_json`` + ``explode``, so
 membership tests are semi/left joins, never driver-side sets.
 """
@@ -24,29 +24,36 @@ REPLY_SCHEMA = T.MapType(T.StringType(), T.StructType([T.StructField("stock_leve
 
 # -- S3 / S4 / S5: inventory sources -------------------------------------------------
 def latest_event(events: DataFrame, type_: str = config.INVENTORY_EVENT_TYPE) -> DataFrame:
-    """S3: the newest event of ``type_`` by id (PostgreSQL ``desc``: NULL id first)."""
-    return (events.where(F.col("type") == type_)
-            .orderBy(F.desc_nulls_first("id")).limit(1))
+    """S3: the rows of the newest publish of ``type_`` by id (PostgreSQL ``desc``: NULL id
+    first).  A publish is one row or many of bounded size; the newest id is one row, the only
+    thing broadcast."""
+    typed = events.where(F.col("type") == type_)
+    newest = typed.agg(F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("id").isNull()).alias("_none"),
+                       F.max("id").alias("_max")).where("_n > 0").select(
+        F.when(~F.col("_none"), F.col("_max")).alias("_newest"))
+    return typed.join(F.broadcast(newest), typed.id.eqNullSafe(F.col("_newest"))).drop("_newest")
 
 
 def inventory_from_events(events: DataFrame, upper_limit: float | None = None,
                           type_: str = config.INVENTORY_EVENT_TYPE) -> DataFrame:
-    """``(sku, qty)`` from the newest publish event.
+    """``(sku, qty)`` from the newest publish.
 
-    Entries are read in array order; a missing qty counts 0; an entry with
-    ``0 < qty <= upper_limit`` sets the sku, so a later valid duplicate
-    overrides an earlier one while a later zero leaves it in place.
-    The array is exploded with its positions, so one huge document spreads
-    over tasks after the explode rather than being looped over in one.
+    Entries are read in order of ``part`` (if the events have one) and place in the
+    array; a missing qty counts 0; an entry with ``0 < qty <= upper_limit`` sets the sku,
+    so a later valid duplicate overrides an earlier one while a later zero leaves it in
+    place.  Each document is parsed in the task that holds it; one that is no JSON array
+    of entries fails the query rather than emptying the stock.
     """
     doc = latest_event(events, type_)
-    e = doc.select(F.posexplode(F.from_json("event", EVENT_SCHEMA)).alias("pos", "e"))
+    part = F.col("part") if "part" in events.columns else F.lit(0)
+    e = doc.select(part.alias("part"), F.posexplode(
+        F.from_json("event", EVENT_SCHEMA, {"mode": "FAILFAST"})).alias("pos", "e"))
     qty = F.coalesce(F.col("e.qty"), F.lit(0))
     keep = qty > 0
     if upper_limit is not None:
         keep = keep & (qty <= F.lit(upper_limit))
-    return (e.where(keep).select(F.col("e.sku").alias("sku"), qty.alias("qty"), "pos")
-            .groupBy("sku").agg(F.max_by("qty", "pos").alias("qty")))
+    return (e.where(keep).select(F.col("e.sku").alias("sku"), qty.alias("qty"), "part", "pos")
+            .groupBy("sku").agg(F.max_by("qty", F.struct("part", "pos")).alias("qty")))
 
 
 def inventory_from_reply(reply: DataFrame, minimum: int = config.INVENTORY_MIN) -> DataFrame:
@@ -201,12 +208,11 @@ def check_inventory(preds: DataFrame, variants: DataFrame, skus: DataFrame,
              .where(F.col("_want").isNull() | (F.col("_want") == F.col("identifier"))))
     share = color_stock_share(prods, stocked, threshold).select("activity", "sksz_color_code")
 
+    # catalogue-sized filters first, users after: only SKUs that can be sent meet them
+    ready = sizes.join(stocked.select(F.col("sku").alias("upc")).distinct(), "upc", "left_semi")
     buyers = (pid.where(F.col("identifier").isNotNull())
-              .join(sizes, ["activity", "identifier"])
-              .where(color_ok())
-              .join(stocked.select(F.col("sku").alias("upc")).distinct(), "upc", "left_semi"))
+              .join(ready, ["activity", "identifier"]).where(color_ok()))
     leads = (pid.where(F.col("identifier").isNull()).drop("identifier")
-             .join(sizes, "activity")
-             .where(color_ok())
-             .join(share, ["activity", "sksz_color_code"]))
+             .join(sizes.join(share, ["activity", "sksz_color_code"], "left_semi"), "activity")
+             .where(color_ok()))
     return buyers.unionByName(leads, allowMissingColumns=True)

@@ -46,7 +46,8 @@ def prediction_log(pid_preds: DataFrame, cat_preds: DataFrame, win: RunWindow,
 
 def run_log_row(spark, win: RunWindow, feature: str = config.FEATURE_NAME) -> DataFrame:
     """The run-state row ``(timestamp, feature)``."""
-    return spark.createDataFrame([(win.run, feature)], "timestamp timestamp, feature string")
+    return spark.range(1).select(F.lit(win.run_text).cast("timestamp").alias("timestamp"),
+                                 F.lit(feature).alias("feature"))
 
 
 def last_run(run_log: DataFrame, feature: str = config.FEATURE_NAME) -> DataFrame:
@@ -55,16 +56,22 @@ def last_run(run_log: DataFrame, feature: str = config.FEATURE_NAME) -> DataFram
             .agg(F.max("timestamp").alias("last_run")))
 
 
-def rollout_gate(df: DataFrame, bits: int = 224) -> DataFrame:
-    """L4: users whose ``sha(email)`` as a number is at most 0.9 of the hash space."""
-    return df.where(parse.in_rollout("email", bits))
+def rollout_gate(df: DataFrame, bits: int = 224,
+                 share: float = config.DEPLOYMENT_THRESHOLD) -> DataFrame:
+    """L4: users whose ``sha(email)`` as a number is at most ``share`` of the hash space."""
+    return df.where(parse.in_rollout("email", bits, share))
 
 
 def send_cap(df: DataFrame, n: int | None = None) -> DataFrame:
-    """The first ``n`` rows, best score first (all rows when ``n`` is None)."""
+    """The first ``n`` rows, best score first (all rows when ``n`` is None).
+
+    A user can have several rows of one score (variants of a colour), so the order goes on
+    through activity, SKU and variant: the cut is the same on every run.
+    """
     if n is None:
         return df
-    return df.orderBy(F.desc_nulls_last("pred"), F.asc("email")).limit(int(n))
+    more = [F.asc_nulls_first(c) for c in ("activity", "upc", "product_variant_id") if c in df.columns]
+    return df.orderBy(F.desc_nulls_last("pred"), F.asc("email"), *more).limit(int(n))
 
 
 def payload(best: DataFrame, event_name: str = config.EVENT_NAME) -> DataFrame:
@@ -89,6 +96,11 @@ def payload(best: DataFrame, event_name: str = config.EVENT_NAME) -> DataFrame:
         "pred")
 
 
+def delivery_rows(sent: DataFrame, win: RunWindow) -> DataFrame:
+    """Delivery-log rows ``(email, timestamp)`` of a run's outbox."""
+    return sent.select("email", F.lit(win.run_text).cast("timestamp").alias("timestamp")).distinct()
+
+
 def sent_flags(score_log: DataFrame, delivered: DataFrame) -> DataFrame:
     """``send_flag`` derived from a delivery log ``(email, timestamp)``
     by a left join, instead of updating rows in place."""

@@ -41,9 +41,13 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], bucket: Column,
         F.sum("_n").over(Window.partitionBy(*g)).alias(total_col))
     ranked = x.withColumn("_in_bucket",
                           F.row_number().over(Window.partitionBy(*g, "_bucket").orderBy(*order)))
-    return (ranked.join(counts, [*g, "_bucket"])
+    # null-safe: a row with a null group column or bucket belongs to that group
+    keys = [*g, "_bucket"]
+    right = counts.select(*(F.col(c).alias(f"_r_{i}") for i, c in enumerate(keys)), "_before", total_col)
+    same = [ranked[c].eqNullSafe(right[f"_r_{i}"]) for i, c in enumerate(keys)]
+    return (ranked.join(right, same)
             .withColumn(rank_col, F.col("_before") + F.col("_in_bucket"))
-            .drop("_bucket", "_before", "_in_bucket"))
+            .drop("_bucket", "_before", "_in_bucket", *(f"_r_{i}" for i in range(len(keys)))))
 
 
 def sample_hash(seed: str, key: Column) -> Column:

@@ -22,6 +22,8 @@ def score_log_rows(scores: DataFrame, win: RunWindow) -> DataFrame:
 def trailing(log: DataFrame, win: RunWindow, hours: int = config.RESEND_BLOCK_HOURS) -> DataFrame:
     """``timestamp >= run - hours`` with no upper bound."""
     lo = win.run - timedelta(hours=hours)
+    if "run_date" in log.columns:   # a log partitioned by day: older days are never opened
+        log = log.where(F.col("run_date") >= F.lit(lo.strftime("%Y-%m-%d")).cast("date"))
     return log.where(F.col("timestamp") >= F.lit(lo.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
 
 

@@ -140,16 +140,21 @@ def train_test_split(df: DataFrame, seed: str = config.SAMPLE_SEED,
     train (U2).  Also returns ``full``, every row.
 
     The reference splits one activity type at a time; ``by`` does every
-    type in one pass (sampling, semi and anti joins all keyed by it).
+    type in one pass: one left join marks the sampled rows, written once.
     """
     b = list(by)
-    # the sampled sessions feed four joins: written once
-    picked = materialize(session_sample(df, seed=seed, by=b).select(*b, "session_id"))
-    test0 = df.join(picked, [*b, "session_id"], "left_semi")
-    rest = df.join(picked, [*b, "session_id"], "left_anti")
-    train = rest.join(test0.select(*b, "activity").distinct(), [*b, "activity"], "left_semi")
-    test = test0.join(train.select(*b, "activity").distinct(), [*b, "activity"], "left_semi")
-    return {"train": train, "test": test, "full": df}
+    picked = session_sample(df, seed=seed, by=b).select(*b, "session_id").distinct()
+    marked = materialize(df.join(picked.withColumn("_test", F.lit(True)), [*b, "session_id"], "left")
+                         .withColumn("_test", F.coalesce("_test", F.lit(False))))
+    # per activity (catalogue-sized): does it occur in test, does it occur in train?  Train
+    # rows must have an activity that test has, so an activity stays in test exactly if it
+    # occurs on both sides.
+    sides = (marked.groupBy(*b, "activity")
+             .agg(F.bool_or("_test").alias("_in_test"), F.bool_or(~F.col("_test")).alias("_in_train"))
+             .where("_in_test and _in_train").select(*b, "activity"))
+    both = marked.join(sides, [*b, "activity"], "left_semi")
+    return {"train": both.where(~F.col("_test")).drop("_test"),
+            "test": both.where("_test").drop("_test"), "full": df}
 
 
 # -- T3 ------------------------------------------------------------------------
@@ -162,15 +167,15 @@ def activity_sequences(rows: DataFrame, users: DataFrame, vocab: DataFrame) -> d
     ``activity_type`` column (P14 keeps both types in one frame), and the
     ``(email, activity, color_code)`` rows per type used downstream.
     """
-    chosen = known_vocabulary(rows.join(users.select("email").distinct(), "email", "left_semi"),
-                              vocab)
+    chosen = rows.join(users.select("email").distinct(), "email", "left_semi")
+    # encoding is an inner join with the vocabulary, so it also drops unknown activities
     encoded = materialize(encode(chosen, vocab))
     seqs = materialize(to_sequences(encoded))
     return {
         "views": encoded,
         "sequences": seqs,
-        "pid_rows": chosen.where(F.col("activity_type") == "pid")
-                          .select("email", "activity", "color_code"),
-        "cgid_rows": chosen.where(F.col("activity_type") == "cgid")
+        "pid_rows": encoded.where(F.col("activity_type") == "pid")
                            .select("email", "activity", "color_code"),
+        "cgid_rows": encoded.where(F.col("activity_type") == "cgid")
+                            .select("email", "activity", "color_code"),
     }

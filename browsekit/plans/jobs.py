@@ -1,20 +1,22 @@
 """End-to-end jobs: hourly scoring (T7) and affinity training.
 
-Both are single lazy plans over the input tables; the only actions are the
-writes a caller asks for (score log, prediction log, run log, outbox, model
-tables).  ``build_*`` return the DataFrames; ``run_*`` write them.
+``build_*`` return DataFrames; ``run_*`` also write a caller's outputs (score log,
+prediction log, delivery log, run log, outbox, model tables).  Building is not lazy
+throughout: tables that several later steps read are written to the checkpoint folder
+on the way (``session.materialize``), and ``expire_stage_tables`` removes them after.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..config import RunWindow
-from ..session import materialize, materialize_many
+from ..session import materialize, materialize_many, path_exists
 from ..operators import (affinity, features, inventory, outbox, recipients, recommend,
                          sequences)
 
@@ -49,18 +51,23 @@ def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
     return Training(vocab, model, rr, record)
 
 
-def run_training(tables, path: str, **kw) -> Training:
-    """T8 with artefacts: vocabulary, count tables and the record under ``path``."""
-    t = build_training(tables, **kw)
+def run_training(tables, path: str, start=config.TRAIN_START, **kw) -> Training:
+    """T8 with artefacts under ``path``: the vocabulary and the count tables to serve,
+    fitted on every training sequence, and under ``evaluated`` the tables fitted as
+    ``build_training`` does (by default on the train part), with the record of their
+    test metrics."""
     base = path.rstrip("/")
+    t, (_, served) = concurrently(lambda: build_training(tables, start, **kw),
+                                  lambda: serving_model(tables, start))
     t.vocabulary.write.mode("overwrite").parquet(f"{base}/vocabulary")
-    affinity.save_model(t.model, base)
+    affinity.save_model(served, base)
+    affinity.save_model(t.model, f"{base}/evaluated")
     t.record.write.mode("overwrite").parquet(f"{base}/record")
     return t
 
 
 def load_serving(spark, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Vocabulary and model tables written by ``run_training``, as the hourly
+    """Vocabulary and serving tables written by ``run_training``, as the hourly
     run loads them (the reference downloads its fitted artefacts likewise)."""
     base = path.rstrip("/")
     return spark.read.parquet(f"{base}/vocabulary"), affinity.load_model(spark, base)
@@ -138,22 +145,70 @@ def build_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, Dat
     return Scoring(rows, users, plog, best, outbox.payload(chosen))
 
 
-def run_scoring(tables, win: RunWindow, vocab: DataFrame, model: dict[str, DataFrame],
-                out_dir: str, n: int | None = None) -> Scoring:
-    """T7 with its writes: score log (append, then read back for T2),
-    prediction log, run log, outbox.  Logs are partitioned by run date so
-    the trailing-window read prunes old partitions."""
+def window_of(spark, out_dir: str, run, hosts=config.HOSTS) -> RunWindow:
+    """S8 read side: the window of a run that follows the newest run in ``out_dir``'s run log
+    (the hour before, if there is none)."""
+    path = f"{out_dir.rstrip('/')}/run_log"
+    last = None
+    if path_exists(spark, path):
+        log = spark.read.parquet(path).where(F.col("timestamp") < F.lit(run.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+        text = outbox.last_run(log).select(F.date_format("last_run", "yyyy-MM-dd HH:mm:ss").alias("t")).first()["t"]
+        last = datetime.strptime(text, "%Y-%m-%d %H:%M:%S") if text else None
+    return RunWindow(run, last or run - timedelta(hours=1), hosts)
+
+
+def _write_run(df: DataFrame, path: str, win: RunWindow, fmt: str = "parquet") -> None:
+    """Write one run's rows into the partition of its day and time, replacing what an earlier
+    attempt of the same run left there, and nothing else."""
+    stamp = F.lit(win.run_text).cast("timestamp")
+    (df.withColumn("run_date", F.to_date(stamp)).withColumn("run_time", F.lit(win.run.strftime("t%H%M%S")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date", "run_time").format(fmt).save(path))
+
+
+def run_log_so_far(tables, base: str, win: RunWindow, delivered: DataFrame | None = None) -> DataFrame:
+    """The score log of the resend window with its send flags: the log of earlier systems plus
+    this job's own rows, marked as sent by the delivery log.  Days before the window are
+    pruned by partition."""
+    spark = tables.spark
+    own = recipients.trailing(spark.read.parquet(f"{base}/score_log"), win)
+    log = recipients.trailing(tables.score_history(), win).unionByName(
+        own.select("email", "prob", "timestamp", "send_flag"))
+    if delivered is None and path_exists(spark, f"{base}/delivery_log"):
+        delivered = spark.read.parquet(f"{base}/delivery_log")
+    if delivered is None:
+        return log
+    return outbox.sent_flags(log, recipients.trailing(delivered, win))
+
+
+def run_scoring(tables, win: RunWindow | datetime, vocab: DataFrame, model: dict[str, DataFrame],
+                out_dir: str, n: int | None = None, delivered: DataFrame | None = None,
+                rollout_bits: int = 224) -> Scoring:
+    """T7 with its writes: score log (written, then read back for T2), prediction log,
+    outbox, delivery log and run log, each in the partition of its run, so a repeated run
+    replaces its rows.
+
+    ``win`` may be the run's time alone: the window then starts at the last run in the run
+    log.  ``delivered`` is the mailer's own delivery log ``(email, timestamp)``; without it
+    everything in the outbox counts as delivered and this job writes the log.
+    """
     spark = vocab.sparkSession
     base = out_dir.rstrip("/")
+    if isinstance(win, datetime):
+        win = window_of(spark, base, win)
     scores = send_scores(tables, win)
-    rows = recipients.score_log_rows(scores, win).withColumn("run_date", F.to_date("timestamp"))
-    rows.write.mode("append").partitionBy("run_date").parquet(f"{base}/score_log")
-    log = (tables.score_history().unionByName(
-        spark.read.parquet(f"{base}/score_log").drop("run_date")))
-    s = build_scoring(tables, win, vocab, model, n=n, score_log=log, scores=scores)
-    (s.prediction_log.withColumn("run_date", F.to_date("timestamp"))
-     .write.mode("append").partitionBy("run_date").parquet(f"{base}/prediction_log"))
-    s.outbox.withColumn("timestamp", F.lit(win.run_text).cast("timestamp")) \
-        .write.mode("append").json(f"{base}/outbox")
-    outbox.run_log_row(spark, win).write.mode("append").parquet(f"{base}/run_log")
+    _write_run(recipients.score_log_rows(scores, win), f"{base}/score_log", win)
+    earlier = delivered
+    if earlier is None and path_exists(spark, f"{base}/delivery_log"):
+        # a repeated run must not see its own deliveries
+        earlier = spark.read.parquet(f"{base}/delivery_log").where(
+            F.col("timestamp") < F.lit(win.run_text).cast("timestamp"))
+    log = run_log_so_far(tables, base, win, earlier)
+    s = build_scoring(tables, win, vocab, model, n=n, score_log=log, scores=scores, rollout_bits=rollout_bits)
+    s.outbox = materialize(s.outbox)
+    _write_run(s.prediction_log, f"{base}/prediction_log", win)
+    _write_run(s.outbox.withColumn("timestamp", F.lit(win.run_text).cast("timestamp")), f"{base}/outbox", win, "json")
+    if delivered is None:
+        _write_run(outbox.delivery_rows(s.outbox, win), f"{base}/delivery_log", win)
+    _write_run(outbox.run_log_row(spark, win), f"{base}/run_log", win)
     return s

@@ -429,7 +429,7 @@ def _stocked(t: FixtureTables) -> DataFrame:
 def s3(spark, sf_dir):
     t = tables(spark, sf_dir)
     return inventory.latest_event(t.inventory_events()).select(
-        "id", "type", F.length("event").alias("event_chars"))
+        "id", "part", "type", F.length("event").alias("event_chars"))
 
 
 @query("s4_inventory_events")
@@ -751,6 +751,17 @@ def t7(spark, sf_dir):
     return _flat_payload(run.outbox)
 
 
+@query("t8_trained_then_scored")
+def t8_chain(spark, sf_dir):
+    """T8 then T7 through artefacts: train, save, load, score."""
+    from ..session import scratch_path
+    t = tables(spark, sf_dir)
+    path = scratch_path(spark, "trained")
+    jobs.run_training(t, path)
+    vocab, model = jobs.load_serving(spark, path)
+    return _flat_payload(jobs.build_scoring(t, WIN, vocab, model, rollout_bits=256).outbox)
+
+
 @query("t7_run_scoring_224")
 def t7_224(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -792,9 +803,9 @@ def s2(spark, sf_dir):
     """The orders fact under a dated name, found by suffix."""
     t = tables(spark, sf_dir)
     facts = t.orders_fact()
-    facts.createOrReplaceTempView("scratch_2023_ft_master_orders")
-    facts.where(F.lit(False)).createOrReplaceTempView("scratch_2022_ft_master_orders")
-    name = catalog.resolve_table(spark, "_ft_master_orders")
+    facts.createOrReplaceTempView("scratch_2023_orders_fact")
+    facts.where(F.lit(False)).createOrReplaceTempView("scratch_2022_orders_fact")
+    name = catalog.resolve_table(spark, "_orders_fact")
     return edge(spark.table(name))
 
 
@@ -913,6 +924,10 @@ def _events_glob(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/event[s].parquet"
 
 
+def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming.derive_page_views(streaming.event_stream(spark, _events_glob(sf_dir)))
+
+
 def _stream_dirs(spark, name: str) -> tuple[str, str]:
     from ..session import scratch_path
     base = scratch_path(spark, name)
@@ -923,7 +938,7 @@ def _stream_dirs(spark, name: str) -> tuple[str, str]:
 def r1(spark, sf_dir):
     """Click rows landed by an availableNow file stream, read back."""
     out, ckpt = _stream_dirs(spark, "r1")
-    q = streaming.land_page_views(spark, _events_glob(sf_dir), out, ckpt)
+    q = streaming.land_page_views(_click_stream(spark, sf_dir), out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out).select("user_uuid", "timestamp", "session_id", "host",
                                           "query_string", "url")
@@ -936,8 +951,8 @@ def r2(spark, sf_dir):
     out, ckpt = _stream_dirs(spark, "r2")
     dout, dckpt = _stream_dirs(spark, "r2d")
     ids = t.email_uuids()
-    queries_ = [streaming.start_hourly_partials(spark, _events_glob(sf_dir), ids, out, ckpt),
-                streaming.start_hourly_distinct(spark, _events_glob(sf_dir), ids, dout, dckpt)]
+    queries_ = [streaming.start_hourly_partials(_click_stream(spark, sf_dir), ids, out, ckpt),
+                streaming.start_hourly_distinct(_click_stream(spark, sf_dir), ids, dout, dckpt)]
     for q in queries_:
         q.awaitTermination()
     return edge(streaming.features_from_partials(spark.read.parquet(out), WIN,
@@ -982,7 +997,7 @@ def r1_run(spark, sf_dir):
     t = tables(spark, sf_dir)
     vocab, model = jobs.serving_model(t)
     out, ckpt = _stream_dirs(spark, "r1run")
-    run = streaming.hourly_run(spark, t, _events_glob(sf_dir), out, ckpt, WIN, vocab, model,
+    run = streaming.hourly_run(_click_stream(spark, sf_dir), t, out, ckpt, WIN, vocab, model,
                                rollout_bits=256)
     return _flat_payload(run.outbox)
 

@@ -54,29 +54,46 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we make one, under a fresh scratch folder.
+    A cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session on a
+    local master (tests) gets a fresh scratch folder; on any other master this is an
+    error, since executors would each write to a disk of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="browsekit-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 -- core conf may be read-only at runtime
-            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def stage_root(spark: SparkSession) -> str:
+    """Folder of this application's stage tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/browsekit-{spark.sparkContext.applicationId}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def expire_stage_tables(spark: SparkSession) -> bool:
+    """Remove this application's stage tables (after a run's outputs are written); frames
+    that still read them can no longer be computed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A per-call table location under the shared checkpoint folder, grouped
     by application so one run's stage tables can be expired together."""
-    base = checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
-    return f"{base}/browsekit-{app}/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{stage_root(spark)}/{name}-{os.getpid()}-{next(_counter)}"
 
 
 _counter = itertools.count(1)   # next() on a count is atomic: safe from job threads

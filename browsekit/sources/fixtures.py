@@ -21,6 +21,10 @@ from .. import config
 from ..session import configure
 
 
+SKUS_PER_DOCUMENT = 500     # entries of one stock document, at most
+LATE_PART = 1_000_000_000   # parts from here on follow all others
+
+
 def _lp(c: Column, n: int) -> Column:
     return F.lpad(c.cast("string"), n, "0")
 
@@ -32,12 +36,15 @@ def derive_page_views(ev: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     u = F.col("user_id").cast("string")
     et = F.col("event_type")
-    act = F.concat(_lp(F.expr("k div 2"), 7), F.lit("_"), _lp(F.col("k") % 2 + 1, 2))
+    # twenty neighbouring users share a range of a hundred product groups, so the
+    # viewed part of the catalogue grows with the users
+    act = F.concat(_lp(F.expr("g div 2"), 7), F.lit("_"), _lp(F.col("g") % 2 + 1, 2))
     ms_col = F.unix_millis(F.col("ts").cast("timestamp"))
     cats = F.element_at(F.array(*[F.lit(c) for c in
                                   ("moccasins", "pumps", "mens-sneakers", "boots")]),
                         F.col("k") % 4 + 1)
-    return (ev.select("user_id", "event_type", ms_col.alias("timestamp"), k.alias("k"))
+    return (ev.select("user_id", "event_type", ms_col.alias("timestamp"), k.alias("k"),
+                      (k + 100 * F.expr("user_id div 20")).alias("g"))
             .select(
                 F.concat(F.lit("u"), u).alias("user_uuid"),
                 "timestamp",
@@ -154,11 +161,13 @@ class FixtureTables:
 
     # -- orders ------------------------------------------------------------
     def orders_fact(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_custkey") % 3 != 0)
+        """Every order line; customers divisible by 3 order as guests, under an
+        address that no click identity carries."""
+        o = self.raw("orders")
         li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
         ck = F.col("o_custkey")
         return (o.join(li, o.o_orderkey == li.l_orderkey)
-                .select(F.concat(F.when(ck % 2 == 0, "User").otherwise("user"),
+                .select(F.concat(F.when(ck % 3 == 0, "guest").when(ck % 2 == 0, "User").otherwise("user"),
                                  ck.cast("string"), F.lit("@example.com")).alias("billing_email"),
                         F.col("o_orderkey").alias("order_id"),
                         F.col("o_orderdate").alias("order_date"),
@@ -166,56 +175,52 @@ class FixtureTables:
                         .alias("sales_order_sku")))
 
     # -- inventory ---------------------------------------------------------
-    def _inventory_skus(self) -> DataFrame:
+    def _sku_numbers(self) -> DataFrame:
         n = F.col("id") * 5 + F.col("s")
         return (self.raw("part")
                 .select(F.col("p_partkey").alias("id"),
                         F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s"))
-                .select(n.alias("n")).where(F.col("n") < 1000))
+                .select(n.alias("n")))
 
     def inventory_events(self) -> DataFrame:
-        """Three events: older publish (id 1), newest publish (id 2), other type (id 3).
+        """Three publishes over all SKUs: older (id 1), newest (id 2), other type (id 3).
 
-        The newest array lists SKUs n < 1000 with qty (n*7) % 5, then a second
-        entry qty 9 for n % 50 = 0 and qty 0 for n % 50 = 1; entries with
-        n % 97 = 0 carry no qty.  Bounded by the n < 1000 rule at every scale.
+        A publish is many rows, each a bounded array of at most
+        ``SKUS_PER_DOCUMENT`` entries; ``part`` is the row's place in it.  The
+        newest has qty (n*7) % 5, then, in parts after all others, second
+        entries of qty 9 for n % 50 = 0 and qty 0 for n % 50 = 1; entries with
+        n % 97 = 0 carry no qty.
         """
-        base = self._inventory_skus()
         n = F.col("n")
-        upc = _lp(n, 12)
-        main = base.select(F.lit(0).alias("part"), n,
-                           upc.alias("sku"),
-                           F.when(n % 97 == 0, F.lit(None)).otherwise((n * 7) % 5).alias("qty"))
-        extra = base.where((n % 50 == 0) | (n % 50 == 1)).select(
-            F.lit(1).alias("part"), n, upc.alias("sku"),
-            F.when(n % 97 == 0, F.lit(None)).when(n % 50 == 0, 9).otherwise(0).alias("qty"))
-        newest = (main.unionByName(extra)
-                  .agg(F.sort_array(F.collect_list(F.struct("part", "n", "sku", "qty"))).alias("e"))
-                  .select(F.lit(2).cast("bigint").alias("id"),
-                          F.lit(config.INVENTORY_EVENT_TYPE).alias("type"),
-                          F.to_json(F.transform("e", lambda x: F.struct(
-                              x["sku"].alias("sku"), x["qty"].alias("qty")))).alias("event")))
-        older = (base.where(n < 500)
-                 .agg(F.sort_array(F.collect_list(F.struct("n", _lp(n, 12).alias("sku")))).alias("e"))
-                 .select(F.lit(1).cast("bigint").alias("id"),
-                         F.lit(config.INVENTORY_EVENT_TYPE).alias("type"),
-                         F.to_json(F.transform("e", lambda x: F.struct(
-                             x["sku"].alias("sku"), F.lit(1).alias("qty")))).alias("event")))
-        other = (base.where(n < 100)
-                 .agg(F.sort_array(F.collect_list(F.struct("n", _lp(n, 12).alias("sku")))).alias("e"))
-                 .select(F.lit(3).cast("bigint").alias("id"),
-                         F.lit("inventory.audit").alias("type"),
-                         F.to_json(F.transform("e", lambda x: F.struct(
-                             x["sku"].alias("sku"), F.lit(5).alias("qty")))).alias("event")))
-        return older.unionByName(newest).unionByName(other)
+        base = self._sku_numbers().select(n, _lp(n, 12).alias("sku"))
+        part = F.expr(f"n div {SKUS_PER_DOCUMENT}")
+        late = F.expr(f"{LATE_PART} + n div {25 * SKUS_PER_DOCUMENT}")
+        none = F.lit(None).cast("bigint")
+
+        def rows(df, id_, part_, qty):
+            return df.select(F.lit(id_).cast("bigint").alias("id"), part_.cast("bigint").alias("part"),
+                             "n", "sku", qty.cast("bigint").alias("qty"))
+
+        entries = (rows(base, 2, part, F.when(n % 97 == 0, none).otherwise((n * 7) % 5))
+                   .unionByName(rows(base.where((n % 50 == 0) | (n % 50 == 1)), 2, late,
+                                     F.when(n % 97 == 0, none).when(n % 50 == 0, 9).otherwise(0)))
+                   .unionByName(rows(base, 1, part, F.lit(1)))
+                   .unionByName(rows(base, 3, part, F.lit(5))))
+        entry = F.transform("e", lambda x: F.struct(x["sku"].alias("sku"), x["qty"].alias("qty")))
+        return (entries.groupBy("id", "part")
+                .agg(F.sort_array(F.collect_list(F.struct("n", "sku", "qty"))).alias("e"))
+                .select("id", "part",
+                        F.when(F.col("id") == 3, "inventory.audit")
+                         .otherwise(config.INVENTORY_EVENT_TYPE).alias("type"),
+                        F.to_json(entry).alias("event")))
 
     def inventory_reply(self) -> DataFrame:
-        """One reply document: sku -> {"stock_level": (n*7) % 5}."""
+        """Reply documents of bounded size over all SKUs: sku -> {"stock_level": (n*7) % 5}."""
         n = F.col("n")
-        return (self._inventory_skus()
-                .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
-                    _lp(n, 12).alias("k"),
-                    F.struct(((n * 7) % 5).alias("stock_level")).alias("v"))))).alias("m"))
+        pair = F.struct(_lp(n, 12).alias("k"), F.struct(((n * 7) % 5).alias("stock_level")).alias("v"))
+        return (self._sku_numbers()
+                .groupBy(F.expr(f"n div {SKUS_PER_DOCUMENT}").alias("part"))
+                .agg(F.map_from_entries(F.sort_array(F.collect_list(pair))).alias("m"))
                 .select(F.to_json("m").alias("reply")))
 
     # -- logs --------------------------------------------------------------

@@ -28,6 +28,7 @@ from ..operators.features import host_filter
 from ..operators.identity import attach_email, restrict_single_email
 from ..sources.fixtures import derive_page_views
 
+HOUR_MS = 3_600_000
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
 
@@ -40,11 +41,10 @@ def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return r.parquet(path)
 
 
-def land_page_views(spark: SparkSession, events_path: str, out_path: str,
-                    checkpoint: str) -> StreamingQuery:
-    """Derive click rows from new event files and append them to a
-    parquet table partitioned by view date (file sink: exactly once)."""
-    clicks = derive_page_views(event_stream(spark, events_path))
+def land_page_views(clicks: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a click stream to a parquet table partitioned by view date
+    (file sink: exactly once).  ``clicks`` is any stream of page views; for the fixtures,
+    ``derive_page_views(event_stream(...))``."""
     clicks = clicks.withColumn("view_date", F.to_date(F.timestamp_millis("timestamp")))
     return (clicks.writeStream.format("parquet").outputMode("append")
             .option("path", out_path).option("checkpointLocation", checkpoint)
@@ -97,18 +97,16 @@ def _start(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
-def start_hourly_partials(spark: SparkSession, events_path: str, identity: DataFrame,
+def start_hourly_partials(clicks: DataFrame, identity: DataFrame,
                           out_path: str, checkpoint: str) -> StreamingQuery:
-    """Run R2 once over the available files (``availableNow``), appending
+    """Run R2 once over the available part of a click stream (``availableNow``), appending
     finalized hours to a parquet table."""
-    clicks = derive_page_views(event_stream(spark, events_path))
     return _start(hourly_partials(clicks, identity), out_path, checkpoint)
 
 
-def start_hourly_distinct(spark: SparkSession, events_path: str, identity: DataFrame,
+def start_hourly_distinct(clicks: DataFrame, identity: DataFrame,
                           out_path: str, checkpoint: str) -> StreamingQuery:
     """The distinct-timestamp partials as their own availableNow stream."""
-    clicks = derive_page_views(event_stream(spark, events_path))
     return _start(hourly_distinct_views(clicks, identity), out_path, checkpoint)
 
 
@@ -116,7 +114,41 @@ def features_from_partials(partials: DataFrame, win: RunWindow,
                            distinct: DataFrame | None = None) -> DataFrame:
     """Sum the hourly partials inside ``[send_lo, send_hi)`` and apply the
     recency gate: the A1 columns, with ``count`` (distinct view timestamps)
-    when the distinct partials are given."""
+    when the distinct partials are given.  Partials are whole hours, so a window
+    whose bounds are not raises; ``edges_from_views`` gives the partials of its
+    broken first and last hour."""
+    if win.send_lo % HOUR_MS or win.send_hi % HOUR_MS:
+        raise ValueError("hourly partials need a run on the full hour; see features_at")
+    return _summed(partials, win, distinct)
+
+
+def features_at(partials: DataFrame, distinct: DataFrame, views: DataFrame, identity: DataFrame,
+                win: RunWindow) -> DataFrame:
+    """``features_from_partials`` for a run at any time: whole hours from the partials, the
+    broken first and last hour from the raw ``views`` (at most two hours of clicks)."""
+    first = -(-win.send_lo // HOUR_MS) * HOUR_MS
+    last = win.send_hi // HOUR_MS * HOUR_MS
+    ms = F.col("timestamp")
+    edge = views.where(((ms >= win.send_lo) & (ms < min(first, win.send_hi)))
+                       | ((ms >= max(last, win.send_lo)) & (ms < win.send_hi)))
+    c = host_filter(edge, win.hosts).select(
+        "user_uuid", "timestamp", (parse.category_key() != "").alias("_is_cat"),
+        (parse.product_key() != "").alias("_is_pdp"))
+    lo, hi = F.timestamp_millis(F.lit(win.send_lo)), F.timestamp_millis(F.lit(win.send_hi))
+    joined = attach_email(c, restrict_single_email(identity))
+    sums = joined.groupBy("email").agg(
+        F.max("timestamp").alias("last_ms"), F.count_if("_is_cat").alias("cgid_count"),
+        F.count_if("_is_pdp").alias("pdp_count"), F.count(F.lit(1)).alias("views"))
+    times = (joined.select("email", "timestamp").distinct().groupBy("email")
+             .agg(F.count(F.lit(1)).alias("distinct_views")))
+    whole = partials.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
+    counted = distinct.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
+    bounds = [lo.alias("hour_start"), hi.alias("hour_end")]
+    return _summed(whole.unionByName(sums.select("*", *bounds)), win,
+                   counted.unionByName(times.select("*", *bounds)))
+
+
+def _summed(partials: DataFrame, win: RunWindow, distinct: DataFrame | None) -> DataFrame:
     lo = F.timestamp_millis(F.lit(win.send_lo))
     hi = F.timestamp_millis(F.lit(win.send_hi))
 
@@ -165,12 +197,15 @@ class LandedTables:
         return df.drop("view_date")
 
 
-def hourly_run(spark: SparkSession, tables, events_path: str, landed_path: str,
-               checkpoint: str, win: RunWindow, vocab: DataFrame, model, rollout_bits: int = 224):
-    """Land the new page views (availableNow), then score the run from
-    the landed table (T7).  Returns the run's ``Scoring`` frames."""
+def hourly_run(clicks: DataFrame, tables, landed_path: str, checkpoint: str, win: RunWindow,
+               vocab: DataFrame, model, rollout_bits: int = 224, out_dir: str | None = None):
+    """Land the new page views (availableNow), then score the run from the landed table
+    (T7).  With ``out_dir`` all the run's outputs and its state are written there
+    (``jobs.run_scoring``).  Returns the run's ``Scoring`` frames."""
     from ..plans import jobs
 
-    land_page_views(spark, events_path, landed_path, checkpoint).awaitTermination()
-    return jobs.build_scoring(LandedTables(tables, landed_path), win, vocab, model,
-                              rollout_bits=rollout_bits)
+    land_page_views(clicks, landed_path, checkpoint).awaitTermination()
+    landed = LandedTables(tables, landed_path)
+    if out_dir:
+        return jobs.run_scoring(landed, win, vocab, model, out_dir, rollout_bits=rollout_bits)
+    return jobs.build_scoring(landed, win, vocab, model, rollout_bits=rollout_bits)

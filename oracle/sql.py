@@ -77,7 +77,7 @@ q("a1_browse_features", "select * from browse", browse=BROWSE, single_email=SING
 ORDER_HIST = f"""
     select lower(billing_email) as email, count(distinct order_id) as lifetime_orders,
       date_sub('day', max(order_date), TIMESTAMP '{W.run_text}') as days_since_last_order
-    from ft_master_orders group by 1"""
+    from orders_fact group by 1"""
 q("a4_order_history", "select * from order_hist", order_hist=ORDER_HIST)
 
 FEATS = f"""
@@ -326,15 +326,16 @@ q("a13_mean_reciprocal_rank", "select activity_type, round(avg(rr), 6) as mrr, c
 # -------------------------------------------------------------- inventory ---
 PUBLISH = f"'{config.INVENTORY_EVENT_TYPE}'"
 INV_CTES = dict(
-    inv_doc=f"select * from inventory_events where type = {PUBLISH} "
-            "order by id desc nulls first limit 1",
-    inv_ent="select e.sku as sku, coalesce(e.qty, 0) as qty, pos from (select unnest(from_json(event, "
+    inv_doc=f"select * from inventory_events where type = {PUBLISH} and id is not distinct from "
+            f"(select id from inventory_events where type = {PUBLISH} order by id desc nulls first limit 1)",
+    inv_ent="select e.sku as sku, coalesce(e.qty, 0) as qty, part * 1000 + pos as pos from "
+            "(select part, unnest(from_json(event, "
             "'[{\"sku\":\"VARCHAR\",\"qty\":\"BIGINT\"}]')) as e, "
             "unnest(range(1, cast(json_array_length(event) as bigint) + 1)) as pos from inv_doc) x",
     inv="select sku, arg_max(qty, pos) as qty from inv_ent where qty > 0 group by sku",
     stocked=f"select distinct sku from inv where qty >= {config.INVENTORY_MIN}",
 )
-q("s3_latest_snapshot", "select id, type, cast(length(event) as integer) as event_chars from inv_doc",
+q("s3_latest_snapshot", "select id, part, type, cast(length(event) as integer) as event_chars from inv_doc",
   **INV_CTES)
 q("s4_inventory_events", "select sku, qty from inv", **INV_CTES)
 q("s4_inventory_upper_limit", "select sku, arg_max(qty, pos) as qty from inv_ent "
@@ -347,7 +348,7 @@ q("p17_stock_predicate", "select identifier, product_variant_id, upc from dim_pr
   "where upc in (select sku from stocked)", **INV_CTES)
 
 SALES = ("select {email} as email, sk.identifier, sk.product_variant_id, pv.category, "
-         "f.order_date, sk.upc as sku from ft_master_orders f "
+         "f.order_date, sk.upc as sku from orders_fact f "
          "join dim_product_skus sk on f.sales_order_sku = sk.upc "
          "join dim_product_variants pv on sk.product_variant_id = pv.id")
 q("j3_sales_star", "select email, identifier, product_variant_id, category, "
@@ -522,7 +523,7 @@ q("l4_rollout_gate", f"select distinct email from email_uuids where sha256(email
 FULL = ("select b.*, v.product_variant_id, v.product_name, v.retail_usd, v.factory_region, "
         "v.variant_primary_image from best b left join vfields v on b.activity = v.activity "
         "and b.sksz_color_code = v.pv_color_code")
-PAYLOAD = ("select email, 'browse-model' as event_name, case when activity_type = 'cgid' then activity "
+PAYLOAD = (f"select email, '{config.EVENT_NAME}' as event_name, case when activity_type = 'cgid' then activity "
            "end as category, round(pred, 6) as pred, "
            "case when activity_type = 'pid' then activity end as product_group_id, "
            "case when activity_type = 'pid' then product_name end as name, "
@@ -571,7 +572,7 @@ SQL["s11_model_round_trip"] = SQL["m4_affinity_fit"]
 
 # ---------------------------------------------------------------- catalog ---
 q("s2_resolve_table", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') "
-  "as order_date, sales_order_sku from ft_master_orders")
+  "as order_date, sales_order_sku from orders_fact")
 q("s13_active_styles", "select distinct cast(pvid as integer) as pvid from active_products "
   "where active_flag = 'active'")
 q("s14_product_catalog", "select id, replace(product_name, '  ', ' ') as product_name, material, color, "
@@ -581,7 +582,7 @@ q("s14_product_catalog", "select id, replace(product_name, '  ', ' ') as product
   "'') as short_desc, cast(year(plan_date) as integer) as launch_year, id as pvid "
   "from dim_product_variants where category = 'Shoes'")
 SHOES = ("select lower(f.billing_email) as email, sk.identifier, sk.product_variant_id, pv.category, "
-         "f.order_date from ft_master_orders f join dim_product_skus sk on sk.upc = f.sales_order_sku "
+         "f.order_date from orders_fact f join dim_product_skus sk on sk.upc = f.sales_order_sku "
          "join dim_product_variants pv on pv.id = sk.product_variant_id where pv.category = 'Shoes'")
 q("a10_loyal_shoppers", "select email, identifier, product_variant_id, category, "
   "strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date from shoes where email in "
@@ -637,9 +638,9 @@ q("a2_conditional_count", f"select eu.email, count(case when {CAT} <> '' then c.
   f"cgid_count, count(case when {PDP} <> '' then c.timestamp end) as pdp_count "
   "from clickstream_page_views c join email_uuids eu on c.user_uuid = eu.uuid group by eu.email")
 q("l2_top1", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') as order_date, "
-  "sales_order_sku from ft_master_orders order by order_date desc nulls first, order_id desc, "
+  "sales_order_sku from orders_fact order by order_date desc nulls first, order_id desc, "
   "sales_order_sku desc limit 1")
-SQL["r1_hourly_run"] = SQL["t7_run_scoring"]
+SQL["r1_hourly_run"] = SQL["t8_trained_then_scored"] = SQL["t7_run_scoring"]
 q("m2_fit_scaler", " union all ".join(
     f"select '{n}' as feature, round(avg(\"{n}\"), 6) as mean, "
     f"round(case when stddev_pop(\"{n}\") = 0 then 1.0 else stddev_pop(\"{n}\") end, 6) as scale "

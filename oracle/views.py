@@ -79,38 +79,38 @@ VIEWS: dict[str, str] = {
                  else '#!/color/' || lpad(cast(k % 2 + 1 as varchar), 2, '0') ||
                       case when k % 5 = 0 then 'x7y?z=1' else '/v' end end as url
         from (select user_id, event_type, epoch_us(ts) // 1000 as ms, k,
-                lpad(cast(k // 2 as varchar), 7, '0') || '_' || lpad(cast(k % 2 + 1 as varchar), 2, '0') as act
-              from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e) x""",
-    "ft_master_orders": """
-        select case when o_custkey % 2 = 0 then 'User' else 'user' end
+                lpad(cast(g // 2 as varchar), 7, '0') || '_' || lpad(cast(g % 2 + 1 as varchar), 2, '0') as act
+              from (select *, k + 100 * (user_id // 20) as g
+                    from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) r) e) x""",
+    "orders_fact": """
+        select case when o_custkey % 3 = 0 then 'guest' when o_custkey % 2 = 0 then 'User' else 'user' end
                  || cast(o_custkey as varchar) || '@example.com' as billing_email,
           o_orderkey as order_id, o_orderdate as order_date,
           lpad(cast(l_partkey * 5 + l_linenumber % 5 as varchar), 12, '0') as sales_order_sku
-        from orders join lineitem on o_orderkey = l_orderkey
-        where o_custkey % 3 <> 0""",
+        from orders join lineitem on o_orderkey = l_orderkey""",
     "inventory_entries": """
-        select 2 as id, 0 as part, n, lpad(cast(n as varchar), 12, '0') as sku,
+        select 2 as id, n // 500 as part, n, lpad(cast(n as varchar), 12, '0') as sku,
           case when n % 97 = 0 then null else (n * 7) % 5 end as qty
-        from sku_n where n < 1000
+        from sku_n
         union all
-        select 2, 1, n, lpad(cast(n as varchar), 12, '0'),
+        select 2, 1000000000 + n // 12500, n, lpad(cast(n as varchar), 12, '0'),
           case when n % 97 = 0 then null when n % 50 = 0 then 9 else 0 end
-        from sku_n where n < 1000 and n % 50 in (0, 1)
+        from sku_n where n % 50 in (0, 1)
         union all
-        select 1, 0, n, lpad(cast(n as varchar), 12, '0'), 1 from sku_n where n < 500
+        select 1, n // 500, n, lpad(cast(n as varchar), 12, '0'), 1 from sku_n
         union all
-        select 3, 0, n, lpad(cast(n as varchar), 12, '0'), 5 from sku_n where n < 100""",
+        select 3, n // 500, n, lpad(cast(n as varchar), 12, '0'), 5 from sku_n""",
     "inventory_events": """
-        select cast(id as bigint) as id,
+        select cast(id as bigint) as id, part,
           case when id = 3 then 'inventory.audit' else 'inventory.publish' end as type,
           '[' || string_agg(case when qty is null then '{"sku":"' || sku || '"}'
                                  else '{"sku":"' || sku || '","qty":' || cast(qty as varchar) || '}' end,
-                            ',' order by part, n) || ']' as event
-        from inventory_entries group by id""",
+                            ',' order by n) || ']' as event
+        from inventory_entries group by id, part""",
     "inventory_reply": """
         select '{' || string_agg('"' || lpad(cast(n as varchar), 12, '0') || '":{"stock_level":'
                                  || cast((n * 7) % 5 as varchar) || '}', ',' order by n) || '}' as reply
-        from sku_n where n < 1000""",
+        from sku_n group by n // 500""",
     "send_model_output": """
         select 'user' || cast(user_id as varchar) || '@example.com' as email,
           value / 500 as prob, ts as timestamp,

@@ -1,30 +1,132 @@
-"""The jobs with their writes: training artefacts, then an hourly run that
-appends the score log, reads it back, and writes the prediction log, the
-outbox and the run log."""
+"""The jobs with their writes: training artefacts, then hourly runs that write the
+score log, read it back, and write the prediction log, the outbox, the delivery log
+and the run log."""
 
+import os
+import subprocess
+import sys
 import tempfile
+from datetime import timedelta
 
+import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
+from browsekit import session
 from browsekit.config import RunWindow
-from browsekit.operators import outbox
+from browsekit.operators import affinity, outbox, recipients
 from browsekit.plans import jobs
 from browsekit.sources.fixtures import FixtureTables
 
+TABLES = ("score_log", "prediction_log", "delivery_log", "run_log")
 
-def test_training_then_scoring_writes(spark):
+
+@pytest.fixture(scope="module")
+def served(spark):
     t = FixtureTables(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="browsekit-jobs-")
-    trained = jobs.run_training(t, f"{base}/model", fit_on_full=True)
+    trained = jobs.run_training(t, f"{base}/model")
+    return t, base, trained, *jobs.load_serving(spark, f"{base}/model")
+
+
+def test_training_writes_the_served_and_the_evaluated_model(spark, served):
+    t, base, trained, vocab, model = served
     assert {r.activity_type for r in spark.read.parquet(f"{base}/model/record").collect()} == {"pid", "cgid"}
-    vocab, model = jobs.load_serving(spark, f"{base}/model")
     assert vocab.count() == trained.vocabulary.count()
+    _, full = jobs.serving_model(t)
+
+    def counts(m):
+        return sorted(map(tuple, m["transitions"].select("activity_type", "src", "dst", "pair_count").collect()))
 
+    assert counts(model) == counts(full)
+    assert counts(affinity.load_model(spark, f"{base}/model/evaluated")) == counts(trained.model) != counts(full)
+
+
+def test_two_hours_and_a_repeated_run(spark, served):
+    t, base, _, vocab, model = served
+    out = f"{base}/run"
     win = RunWindow()
-    s = jobs.run_scoring(t, win, vocab, model, f"{base}/run")
-    log = spark.read.parquet(f"{base}/run/score_log")
-    assert log.count() == s.score_rows.count() > 0
-    assert spark.read.json(f"{base}/run/outbox").count() == s.outbox.count()
-    assert spark.read.parquet(f"{base}/run/prediction_log").count() > 0
-    last = outbox.last_run(spark.read.parquet(f"{base}/run/run_log")).collect()[0].last_run
-    assert last == win.run
+    s = jobs.run_scoring(t, win, vocab, model, out)
+    first = {r.email for r in s.outbox.collect()}
+    rows = {n: spark.read.parquet(f"{out}/{n}").count() for n in TABLES}
+    assert rows["score_log"] == s.score_rows.count() > 0 and rows["run_log"] == 1
+    assert spark.read.json(f"{out}/outbox").count() == s.outbox.count() > 0
+    assert {r.email for r in spark.read.parquet(f"{out}/delivery_log").collect()} == first
+    assert outbox.last_run(spark.read.parquet(f"{out}/run_log")).first().last_run == win.run
+
+    again = jobs.run_scoring(t, win, vocab, model, out)
+    assert {r.email for r in again.outbox.collect()} == first
+    assert {n: spark.read.parquet(f"{out}/{n}").count() for n in TABLES} == rows
+
+    # an hour later: the window follows the run log, and whom hour 1 mailed is left alone
+    later = win.run + timedelta(hours=1)
+    assert jobs.window_of(spark, out, later) == RunWindow(later, win.run)
+    second = jobs.run_scoring(t, later, vocab, model, out)
+    mailed = {r.email for r in second.outbox.collect()}
+    assert first and not mailed & first
+    free = jobs.run_scoring(t, RunWindow(later, win.run), vocab, model, f"{base}/other")
+    assert mailed == {r.email for r in free.outbox.collect()} - first
+    # the mailer's own log decides where it is given: nothing delivered, nobody blocked
+    nobody = spark.createDataFrame([], "email string, timestamp timestamp")
+    own = jobs.run_scoring(t, RunWindow(later, win.run), vocab, model, out, delivered=nobody)
+    assert {r.email for r in own.outbox.collect()} == {r.email for r in free.outbox.collect()}
+
+
+def test_score_log_read_is_pruned(spark, served):
+    t, base, _, vocab, model = served
+    win = RunWindow()
+    jobs.run_scoring(t, win, vocab, model, f"{base}/pruned")
+    log = recipients.trailing(spark.read.parquet(f"{base}/pruned/score_log"), win)
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+
+
+def test_run_log_row_does_not_depend_on_the_drivers_zone():
+    code = ("from pyspark.sql import SparkSession\nfrom browsekit.session import build_session\n"
+            "from browsekit.config import RunWindow\nfrom browsekit.operators import outbox\n"
+            "s = build_session('local[1]')\n"
+            "print('GOT', outbox.run_log_row(s, RunWindow()).selectExpr('cast(timestamp as string) t').first()['t'])")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    got = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": "America/New_York", "PYTHONPATH": root},
+                         capture_output=True, text=True, timeout=180)
+    assert "GOT 2024-01-30 12:00:00" in got.stdout
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
+def test_stage_tables_can_be_expired(spark):
+    session.materialize(spark.range(3))
+    root = session.stage_root(spark)
+    assert session.path_exists(spark, root)
+    # in a folder of its own, so other tests keep theirs
+    own = session.scratch_path(spark, "expire")
+    spark.range(1).write.parquet(own)
+    assert session.path_exists(spark, own) and not session.path_exists(spark, own + "-none")
+
+
+def test_ranks_reject_an_alpha_they_cannot_order():
+    with pytest.raises(ValueError):
+        affinity.reciprocal_ranks(None, {}, None, alpha=2.0)
+
+
+def test_rollout_gate_takes_a_share(spark):
+    emails = spark.range(400).select(F.concat(F.lit("u"), "id").alias("email"))
+    kept = [outbox.rollout_gate(emails, 224, s).count() for s in (0.0, 0.3, 0.9, 1.0)]
+    assert kept[0] == 0 and kept[3] == 400 and 80 < kept[1] < 160 and 330 < kept[2] < 390

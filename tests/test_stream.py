@@ -1,7 +1,9 @@
 """Stream test: R2 through availableNow equals the batch send features."""
 
 import tempfile
+from datetime import datetime
 
+import pytest
 from conftest import SF_SMALL
 
 from browsekit.config import RunWindow
@@ -10,14 +12,17 @@ from browsekit.sources.fixtures import FixtureTables
 from browsekit.streaming import incremental
 
 
+def clicks(spark):
+    return incremental.derive_page_views(incremental.event_stream(spark, f"{SF_SMALL}/event[s].parquet"))
+
+
 def test_hourly_partials_equal_batch(spark):
     win = RunWindow()
     t = FixtureTables(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="browsekit-stream-")
-    ev = f"{SF_SMALL}/event[s].parquet"
-    for q in (incremental.start_hourly_partials(spark, ev, t.email_uuids(), f"{base}/out",
+    for q in (incremental.start_hourly_partials(clicks(spark), t.email_uuids(), f"{base}/out",
                                                 f"{base}/ckpt"),
-              incremental.start_hourly_distinct(spark, ev, t.email_uuids(), f"{base}/dist",
+              incremental.start_hourly_distinct(clicks(spark), t.email_uuids(), f"{base}/dist",
                                                 f"{base}/dckpt")):
         q.awaitTermination()
     streamed = incremental.features_from_partials(spark.read.parquet(f"{base}/out"), win,
@@ -28,11 +33,21 @@ def test_hourly_partials_equal_batch(spark):
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert a == b and len(a) > 0
 
+    # a run at half past: whole hours from the partials, the two broken ones from the clicks
+    half = RunWindow(datetime(2024, 1, 30, 12, 30), datetime(2024, 1, 30, 11, 30))
+    partials, distinct = spark.read.parquet(f"{base}/out"), spark.read.parquet(f"{base}/dist")
+    with pytest.raises(ValueError):
+        incremental.features_from_partials(partials, half, distinct)
+    streamed = incremental.features_at(partials, distinct, t.page_views(half.send_lo, half.send_hi),
+                                       t.email_uuids(), half)
+    batch = features.browse_features(t.page_views(half.send_lo, half.send_hi), t.email_uuids(), half)
+    assert sorted(map(tuple, streamed.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
 
 def test_landed_page_views_equal_batch(spark):
     t = FixtureTables(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="browsekit-land-")
-    q = incremental.land_page_views(spark, f"{SF_SMALL}/event[s].parquet", f"{base}/out",
+    q = incremental.land_page_views(clicks(spark), f"{base}/out",
                                     f"{base}/ckpt")
     q.awaitTermination()
     cols = ["user_uuid", "timestamp", "session_id", "host", "query_string", "url"]
@@ -43,7 +58,7 @@ def test_landed_page_views_equal_batch(spark):
 def test_landed_read_prunes_date_partitions(spark):
     t = FixtureTables(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="browsekit-prune-")
-    incremental.land_page_views(spark, f"{SF_SMALL}/event[s].parquet", f"{base}/out",
+    incremental.land_page_views(clicks(spark), f"{base}/out",
                                 f"{base}/ckpt").awaitTermination()
     win = RunWindow()
     landed = incremental.LandedTables(t, f"{base}/out")
