@@ -60,23 +60,25 @@ def loyal_shoppers(orders: DataFrame, variants: DataFrame, skus: DataFrame,
     return shoes.join(loyal, "email", "left_semi")
 
 
-def viewed_variants(views: DataFrame, variants: DataFrame) -> DataFrame:
+def viewed_variants(views: DataFrame, variants: DataFrame, view_columns=(),
+                    variant_columns=()) -> DataFrame:
     """Page views joined to the variant their URL names.
 
     Style = first 7 characters of the ``pid=`` token, group = its characters
     9-18, colour = digits after ``color/``; a missing part is NULL (not '')
-    so it never joins.
+    so it never joins.  ``view_columns`` and ``variant_columns`` are carried along.
     """
     token = parse.regex_group_or_null("query_string", r"pid=([0-9_]+).*")
     v = views.select("user_uuid", "timestamp", "query_string",
                      F.substring(token, 1, 7).alias("style"),
                      parse.regex_group_or_null("query_string", r"pid=([0-9]+).*").alias("pv2"),
                      F.substring(token, 9, 10).alias("grp"),
-                     parse.regex_group_or_null("url", r"color/([0-9]+)").alias("color_code"))
+                     parse.regex_group_or_null("url", r"color/([0-9]+)").alias("color_code"),
+                     *view_columns)
     pv = variants.select(F.col("id").alias("product_variant_id"),
                          F.col("product_style_code").alias("_s"), F.col("group_code").alias("_g"),
-                         F.col("color_code").alias("_c"))
+                         F.col("color_code").alias("_c"), *variant_columns)
     j = v.join(pv, (v.style == pv._s) & (v.grp == pv._g) & (v.color_code == pv._c))
     return j.select("product_variant_id", F.col("style").alias("product_style_code"), "pv2",
-                    F.col("grp").alias("group_code"), "color_code", "query_string",
-                    "user_uuid", "timestamp")
+                    F.col("grp").alias("group_code"), v["color_code"], "query_string",
+                    "user_uuid", "timestamp", *view_columns, *variant_columns)

@@ -138,7 +138,7 @@ def j2(spark, sf_dir):
 @query("a3_emails_per_uuid")
 def a3(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return identity.single_email_uuids(t.email_uuids())
+    return identity.emails_per_uuid(t.email_uuids())
 
 
 @query("a1_browse_features")
@@ -828,7 +828,17 @@ def a10(spark, sf_dir):
 @query("j15_viewed_variants")
 def j15(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return catalog.viewed_variants(t.page_views(), t.variants())
+    return catalog.viewed_variants(t.page_views(), t.variants(), view_columns=("session_id", "host"),
+                                   variant_columns=("category", "product_name"))
+
+
+@query("p20_columns")
+def p20(spark, sf_dir):
+    """P20: rename, drop, constant and subset of columns."""
+    t = tables(spark, sf_dir)
+    return edge(t.variants().withColumnRenamed("id", "product_variant_id")
+                .drop("group_creative", "plan_date").withColumn("source", F.lit("catalogue"))
+                .select("product_variant_id", "product_name", "category", "source"))
 
 
 @query("a12_distinct_rows")

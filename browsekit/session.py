@@ -96,6 +96,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/{name}-{os.getpid()}-{next(_counter)}"
 
 
+# called with every frame that is about to be written as a stage table (plan tests)
+stage_observers: list = []
 _counter = itertools.count(1)   # next() on a count is atomic: safe from job threads
 
 
@@ -105,6 +107,8 @@ def materialize(df):
     (a lost executor recomputes from here), keeps later plans small, and
     the re-read is a columnar scan with pruning, pushdown and real size
     statistics for AQE's join choices."""
+    for see in stage_observers:
+        see(df)
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)

@@ -58,7 +58,7 @@ q("j1_click_identity", "select eu.email, c.timestamp, c.session_id from clickstr
 SINGLE = "select uuid from email_uuids group by uuid having count(distinct email) = 1"
 q("j2_single_identity", "select e.uuid, e.email from email_uuids e "
                         "where e.uuid in (select uuid from single_email)", single_email=SINGLE)
-q("a3_emails_per_uuid", SINGLE)
+q("a3_emails_per_uuid", "select uuid, count(distinct email) as count_emails from email_uuids group by uuid")
 
 BROWSE = f"""
     select eu.email,
@@ -593,9 +593,12 @@ COLOR_RE = "nullif(regexp_extract(c.url, 'color/([0-9]+)', 1), '')"
 q("j15_viewed_variants", f"select pv.id as product_variant_id, substring({TOKEN}, 1, 7) as "
   f"product_style_code, nullif(regexp_extract(c.query_string, 'pid=([0-9]+).*', 1), '') as pv2, "
   f"substring({TOKEN}, 9, 10) as group_code, {COLOR_RE} as color_code, c.query_string, c.user_uuid, "
-  "c.timestamp from clickstream_page_views c join dim_product_variants pv on "
+  "c.timestamp, c.session_id, c.host, pv.category, pv.product_name "
+  "from clickstream_page_views c join dim_product_variants pv on "
   f"substring({TOKEN}, 1, 7) = pv.product_style_code and substring({TOKEN}, 9, 10) = pv.group_code "
   f"and {COLOR_RE} = pv.color_code")
+q("p20_columns", "select id as product_variant_id, product_name, category, 'catalogue' as source "
+  "from dim_product_variants")
 q("a12_distinct_rows", f"select distinct {ACT} as activity, {ACT_TYPE} as activity_type "
   f"from clickstream_page_views where {PDP} <> '' or {CAT} <> ''")
 q("l1_global_sort", "select * from browse order by email", browse=BROWSE, single_email=SINGLE)

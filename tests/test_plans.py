@@ -6,6 +6,10 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from browsekit import session
+from browsekit.config import RunWindow
+from browsekit.operators import sequences
+from browsekit.sources.fixtures import FixtureTables
 
 COMPOSITES = ("t1_send_features", "t2_select_recipients", "t3_activity_sequences",
               "t5_check_inventory", "t6_recommend", "t7_run_scoring", "t8_run_training",
@@ -16,12 +20,47 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def stages(monkeypatch):
+    """Optimized and executed plans of every stage table written during a test."""
+    seen = []
+
+    def see(df):
+        q = df._jdf.queryExecution()
+        seen.append((q.optimizedPlan().toString(), q.executedPlan().toString()))
+
+    monkeypatch.setattr(session, "stage_observers", [see])
+    return seen
+
+
 @pytest.mark.parametrize("key", COMPOSITES)
-def test_no_cartesian_or_python(spark, key):
+def test_no_cartesian_or_python(spark, stages, key):
     df = entry.queries()[key](spark, SF_SMALL)
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "CartesianProduct" not in text and "Join Cross" not in text
-    assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+    q = df._jdf.queryExecution()
+    for optimized, executed in [*stages, (q.optimizedPlan().toString(), q.executedPlan().toString())]:
+        assert "Join Cross" not in optimized
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in executed
+
+
+def click_scans(text: str) -> int:
+    """Scans that read the query strings of clicks (the fixture derives them from ``props``)."""
+    return sum("FileScan" in line and "props" in line for line in text.split("\n"))
+
+
+def test_send_features_scan_the_clicks_once(spark, stages):
+    df = entry.queries()["t1_send_features"](spark, SF_SMALL)
+    assert sum(click_scans(executed) for _, executed in stages) + click_scans(plan_of(df)) == 1
+
+
+def test_run_rows_are_not_recomputed(spark):
+    t = FixtureTables(spark, SF_SMALL)
+    win = RunWindow()
+    vocab = sequences.fit_vocabulary(sequences.scoring_views(t, win))
+    users = t.email_uuids().select("email")
+    run = sequences.activity_sequences(sequences.scoring_views(t, win), users, vocab)
+    for name in ("pid_rows", "cgid_rows", "views"):
+        assert "events.parquet" not in plan_of(run[name]) and click_scans(plan_of(run[name])) == 0
 
 
 def test_time_filter_pushed_to_scan(spark):
