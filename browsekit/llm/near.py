@@ -15,10 +15,10 @@ No bucket is expanded into pairs.  Each bucket has a leader (the text with the
 most bucket neighbours, so the original of a group leads all its buckets); every
 member is compared with the leaders of its buckets, exactly, on its shingles.
 Links give components.  Only buckets that still hold several components go on:
-there, members outside the bucket's largest component are compared with the
-others, unless the number of shingles that a text shares with no other proves that
-the pair cannot reach the threshold.  So no link between components is lost but
-those that no band catches: (1 - 0.8**rows)**bands, 5e-8 at the threshold.
+there, members outside the leader's component are compared with the others, unless
+their differences from the leader prove that the pair cannot reach the threshold
+(see ``_across``).  So no link between components is lost but those that no band
+catches: (1 - 0.8**rows)**bands, 5e-8 at the threshold.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -161,15 +161,16 @@ def _shingle_work(size):
     return work
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least the given Jaccard likeness."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their shingle sets, na and nb, and of what they share, both."""
     left = sets.select(F.col("t").alias("a"), F.col("sh").alias("sa"))
     right = sets.select(F.col("t").alias("b"), F.col("sh").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .withColumn("both", both)
-            .where(F.col("both") / (F.size("sa") + F.size("sb") - F.col("both")) >= threshold)
-            .select("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+
+
+def _likeness() -> Column:
+    return F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,11 +197,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     buckets = materialize(buckets.join(shared, "b"))
     central = buckets.groupBy("t").agg(F.sum("members").alias("degree"))
     leaders = (buckets.join(central, "t").groupBy("b")
-               .agg(F.max(F.struct("degree", "t", "n")).alias("top")).select("b", F.col("top.t").alias("a"), F.col("top.n").alias("na")))
-    pairs = materialize(
-        buckets.join(leaders, "b").where("t <> a")
-        .where(F.least("n", "na") >= threshold * F.greatest("n", "na") - 1e-6)
-        .select("a", F.col("t").alias("b")).distinct())
+               .agg(F.max(F.struct("degree", "t")).alias("top")).select("b", F.col("top.t").alias("a")))
+    buckets = materialize(buckets.select("b", "t").join(leaders, "b"))
+    pairs = buckets.where("t <> a").select("a", F.col("t").alias("b")).distinct()
 
     # shingles of the texts that meet another in a bucket
     met = buckets.select("t").distinct().join(texts, "t")
@@ -208,12 +207,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = (_first_copies(keyed.select("k1", "k2", "text")).join(met, ["k1", "k2"])
              .dropDuplicates(["k1", "k2"]).select("t", "text"))
     sets = materialize(arrow_map(found, _shingle_work(size), "sh array<long>", "text", ("t",)))
-    links = materialize(_verified(pairs, sets, threshold))
+    stars = materialize(_compared(pairs, sets))
+    links = materialize(stars.where(_likeness() >= threshold).select("a", "b"))
     labels = connected_components(links)
 
-    more = _across(buckets, labels, pairs, sets, threshold)
-    links = materialize(links.unionByName(_verified(more, sets, threshold)))
-    labels = connected_components(links)
+    more = _compared(_across(buckets, labels, stars, sets, threshold), sets)
+    more = materialize(more.where(_likeness() >= threshold).select("a", "b"))
+    if more.limit(1).count():
+        labels = connected_components(links.unionByName(more))
     of_text = (texts.join(labels.withColumnRenamed("node", "t"), "t", "left")
                .select("k1", "k2", F.coalesce("label", "t").alias("label")))
     rows_ = signed.join(of_text, ["k1", "k2"], "left").select(
@@ -226,34 +227,66 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                     (F.col("t") == F.col("least.t")).alias("keep")))
 
 
-def _across(buckets: DataFrame, labels: DataFrame, done: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs between different components of one bucket that may still reach the threshold."""
+def _across(buckets: DataFrame, labels: DataFrame, stars: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs between different components of one bucket that may still reach the threshold.
+
+    The texts that meet one leader are a star; its *core* M is the set of shingles that more
+    than half of them have.  A text x lacks ``gone`` shingles of the core and has ``own`` ones
+    beyond it.  Two texts share |M| - gone_x - gone_y shingles, plus those of the core that
+    both lack, plus those beyond it that both have.  Neither of the last two can exceed the
+    number of differences of x, or of y, that are not its own alone in the star.  In a large
+    group of copies with edits of their own, these numbers settle nearly every pair before any
+    row is made of it; what is left is emitted once, in the first bucket that both share.
+    """
     known = labels.withColumnRenamed("node", "t")
-    member = (buckets.select("b", "t", "n").join(known, "t", "left")
-              .select("b", "t", "n", F.coalesce("label", "t").alias("label")))
-    sizes = member.groupBy("b", "label").agg(F.count(F.lit(1)).alias("members"))
-    largest = (sizes.groupBy("b").agg(F.max(F.struct("members", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-               .where("labels > 1").select("b", F.col("top.label").alias("main")))
-    member = materialize(member.join(largest, "b"))
-    # shingles that a text shares with any other text of these buckets
-    open_texts = member.select("t").distinct()
-    shingle = sets.join(open_texts, "t").select("t", F.explode("sh").alias("s"))
-    alone = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")).where("n = 1")
-    alone = alone.groupBy("t").agg(F.count(F.lit(1)).alias("alone"))
-    member = (member.join(alone, "t", "left")
-              .withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
-              .where(F.col("common") >= threshold * F.col("n") - 1e-6)
-              .select("b", "t", "n", "label", "main", "common"))
-    x = member.where("label <> main").select("b", *(F.col(c).alias("x_" + c) for c in ("t", "n", "label", "main", "common")))
-    y = member.select("b", *(F.col(c).alias("y_" + c) for c in ("t", "n", "label", "common")))
-    meet = F.least("x_common", "y_common")
-    # of two members outside the largest component, the smaller one asks
+    member = (buckets.join(known, "t", "left").select("b", "t", "a", F.coalesce("label", "t").alias("label"))
+              .join(labels.select(F.col("node").alias("a"), F.col("label").alias("main")), "a", "left")
+              .withColumn("main", F.coalesce("main", "a")))
+    split = member.where("label <> main").select("b").distinct()
+    member = materialize(member.join(split, "b"))
+    star = materialize(member.groupBy("a", "t").agg(F.array_sort(F.collect_set("b")).alias("bs")))
+
+    each = star.select("a", "t").join(sets, "t").select("a", "t", F.explode("sh").alias("s"))
+    width = star.groupBy("a").agg(F.count(F.lit(1)).alias("width"), F.bit_xor("t").alias("all"))
+    having = (each.groupBy("a", "s").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("t").alias("those"))
+              .join(width, "a").withColumn("core", F.col("n") * 2 > F.col("width")))
+    # the only text that lacks a core shingle, or that has one beyond the core
+    lone = F.when(F.col("core") & (F.col("n") == F.col("width") - 1), F.col("all").bitwiseXOR(F.col("those"))) \
+        .when(~F.col("core") & (F.col("n") == 1), F.col("those"))
+    having = materialize(having.select("a", "s", "core", lone.alias("t")).where("core or t is not null"))
+    core = having.where("core").groupBy("a").agg(F.collect_list("s").alias("core"))
+    alone = (having.where("t is not null").groupBy("a", "t")
+             .agg(F.count_if("core").alias("lone_gone"), F.count_if(~F.col("core")).alias("lone_own")))
+    share = threshold / (1 + threshold)     # of both sizes, what a linked pair has in common
+    none = F.array().cast("array<bigint>")
+    facts = (star.join(sets, "t").join(core, "a", "left").join(alone, ["a", "t"], "left")
+             .withColumn("core", F.coalesce("core", none))
+             .withColumn("both", F.size(F.array_intersect("sh", "core")))
+             .select("a", "t", "bs", F.size("core").alias("m"), F.size("sh").alias("n"),
+                     (F.size("core") - F.col("both")).alias("gone"), (F.size("sh") - F.col("both")).alias("own"),
+                     F.coalesce("lone_gone", F.lit(0)).alias("lone_gone"), F.coalesce("lone_own", F.lit(0)).alias("lone_own"))
+             .withColumn("c_gone", F.col("gone") - F.col("lone_gone")).withColumn("c_own", F.col("own") - F.col("lone_own"))
+             # a pair needs shared differences of at least lack_x + cost_y = lack_y + cost_x
+             .withColumn("lack", share * F.col("n") - (1 - share) * F.col("m") + F.col("gone"))
+             .withColumn("cost", (1 - share) * F.col("gone") + share * F.col("own"))
+             .withColumn("slack", F.col("c_gone") + F.col("c_own") - F.col("cost"))
+             .drop("lone_gone", "lone_own", "own", "cost"))
+    member = materialize(member.where("t <> a").join(facts, ["a", "t"]))
+    reach = member.groupBy("b").agg(F.max("slack").alias("most"), F.min(F.when(F.col("label") != F.col("main"), F.col("lack"))).alias("least"))
+    member = member.join(reach, "b")
+    asks = member.where("label <> main").where(F.col("most") >= F.col("lack") - 1e-6).where(F.col("c_gone") + F.col("c_own") >= F.col("lack") - 1e-6)
+    answers = member.where(F.col("slack") >= F.col("least") - 1e-6)
+    names = ("t", "n", "label", "gone", "c_gone", "c_own", "bs")
+    x = asks.select("b", "m", "main", *(F.col(c).alias("x_" + c) for c in names))
+    y = answers.select("b", *(F.col(c).alias("y_" + c) for c in names))
+    shared = F.least("x_c_gone", "y_c_gone") + F.least("x_c_own", "y_c_own")
     pairs = (x.join(y, "b").where(F.col("x_label") != F.col("y_label"))
-             .where((F.col("y_label") == F.col("x_main")) | (F.col("x_t") < F.col("y_t")))
-             .where(meet >= threshold * (F.col("x_n") + F.col("y_n") - meet) - 1e-6)
+             # of two members outside the leader's component, one asks
+             .where((F.col("y_label") == F.col("main")) | (F.col("x_t") < F.col("y_t")))
+             .where(F.col("m") - F.col("x_gone") - F.col("y_gone") + shared >= share * (F.col("x_n") + F.col("y_n")) - 1e-6)
+             .where(F.array_min(F.array_intersect("x_bs", "y_bs")) == F.col("b"))
              .select(F.col("x_t").alias("a"), F.col("y_t").alias("b")))
-    tested = done.unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return materialize(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+    return materialize(pairs.distinct())
 
 
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
