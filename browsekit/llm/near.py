@@ -292,11 +292,21 @@ def _across(buckets: DataFrame, labels: DataFrame, stars: DataFrame, sets: DataF
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
                          size: int = SHINGLE, order_col: str | None = None) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, with one document of each class: the
-    smallest ``order_col`` (null last), ties by the order in which a written copy is read."""
-    numbered = materialize(docs.select(F.struct("*").alias("_row"))
-                           .withColumn("_at", F.monotonically_increasing_id()))
-    order = F.col(f"_row.`{order_col}`") if order_col else F.lit(0)
-    ids = numbered.select(F.struct(order.isNull(), order.alias("o"), F.col("_at")).alias("_id"),
-                          F.col(f"_row.`{text_col}`").alias("_text"))
-    kept = near_duplicate_classes(ids, "_id", "_text", threshold, size).where("keep").select(F.col("_id._at").alias("_at"))
-    return numbered.join(kept, "_at").select("_row.*")
+    smallest ``order_col`` (null last), ties by a hash of the text.
+
+    Rows are known by that order value and the key of their text, so the input is neither
+    numbered nor written; of rows equal in both, one stays.
+    """
+    order = F.col(order_col) if order_col else F.lit(0)
+    x = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"), *text_key(F.col(text_col)), order.alias("o"))
+    ids = x.select(F.struct(F.col("o").isNull().alias("none"), "o", "k1", "k2").alias("_id"), "_text")
+    rows = near_duplicate_classes(ids, "_id", "_text", threshold, size)
+    kept = materialize(rows.groupBy("_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("keep").alias("kept"))
+                       .where("kept > 0").select(*(F.col(f"_id.{c}").alias("r_" + c) for c in ("o", "k1", "k2")), "rows", "kept"))
+    same = F.col("o").eqNullSafe(F.col("r_o")) & (F.col("k1") == F.col("r_k1")) & (F.col("k2") == F.col("r_k2"))
+    out = x.join(kept.where("kept = rows"), same, "left_semi").select("_row.*")
+    repeated = kept.where("kept < rows")
+    if repeated.limit(1).count():
+        some = x.join(repeated, same, "left_semi").dropDuplicates(["o", "k1", "k2"])
+        out = out.unionByName(some.select("_row.*"))
+    return out
