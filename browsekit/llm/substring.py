@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_many
 from .text import (Texts, Words, arrow_map, list_array, mix, slices, space_table, span_hash, text_key,
                    window_hash)
 
@@ -191,6 +191,8 @@ def _search(keyed: DataFrame, length: int, seed: int) -> tuple[DataFrame, DataFr
     start = (F.col("lo") + F.col("i")).cast("int")
     single = (windows.where("n = 1").join(twice, ["h", "w"])
               .select("k1", "k2", start.alias("lo"), start.alias("hi")))
+    # two jobs, so that each join's hot keys are split by themselves
+    whole, single = materialize_many(whole, single)
     return seeded, found, whole.unionByName(single)
 
 
