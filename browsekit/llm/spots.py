@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import Texts, Words, arrow_map, byte_table, mix, slices, span_hash
+from .text import Texts, Words, arrow_map, byte_table, in_share, mix, slices, span_hash
 
 # Common words of the four languages of the corpus.
 ANCHORS = (
@@ -121,12 +121,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .withColumnRenamed("_id", id_col))
 
 
-def _bounds(keys: DataFrame, buckets: int) -> list[tuple]:
-    """Ascending (id, k) of existing rows that cut the rows into about equal buckets."""
+def _bounds(keys: DataFrame, n_rows: int, buckets: int) -> list[tuple]:
+    """Ascending (id, k) of existing rows that cut the rows into about equal buckets.  About
+    ``buckets * SAMPLES`` rows, at most ``MAX_BUCKETS * SAMPLES``, reach the driver."""
     n = min(buckets, MAX_BUCKETS) * SAMPLES
-    sample = sorted({(r["id"] is not None, r["id"], r["k"]) for r in keys.orderBy(F.xxhash64("id", "k"), "id", "k").limit(n).collect()},
+    sample = sorted({(r["id"] is not None, r["id"], r["k"]) for r in keys.where(in_share(n / n_rows, "id", "k")).distinct().collect()},
                     key=lambda r: (r[0], r[1] if r[0] else 0, r[2]))
-    return [r[1:] for r in sample[::SAMPLES][1:]]
+    step = max(1, len(sample) // min(buckets, MAX_BUCKETS))
+    return [r[1:] for r in sample[::step][1:]]
 
 
 def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", anchors=ANCHORS,
@@ -146,7 +148,7 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     x = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
-    size = x.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(F.struct("id", "k")).alias("least")).first()
+    size = x.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes"), F.min(F.struct("id", "k")).alias("least")).first()
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (f"id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
@@ -154,7 +156,7 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return spark.createDataFrame([], schema).withColumnRenamed("id", id_col)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(-(-(size["bytes"] or 0) // BUCKET_BYTES), 4 * partitions)
-    bounds = _bounds(x.select("id", "k"), buckets)
+    bounds = _bounds(x.select("id", "k"), size["rows"], buckets)
 
     def struct(row):
         return F.struct(F.lit(row[0]).cast(kind).alias("id"), F.lit(row[1]).cast("long").alias("k"))

@@ -198,6 +198,12 @@ def in_groups(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return again, many
 
 
+def in_share(share: float, *columns) -> Column:
+    """True for about the given share of the values of some columns, by hash: cuts a table down
+    before the first rows in some order are taken, so that few rows meet whatever its size."""
+    return F.pmod(F.xxhash64(F.lit("share"), *columns), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30)) + 1
+
+
 def text_key(text: Column) -> list[Column]:
     """128-bit identity of a text (null counts as empty), computed in the JVM: columns k1 and k2."""
     text = F.coalesce(text, F.lit(""))
