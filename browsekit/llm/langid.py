@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .compression import fold_of
-from .text import Texts, arrow_map, byte_table, span_hash
+from .text import Texts, arrow_map, byte_table, in_share, span_hash
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_DOCS = 400       # documents of each language to learn from, at most
@@ -187,7 +187,8 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = {}
     for row in found:
         lang = row["lang"]
-        texts[lang] = [r["text"] for r in x.where(F.col("lang") == lang).orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(sample).collect()]
+        some = x.where(F.col("lang") == lang).where(in_share(3 * sample / row["count"], "id"))
+        texts[lang] = [r["text"] for r in some.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(sample).collect()]
     return train(texts)
 
 
