@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import Texts, arrow_map
+from .text import Texts, arrow_map, in_share
 
 SAMPLE = 2000           # labelled rows of each class to learn from, at most
 SAMPLE_BYTES = 8192     # of a labelled text, so much is learnt from
@@ -121,7 +121,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
               .groupBy("id").agg(F.max("y").alias("y")))
     order = [F.md5(F.col("id").cast("string")), F.col("id")]
     counts = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = usable.where("y = 1").orderBy(*order).limit(sample).unionByName(usable.where("y = 0").orderBy(*order).limit(sample))
+    few = [usable.where(F.col("y") == y).where(in_share(3 * sample / max(counts.get(y, 0), 1), "id"))
+           .orderBy(*order).limit(sample) for y in (0, 1)]
+    chosen = few[0].unionByName(few[1])
     text = F.substring(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), 1, SAMPLE_BYTES)
     rows = (docs.select(F.col(id_col).alias("id"), text.alias("raw"))
             .join(F.broadcast(chosen), "id")      # at most 2 * sample ids
