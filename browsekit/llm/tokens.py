@@ -10,10 +10,14 @@ of other marks, each with one space before it if there is one; ``'s 't 're 've '
 'll 'd`` at the start of a run of marks; white space without the last character
 before a run.  What is a letter, digit or space beyond ASCII is asked of the
 tokenizer itself, once per character.
+
+Added tokens of the file (``<|endoftext|>``) are found in the texts first, as the
+library does, and the parts around them are encoded like texts of their own.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 import numpy as np
@@ -42,6 +46,11 @@ class Encoder:
         self.alphabet = byte_alphabet()
         self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
         self.ids: dict[int, list[int]] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        # a token that takes in spaces, asks for whole words or is matched after others is left to the library
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values()) and len({t.normalized for t in added.values()}) <= 1
+        self.marks = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self._learn(range(128))
 
     def _learn(self, points) -> None:
@@ -88,8 +97,38 @@ class Encoder:
             start[at + size] = True
         return np.flatnonzero(start[:-1])
 
+    def _marked(self, texts: Texts) -> list[tuple[int, int, list[int]]]:
+        """(start, end, ids) of the spans whose ids are not those of their pieces: added tokens."""
+        raw = texts.data.tobytes()
+        if self.marks is None or not self.marks.search(raw):
+            return []
+        spans = list(zip(texts.bounds[:-1].tolist(), texts.bounds[1:].tolist()))
+        if self.plain:
+            return [(m.start(), m.end(), [self.added[m.group()]]) for a, b in spans for m in self.marks.finditer(raw, a, b)]
+        return [(a, b, self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids)
+                for a, b in spans if self.marks.search(raw, a, b)]
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, n + 1 bounds)."""
+        marked = self._marked(texts)
+        if not marked:
+            return self._encode(texts)
+        start, end, given = zip(*marked)
+        parts = np.unique(np.concatenate([texts.bounds, start, end]))
+        ids, bounds = self._encode(Texts(texts.data, parts))
+        place = np.searchsorted(parts, start)
+        is_mark = np.zeros(len(parts) - 1, dtype=bool)
+        is_mark[place] = True
+        size = np.diff(bounds)
+        kept = ids[np.repeat(~is_mark, size)]
+        size[place] = [len(x) for x in given]
+        of_mark = np.repeat(is_mark, size)
+        out = np.empty(len(of_mark), dtype=ids.dtype)
+        out[of_mark], out[~of_mark] = list(chain.from_iterable(given)), kept
+        return out, np.append(0, np.cumsum(size))[np.searchsorted(parts, texts.bounds)]
+
+    def _encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         string = texts.data.tobytes().decode("utf-8")
         points = np.frombuffer(string.encode("utf-32-le"), dtype=np.uint32)
         bounds = texts.chars_before()[texts.bounds]

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -86,6 +87,41 @@ def test_pieces_as_the_tokenizer_cuts(tokenizer):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_added_tokens_as_the_tokenizer_finds_them():
+    """Literals of added tokens give the ids of the library in its default settings."""
+    from tokenizers import AddedToken, Tokenizer
+
+    from browsekit.llm.text import Texts
+
+    library = Tokenizer.from_file(tokenizer_path())
+    assert library.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    r = random.Random(5)
+    alphabet = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "b's", "é", "日", "1", "<|", ""]
+    texts = ["a<|endoftext|>b", "<|endof", "text|>", "", "<|endoftext|>"]
+    texts += ["".join(r.choice(alphabet) for _ in range(r.randrange(0, 12))) for _ in range(500)]
+    raw = [t.encode() for t in texts]
+    data = Texts(np.frombuffer(b"".join(raw), dtype=np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
+    plain, wide = Encoder(tokenizer_path()), Encoder(tokenizer_path())
+    wide.tokenizer.add_special_tokens([AddedToken("b's", lstrip=True, rstrip=True)])
+    wide.added[b"b's"] = wide.tokenizer.token_to_id("b's")
+    wide.plain = False
+    wide.marks = re.compile(rb"<\|endoftext\|>|b's")
+    for encoder in (plain, wide):
+        ids, bounds = encoder.encode(data)
+        for i, t in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_documents_with_added_tokens(spark):
+    text = "one<|endoftext|>two <|endoftext|>"
+    from tokenizers import Tokenizer
+
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = packing.pack_documents(docs, tokenizer_path(), with_ids=True).first()
+    want = Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids + [1]
+    assert np.frombuffer(row["ids"], dtype="<u4").tolist() == want and 50256 in want
+
+
 def test_differencing_is_a_partition_with_near_equal_sums():
     r = random.Random(2)
     for k in (1, 2, 7, 30):
