@@ -1,8 +1,11 @@
 """Document fingerprints by spot signatures (operator 6).
 
 Very common words (articles, prepositions and the like) are anchors.  Wherever one
-stands, the chain of the next content words after it is a spot signature, so the
-signatures sit in running prose and skip menus and tables.  A document's
+stands, the chain of the next content words after it is a spot signature, so most
+signatures sit in running prose.  A word with no anchor among the ``GAP`` words before it
+(in tables, code, other languages) is an anchor itself.  What is an anchor thus depends on
+the words just before it, never on how many the rest of the text holds, so two texts that
+share a passage share its signatures but for those at its ends.  A document's
 fingerprint is the set of its signatures, 32 bits each, sorted and written in
 base64; the likeness of two fingerprints is the Jaccard likeness of the sets.
 
@@ -36,7 +39,7 @@ ANCHORS = (
 ).split()
 CHAIN = 2           # content words in a signature
 DISTANCE = 1        # every so many content words
-MIN_SPOTS = 4       # with fewer signatures, every word counts as an anchor
+GAP = 4             # a word with no anchor among so many words before it counts as one
 BUCKET_BYTES = 16 << 20
 MAX_BUCKETS = 16_384
 SAMPLES = 16        # sampled ids for each bucket bound
@@ -60,30 +63,27 @@ def spots_of(texts: Texts, anchors: np.ndarray, chain: int = CHAIN, distance: in
     content = np.flatnonzero(~common)
     reach = (chain - 1) * distance
 
-    def chains(at, owner):
+    def chains(at):
         """Signatures of the chains that begin at the first content word after each place."""
         first = np.searchsorted(content, at, side="right")
         ok = first + reach < len(content)
         at, first = at[ok], first[ok]
         ok = words.doc[content[first + reach]] == words.doc[at]
         at, first = at[ok], first[ok]
-        key = words.hash[at] if owner is None else np.full(len(at), owner, dtype=np.uint64)
+        key = words.hash[at]
         for i in range(chain):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + words.hash[content[first + i * distance]])
         return words.doc[at], key
 
-    doc, key = chains(np.flatnonzero(common), None)
-    found = np.bincount(doc, minlength=texts.n)
-    few = found < MIN_SPOTS
-    if few.any():
-        keep = ~few[doc]
-        doc, key = doc[keep], key[keep]
-        more_doc, more_key = chains(np.flatnonzero(few[words.doc]), np.uint64(1))
-        doc, key = np.append(doc, more_doc), np.append(key, more_key)
-        # texts too short for any chain: all their words are one signature
-        left = np.flatnonzero((np.bincount(doc, minlength=texts.n) == 0) & (words.count > 0))
-        doc = np.append(doc, left)
-        key = np.append(key, span_hash(words.hash, words.bounds[left], words.bounds[left + 1]))
+    at = np.arange(len(common))
+    last = np.maximum.accumulate(np.where(common, at, -1))
+    # up to a text's first common word, every word has none before it
+    lone = (last < words.bounds[words.doc]) | (at - last > GAP)
+    doc, key = chains(np.flatnonzero(common | lone))
+    # texts too short for any chain: all their words are one signature
+    left = np.flatnonzero((np.bincount(doc, minlength=texts.n) == 0) & (words.count > 0))
+    doc = np.append(doc, left)
+    key = np.append(key, span_hash(words.hash, words.bounds[left], words.bounds[left + 1]))
     both = np.unique((doc.astype(np.uint64) << np.uint64(32)) | (key >> np.uint64(32)))
     return (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
 

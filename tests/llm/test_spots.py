@@ -76,6 +76,20 @@ def test_signatures_follow_the_definition(spark):
     assert len(row["spots"]) == len(chains) == len(as_set(row["fingerprint"]))
 
 
+def test_few_anchors_share_signatures_with_many(spark):
+    """A half without anchors stays recognisable whatever the number of anchors in the other half."""
+    table = " ".join(f"item{i} price{i}" for i in range(20))
+    sparse = "the " + table
+    talk = " ".join(f"the dog{i} of cat{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, table, None, None, None), (2, talk, None, None, None),
+                                  (3, sparse, None, None, None), (4, talk, None, None, None)], SCHEMA)
+    rows = {r["doc_id"]: r for r in spots.neighbour_likeness(docs).collect()}
+    assert all(rows[i]["near_edited"] > 0.2 > rows[i]["near_next"] for i in (1, 3))
+    both = spark.createDataFrame([(5, table + " " + talk, None, None, None)], SCHEMA)
+    whole = set(spots.fingerprints(both).first()["spots"])
+    assert as_set(rows[1]["fingerprint"]) <= whole and as_set(rows[2]["fingerprint"]) <= whole
+
+
 def test_similar_pairs_against_brute_force(spark):
     rows = []
     for g in range(6):
