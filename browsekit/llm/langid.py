@@ -3,8 +3,8 @@
 The network reads a word's bytes (ASCII folded to lower case) forwards and
 backwards and gives every position a probability of each language; a document's
 probabilities are the mean over all its positions.  It is trained here in numpy by
-backpropagation through time on words of at most ``SAMPLE_DOCS`` documents of each
-language.  The state starts anew with each word, so equal words get equal labels:
+backpropagation through time on at most ``SAMPLE_WORDS`` words, hash-drawn from the whole
+texts of at most ``SAMPLE_DOCS`` documents, of each language in the table.  The state starts anew with each word, so equal words get equal labels:
 each distinct word of a task goes through the network once and counts as often as it
 stands in the text.
 """
@@ -12,17 +12,16 @@ stands in the text.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .compression import fold_of
-from .text import Texts, arrow_map, byte_table, in_share, span_hash
+from .text import Texts, arrow_map, byte_table, list_array, mix, span_hash
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_DOCS = 400       # documents of each language to learn from, at most
-SAMPLE_CHARS = 3000     # of a document, so much is learnt from
 SAMPLE_WORDS = 12_000   # words of each language to learn from, at most
-MAX_LANGUAGES = 64      # the most frequent languages are learnt
 HIDDEN = 16
 MAX_BYTES = 24          # longer words are cut
 EPOCHS, BATCH, RATE = 5, 256, 0.01
@@ -156,40 +155,82 @@ def _has_letter(texts: Texts) -> np.ndarray:
     return out
 
 
-def train(texts: dict[str, list[str]], hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 0) -> tuple[list[str], BiGRU]:
+def train(texts: dict[str, list[str]], hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 0,
+          sample_words: int = SAMPLE_WORDS) -> tuple[list[str], BiGRU]:
     """(languages, network) from some texts of each language."""
-    languages = sorted(texts)
     r = np.random.default_rng(seed)
-    by_length: dict[int, list[tuple[bytes, int]]] = {}
-    for k, lang in enumerate(languages):
+    words = {}
+    for lang in sorted(texts):
         raw = [t.encode() for t in texts[lang]]
         lower, a, b = _segments(Texts(np.frombuffer(b"".join(raw), dtype=np.uint8),
                                       np.append(0, np.cumsum([len(x) for x in raw], dtype=np.int64)).astype(np.int64)))
-        for i in r.permutation(len(a))[:SAMPLE_WORDS]:
-            by_length.setdefault(int(b[i] - a[i]), []).append((lower.data[a[i]:b[i]].tobytes(), k))
-    words = [np.frombuffer(b"".join(w for w, _ in by_length[n]), dtype=np.uint8).reshape(-1, n) for n in sorted(by_length)]
+        words[lang] = [lower.data[a[i]:b[i]].tobytes() for i in r.permutation(len(a))[:sample_words]]
+    return train_words(words, hidden, epochs, seed)
+
+
+def train_words(words: dict[str, list[bytes]], hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 0) -> tuple[list[str], BiGRU]:
+    """(languages, network) from some words of each language, as ``_segments`` cuts them."""
+    languages = sorted(words)
+    by_length: dict[int, list[tuple[bytes, int]]] = {}
+    for k, lang in enumerate(languages):
+        for word in words[lang]:
+            by_length.setdefault(len(word), []).append((word, k))
+    arrays = [np.frombuffer(b"".join(w for w, _ in by_length[n]), dtype=np.uint8).reshape(-1, n) for n in sorted(by_length)]
     labels = [np.array([k for _, k in by_length[n]]) for n in sorted(by_length)]
     net = BiGRU(max(1, len(languages)), hidden, seed)
     if len(languages) > 1:
-        net.fit(words, labels, epochs, seed=seed)
+        net.fit(arrays, labels, epochs, seed=seed)
     return languages, net
 
 
+def _drawn(docs: DataFrame, most: int) -> DataFrame:
+    """(lang, h, word) of (lang, salt, text): the ``most`` words of each text with the least hashes
+    of text and place, which hold every word that can be among the ``most`` of its language."""
+
+    def work(rows, texts: Texts) -> dict:
+        lower, a, b = _segments(texts)
+        salt = np.array(rows.column(rows.schema.get_field_index("salt")).to_pylist(), dtype=np.int64).astype(np.uint64)
+        doc = texts.owner(a)
+        h = mix(salt[doc] ^ mix((a - texts.bounds[doc]).astype(np.uint64)))
+        order = np.lexsort((h, doc))
+        nth = np.arange(len(order)) - np.searchsorted(doc, doc)
+        order = order[nth < most]
+        bounds = np.searchsorted(doc[order], np.arange(texts.n + 1))
+        words = [lower.data[x:y].tobytes() for x, y in zip(a[order].tolist(), b[order].tolist())]
+        return {"h": list_array(h[order].view(np.int64), bounds),
+                "word": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words, pa.binary()))}
+
+    made = arrow_map(docs.select("lang", "salt", "text"), work, "h array<long>, word array<binary>", "text", ("lang",))
+    return (made.select("lang", F.explode(F.arrays_zip("h", "word")).alias("w"))
+            .select("lang", F.col("w.h").alias("h"), F.col("w.word").alias("word")))
+
+
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  sample: int = SAMPLE_DOCS) -> tuple[list[str], BiGRU]:
-    """Learn from rows with a text, a language and an id outside the held-out fold: the first
-    ``sample`` of each language in hash order, a bounded part of each."""
-    x = (docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("text"),
-                     F.col(lang_col).cast("string").alias("lang"))
+                  sample: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> tuple[list[str], BiGRU]:
+    """Learn every language from rows with a text, a language and an id outside the held-out
+    fold: ``sample_words`` words of each, hash-drawn from the whole texts of the first ``sample``
+    rows in hash order.  One row a language and the drawn words reach the driver."""
+    x = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
          .where("text is not null and lang is not null")
          .where(fold_of(F.col("id"), FOLDS) != HELD_FOLD))
-    found = x.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    texts = {}
-    for row in found:
-        lang = row["lang"]
-        some = x.where(F.col("lang") == lang).where(in_share(3 * sample / row["count"], "id"))
-        texts[lang] = [r["text"] for r in some.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(sample).collect()]
-    return train(texts)
+    counts = {r["lang"]: r["count"] for r in x.groupBy("lang").count().collect()}
+    if not counts:
+        return train_words({})
+    salt = F.xxhash64("id", "text")
+    share = F.pmod(F.xxhash64(F.lit("share"), salt), F.lit(1 << 30))
+    # only about 3 * sample rows of a language meet, whatever its size
+    cuts = docs.sparkSession.createDataFrame(
+        [(lang, int(min(1.0, 3 * sample / n) * (1 << 30)) + 1) for lang, n in counts.items()], "lang string, cut long")
+    some = (x.withColumn("salt", salt).join(F.broadcast(cuts), "lang").where(share < F.col("cut"))
+            .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("salt", "id", "text")))
+            .where(F.col("nth") <= sample).select("lang", "salt", "text"))
+    drawn = (_drawn(some, sample_words)
+             .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "word")))
+             .where(F.col("nth") <= sample_words).select("lang", "nth", "word").collect())
+    words: dict[str, list[bytes]] = {lang: [] for lang in counts}
+    for r in sorted(drawn, key=lambda r: (r["lang"], r["nth"])):
+        words[r["lang"]].append(bytes(r["word"]))
+    return train_words(words)
 
 
 def predict_languages(docs: DataFrame, model: tuple[list[str], BiGRU], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,7 +251,7 @@ def predict_languages(docs: DataFrame, model: tuple[list[str], BiGRU], id_col: s
             """The table's row of each word; new words go through the network."""
             nonlocal table
             key, first, which = np.unique(span_hash(lower.data, a, b), return_index=True, return_inverse=True)
-            if len(places) > 400_000:   # bounds the task's memory, not the result
+            if len(places) > min(400_000, (1 << 25) // net.n):   # bounds the task's memory, not the result
                 places.clear()
             keys = key.tolist()
             new = np.array([k not in places for k in keys], dtype=bool)
@@ -222,7 +263,7 @@ def predict_languages(docs: DataFrame, model: tuple[list[str], BiGRU], id_col: s
             at, size = a[first[new]], (b - a)[first[new]]
             for n in np.unique(size):
                 rows = np.flatnonzero(size == n)
-                for some in np.array_split(rows, -(-len(rows) // 4096)):
+                for some in np.array_split(rows, -(-len(rows) // max(1, min(4096, (1 << 18) // net.n)))):
                     words = lower.data[at[some][:, None] + np.arange(n)]
                     table[base + some] = net.label(words).sum(axis=0)
             return np.array([places[k] for k in keys], dtype=np.int64)[which]

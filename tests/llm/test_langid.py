@@ -71,6 +71,28 @@ def test_odd_rows_and_clashing_names(spark):
     assert langid.predict_languages(empty_docs(spark), model).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    """Seventy languages of their own letters, the last ones the rarest: each row gets its own."""
+    rows, codes = [], [f"l{k:02d}" for k in range(70)]
+    for k, code in enumerate(codes):
+        word = (chr(0x4E00 + 7 * k) + chr(0x4E00 + 11 * k + 3)) * 2
+        rows += [(100 * k + i, " ".join([word] * 40), code, "a", 1) for i in range(12 if k < 64 else 6)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    languages, net = langid.fit_languages(docs)
+    assert languages == codes
+    got = langid.predict_languages(docs, (languages, net)).collect()
+    assert sum(r["lang_pred"] == codes[r["doc_id"] // 100] for r in got if r["doc_id"] >= 6400) > 0
+    assert {r["lang_pred"] for r in got} - set(codes[:64])
+
+
+def test_words_are_drawn_from_whole_texts(spark):
+    """Words far behind the start of a long text are learnt from as well."""
+    docs = spark.createDataFrame([("aa", 7, "abba " * 2000 + "zzyx " * 2000)], "lang string, salt long, text string")
+    drawn = [bytes(r["word"]) for r in langid._drawn(docs, 1000).collect()]
+    assert len(drawn) == 1000 and 350 < drawn.count(b"zzyx") < 650
+    assert len(langid._drawn(docs, 10_000).collect()) == 4000
+
+
 def test_without_languages(spark):
     docs = odd_docs(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in langid.predict_languages(docs, langid.fit_languages(docs)).collect()} == {"und"}
