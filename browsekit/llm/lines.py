@@ -7,9 +7,8 @@ The estimate settles lines that are clearly above or below the threshold; those
 within the sketch's error of it get an exact distinct count.  Boilerplate lines are
 then taken out of every document that holds them.
 
-A document that would lose more than ``max_share`` of its characters is not a page
-with boilerplate but a copy of other pages: it is left whole, for the
-near-duplicate stage to judge.
+A document that would lose more than ``max_share`` of its characters is left whole, be
+it a copy of other pages or not; with 1.0 every document is cleaned.
 """
 
 from __future__ import annotations
