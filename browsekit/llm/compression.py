@@ -10,7 +10,8 @@ under any dictionary).  A logistic curve fitted on labelled texts that the
 dictionaries have not seen turns them into a calibrated score.
 
 Learning takes at most ``SAMPLE`` labelled rows of each class, the first in hash
-order; every document is scored over its whole text, in one pass without shuffle.
+order: dictionaries from at most ``SAMPLE_BLOCKS`` blocks of each class, drawn by hash from
+the whole texts, the curve from features of whole texts, computed in the tasks.  Every document is scored over its whole text, in one pass without shuffle.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .text import Texts, arrow_map, in_share
 
 SAMPLE = 2000           # labelled rows of each class to learn from, at most
-SAMPLE_BYTES = 8192     # of a labelled text, so much is learnt from
+SAMPLE_BLOCKS = 16_000  # blocks of each class to build a dictionary from, at most
 DICT_BYTES = 1 << 16
 BLOCK = 1024
 LEVEL = 3
@@ -70,11 +72,10 @@ def _features(raw: bytes, good, bad) -> tuple[float, float]:
     return (b - a) / (len(raw) + SHRINK), float(np.log((min(a, b) + SHRINK) / (len(raw) + SHRINK)))
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary, or the texts themselves where there are too few to train one."""
+def _dictionary(blocks: list[bytes]) -> bytes:
+    """A trained dictionary, or the blocks themselves where there are too few to train one."""
     import zstandard
 
-    blocks = [t[at:at + BLOCK] for t in texts for at in range(0, len(t), BLOCK)]
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(1024, sum(map(len, blocks)) // 8)), blocks, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -95,27 +96,39 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def learn(good: list[bytes], bad: list[bytes], n_good: int, n_bad: int) -> Model:
-    """Dictionaries from two thirds of the texts, the curve from the others, weighted to the
-    classes' numbers in the labels."""
-    if not good or not bad:
-        return Model(b"", b"", (0.0, 0.0, 0.0), (0.0, 0.0), (1.0, 1.0))
-    held = [[t for i, t in enumerate(x) if i % 3 == 0] for x in (good, bad)]
-    fit = [[t for i, t in enumerate(x) if i % 3] or x for x in (good, bad)]
-    model = Model(_dictionary(fit[0]), _dictionary(fit[1]), (0.0, 0.0, 0.0), (0.0, 0.0), (1.0, 1.0))
-    a, b = _compressor(model.good), _compressor(model.bad)
-    x = np.array([_features(t, a, b) for t in held[0] + held[1]])
-    y = np.append(np.ones(len(held[0])), np.zeros(len(held[1])))
-    share = n_good / (n_good + n_bad)
-    weight = np.where(y == 1, share / len(held[0]), (1 - share) / len(held[1])) * len(y)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    w = _logistic((x - mean) / scale, y, weight)
-    return Model(model.good, model.bad, tuple(w), tuple(mean), tuple(scale))
+def _blocks(texts: DataFrame, most: int) -> tuple[list[bytes], list[bytes]]:
+    """At most ``most`` blocks of each class, bad and good, drawn by hash from whole texts (id, y, text)."""
+    raw = F.encode("text", "UTF-8")
+    places = F.sequence(F.lit(0), F.floor((F.octet_length("text") - 1) / BLOCK).cast("int"))
+    block = F.transform(places, lambda i: F.struct(i.alias("i"), F.substring(raw, i * BLOCK + 1, F.lit(BLOCK)).alias("raw")))
+    rows = (texts.where(F.octet_length("text") > 0).select("id", "y", F.explode(block).alias("b"))
+            .select("y", "b.raw", F.struct(F.xxhash64("id", "b.i").alias("h"), "id", "b.i").alias("place"))
+            .withColumn("nth", F.row_number().over(Window.partitionBy("y").orderBy("place")))
+            .where(F.col("nth") <= most).select("y", "nth", "raw").collect())
+    rows.sort(key=lambda r: r["nth"])
+    return tuple([bytes(r["raw"]) for r in rows if r["y"] == y] for y in (0, 1))
+
+
+def _measured(texts: DataFrame, good: bytes, bad: bytes) -> list:
+    """(id, y, difference, size): the features of whole texts (id, y, text), in order of id."""
+    def start():
+        a, b = _compressor(good), _compressor(bad)
+
+        def work(_, batch: Texts) -> dict:
+            f = np.array([_features(batch.text(i), a, b) for i in range(batch.n)])
+            return {"difference": pa.array(f[:, 0]), "size": pa.array(f[:, 1])}
+
+        return work
+
+    rows = arrow_map(texts, start, "difference double, size double", "text", ("id", "y"), per_task=True).collect()
+    return sorted(rows, key=lambda r: str(r["id"]))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """Learn from the labelled rows outside the held-out fold, at most ``sample`` of each class."""
+                label_col: str = "quality", sample: int = SAMPLE, sample_blocks: int = SAMPLE_BLOCKS) -> Model:
+    """Learn from the labelled rows outside the held-out fold, at most ``sample`` of each class:
+    dictionaries from two thirds of their texts (``sample_blocks`` blocks of each class), the curve
+    from the others, weighted to the classes' numbers in the labels."""
     usable = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
               .where(F.col("y").isin(0, 1)).where(fold_of(F.col("id"), FOLDS) != HELD_FOLD)
               .groupBy("id").agg(F.max("y").alias("y")))
@@ -124,13 +137,24 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     few = [usable.where(F.col("y") == y).where(in_share(3 * sample / max(counts.get(y, 0), 1), "id"))
            .orderBy(*order).limit(sample) for y in (0, 1)]
     chosen = few[0].unionByName(few[1])
-    text = F.substring(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), 1, SAMPLE_BYTES)
-    rows = (docs.select(F.col(id_col).alias("id"), text.alias("raw"))
-            .join(F.broadcast(chosen), "id")      # at most 2 * sample ids
-            .groupBy("id").agg(F.max("y").alias("y"), F.max("raw").alias("raw")).collect())
-    rows.sort(key=lambda r: (str(r["id"])))
-    return learn([bytes(r["raw"]) for r in rows if r["y"] == 1], [bytes(r["raw"]) for r in rows if r["y"] == 0],
-                 counts.get(1, 0), counts.get(0, 0))
+    texts = materialize(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                        .join(F.broadcast(chosen), "id")      # at most 2 * sample ids
+                        .groupBy("id").agg(F.max("y").alias("y"), F.max("text").alias("text")))
+    ids = sorted(texts.select("id", "y").collect(), key=lambda r: str(r["id"]))
+    classes = [[r["id"] for r in ids if r["y"] == y] for y in (0, 1)]
+    if not all(classes):
+        return Model(b"", b"", (0.0, 0.0, 0.0), (0.0, 0.0), (1.0, 1.0))
+    roles = [(i, n % 3 == 0, n % 3 > 0 or len(x) == 1) for x in classes for n, i in enumerate(x)]
+    kind = texts.schema["id"].dataType.simpleString()
+    dealt = texts.join(F.broadcast(docs.sparkSession.createDataFrame(roles, f"id {kind}, held boolean, fit boolean")), "id")
+    bad, good = map(_dictionary, _blocks(dealt.where("fit"), sample_blocks))
+    rows = _measured(dealt.where("held"), good, bad)
+    x, y = np.array([[r["difference"], r["size"]] for r in rows]), np.array([float(r["y"]) for r in rows])
+    share = counts[1] / (counts[1] + counts[0])
+    weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum()) * len(y)
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    w = _logistic((x - mean) / scale, y, weight)
+    return Model(good, bad, tuple(w), tuple(mean), tuple(scale))
 
 
 def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

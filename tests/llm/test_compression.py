@@ -47,6 +47,18 @@ def test_odd_rows_and_clashing_names(spark):
     assert compression.score_quality(empty_docs(spark), model).count() == 0
 
 
+def test_long_texts_are_learnt_whole(spark):
+    """Texts alike in their first 9000 bytes, told apart by what follows."""
+    start = " ".join(f"common{i % 50}" for i in range(1200))
+    assert len(start) > 9000
+    rows = [(i, start + " " + " ".join(f"{'good' if i % 2 else 'poor'}word{(7 * i + j) % 90} tail" for j in range(900))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = compression.score_quality(docs, compression.fit_quality(docs, labels)).where("held_out").collect()
+    good, bad = ([r["score"] for r in got if r["doc_id"] % 2 == y] for y in (1, 0))
+    assert good and bad and min(good) > max(bad) + 0.5
+
+
 def test_without_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long, quality int")
