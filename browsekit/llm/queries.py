@@ -10,7 +10,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, langid, licenses, lines, mixing, near, packing, repetition, spots, substring
+from . import (compression, importance, langid, licenses, lines, mixing, near, packing, phrases, repetition, spots,
+               substring, toxicity)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -74,6 +75,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(docs, langid.fit_languages(docs))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_toxicity(docs, model)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -85,8 +100,13 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_toxicity": op11_toxicity,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_collocations": op13_collocations,
 }
 SQL: dict[str, str] = {
     "op7_line_dedup": lines.line_dedup_sql(),
     "op9_mixing": mixing.mixing_sql(),
+    "op12_importance_resampling": importance.resample_sql(),
+    "op13_collocations": phrases.collocations_sql(),
 }
