@@ -1,14 +1,12 @@
 """Cross-site boilerplate lines by distinct-site spread (operator 7).
 
-DataFrame functions only.  Every trimmed line is reduced to a 128-bit hash; a
-HyperLogLog sketch of the sites on which it stands is built map-side and merged by
-the aggregation, so a line on a third of all pages shuffles one sketch per task.
-The estimate settles lines that are clearly above or below the threshold; those
+DataFrame functions only.  Every trimmed line that is not blank is reduced to a 128-bit
+hash.  Copies of one text count as one page, on the least of their sites: lines are first
+grouped by line and text, which also leaves a line of a text with thousands of copies one row for
+each task.  A HyperLogLog sketch of the sites of each line is then built map-side and merged by
+the aggregation.  The estimate settles lines that are clearly above or below the threshold; those
 within the sketch's error of it get an exact distinct count.  Boilerplate lines are
-then taken out of every document that holds them.
-
-A document that would lose more than ``max_share`` of its characters is left whole, be
-it a copy of other pages or not; with 1.0 every document is cleaned.
+taken out of every document that holds them, whatever their length and share of it.
 """
 
 from __future__ import annotations
@@ -22,10 +20,10 @@ from ..session import materialize
 from .text import text_key
 
 MIN_SITES = 10      # a line on at least so many distinct sites is boilerplate
-MIN_CHARS = 20      # shorter lines are never boilerplate
-MAX_SHARE = 0.5     # a document that would lose more than this share is left whole
 LG_K = 12           # log2 of the sketch's buckets
 SIGMAS = 5          # standard errors around the threshold that get exact counts
+BROADCAST_BYTES = 1 << 24   # lists of lines to take out are broadcast up to this measured size
+SALTS = 16          # beyond it, rows of one text are dealt to so many tasks
 
 
 def _hash(line: Column) -> list[Column]:
@@ -37,67 +35,80 @@ def _split(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _lines(docs: DataFrame, min_chars: int, *columns: str) -> DataFrame:
-    """The given columns and (h1, h2) of each line of a document that is long enough."""
-    line = F.explode(F.filter(_split(F.col("text")), lambda x: F.length(F.trim(x)) >= min_chars))
+def _lines(docs: DataFrame, *columns: str) -> DataFrame:
+    """The given columns and (h1, h2) of each line that is not blank."""
+    line = F.explode(F.filter(_split(F.col("text")), lambda x: F.trim(x) != ""))
     return docs.select(*columns, line.alias("_line")).select(*columns, *_hash(F.col("_line")))
 
 
 def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-                      min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
-                      lg_k: int = LG_K, sigmas: float = SIGMAS) -> DataFrame:
-    """(h1, h2) of the lines on at least ``min_sites`` distinct sites, a null site counting as none."""
-    x = docs.select(F.col(site_col).cast("string").alias("site"), F.col(text_col).alias("text"))
-    lines = _lines(x, min_chars, "site")
+                      min_sites: int = MIN_SITES, lg_k: int = LG_K, sigmas: float = SIGMAS) -> DataFrame:
+    """(h1, h2) of the lines on at least ``min_sites`` distinct sites.
+
+    Equal texts are one page on the least of their sites; a null site counts as none, a
+    null text has no lines; repeated rows change nothing; no rows, no result.
+    """
+    x = docs.select(F.col(site_col).cast("string").alias("site"), F.col(text_col).alias("text"), *text_key(F.col(text_col)))
+    pages = materialize(_lines(x, "k1", "k2", "site").groupBy("h1", "h2", "k1", "k2").agg(F.min("site").alias("site"))
+                        .where("site is not null").select("h1", "h2", "site"))
     error = sigmas * 1.04 / math.sqrt(1 << lg_k)
     spread = materialize(
-        lines.groupBy("h1", "h2")
+        pages.groupBy("h1", "h2")
         .agg(F.hll_sketch_agg("site", lg_k).alias("sketch"))
         .select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites"))
         .where(F.col("sites") >= math.floor(min_sites * (1 - error))))
     sure = spread.where(F.col("sites") > math.ceil(min_sites * (1 + error))).select("h1", "h2")
     near = spread.where(F.col("sites") <= math.ceil(min_sites * (1 + error))).select("h1", "h2")
-    exact = (lines.join(near, ["h1", "h2"], "left_semi").where("site is not null")
+    exact = (pages.join(near, ["h1", "h2"], "left_semi")
              .distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("sites"))
              .where(F.col("sites") >= min_sites).select("h1", "h2"))
     return sure.unionByName(exact)
 
 
+def _with_lists(x: DataFrame, gone: DataFrame) -> DataFrame:
+    """``x`` with the list of lines to take out of each text, null for most.
+
+    Lists of a measured size are broadcast, so that texts stay where they are; larger ones
+    meet the texts in a shuffle, in which the copies of a text are dealt to ``SALTS`` tasks.
+    """
+    size = gone.agg(F.sum(F.size("gone") * 8 + 48).alias("bytes")).first()["bytes"] or 0
+    if size <= BROADCAST_BYTES:
+        return x.join(F.broadcast(gone), ["k1", "k2"], "left")
+    salted = x.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    every = gone.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(every, ["k1", "k2", "_salt"], "left").drop("_salt")
+
+
 def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-                       min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
-                       max_share: float = MAX_SHARE) -> DataFrame:
+                       min_sites: int = MIN_SITES) -> DataFrame:
     """(_row, _text, _n_lines, _n_removed) per document: the row as a struct, its text without
     boilerplate lines, its number of lines and how many went.
 
     A null text stays null with 0 lines; a document with a null site is cleaned but adds no
-    site; repeated rows are cleaned alike; an empty table gives an empty result.
+    site; blank lines stay; repeated rows are cleaned alike; a document of boilerplate alone is
+    left with an empty text; other columns are carried in ``_row``; an empty table gives an
+    empty result.
     """
     # what goes depends on the text alone, so the text's key joins it back
-    found = boilerplate_lines(docs, site_col, text_col, min_sites, min_chars)
+    found = boilerplate_lines(docs, site_col, text_col, min_sites)
     x = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("text"), *text_key(F.col(text_col)))
-    gone = (_lines(x.select("k1", "k2", "text"), min_chars, "k1", "k2").join(found, ["h1", "h2"])
-            .groupBy("k1", "k2").agg(F.collect_set("h1").alias("gone")))
-    both = x.join(gone, ["k1", "k2"], "left")
-    kept = F.filter(_split(F.col("text")),
-                    lambda line: (F.length(F.trim(line)) < min_chars)
-                    | ~F.array_contains("gone", F.xxhash64(F.trim(line))))
-    chars = F.aggregate(_split(F.col("text")), F.lit(0), lambda n, line: n + F.length(line))
-    left = F.aggregate("_kept", F.lit(0), lambda n, line: n + F.length(line))
-    cleaned = (both.withColumn("_kept", F.when(F.col("gone").isNotNull(), kept))
-               .withColumn("_use", F.col("gone").isNotNull() & (chars - left <= max_share * chars)))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_split(F.col("text"))))
+    gone = materialize(_lines(x.select("k1", "k2", "text"), "k1", "k2").join(found, ["h1", "h2"])
+                       .groupBy("k1", "k2").agg(F.collect_set("h1").alias("gone")))
+    line = _split(F.col("text"))
+    kept = F.filter(line, lambda a: (F.trim(a) == "") | ~F.array_contains("gone", F.xxhash64(F.trim(a))))
+    cleaned = _with_lists(x, gone).withColumn("_kept", F.when(F.col("gone").isNotNull(), kept))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(line))
     return cleaned.select(
-        "_row", F.when(F.col("_use"), F.concat_ws("\n", "_kept")).otherwise(F.col("text")).alias("_text"),
+        "_row", F.when(F.col("_kept").isNotNull(), F.concat_ws("\n", "_kept")).otherwise(F.col("text")).alias("_text"),
         n_lines.cast("int").alias("_n_lines"),
-        F.when(F.col("_use"), F.size(_split(F.col("text"))) - F.size("_kept")).otherwise(0).cast("int").alias("_n_removed"))
+        F.when(F.col("_kept").isNotNull(), F.size(line) - F.size("_kept")).otherwise(0).cast("int").alias("_n_removed"))
 
 
 def clean_documents(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-                    min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE,
-                    n_chars_col: str | None = "n_chars") -> DataFrame:
+                    min_sites: int = MIN_SITES, n_chars_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with boilerplate taken out of ``text_col`` (and ``n_chars_col`` counted again
     where text went); all rows and columns stay."""
-    out = remove_boilerplate(docs, site_col, text_col, min_sites, min_chars, max_share)
+    out = remove_boilerplate(docs, site_col, text_col, min_sites)
     columns = []
     for c in docs.columns:
         value = F.col(f"_row.`{c}`")
@@ -110,27 +121,22 @@ def clean_documents(docs: DataFrame, site_col: str = "source", text_col: str = "
     return out.select(*columns)
 
 
-def line_dedup_sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE) -> str:
+def line_dedup_sql(min_sites: int = MIN_SITES) -> str:
     """DuckDB twin: doc_id, n_lines, n_removed, text (ids must be distinct)."""
     return f"""
-WITH line AS (
-  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS l,
-         unnest(range(len(string_split(text, chr(10))))) AS pos
-  FROM documents WHERE text IS NOT NULL),
+WITH page AS (SELECT text, min(source) AS site FROM documents WHERE text IS NOT NULL GROUP BY text),
 bad AS (
-  SELECT trim(l, ' ') AS t FROM line WHERE length(trim(l, ' ')) >= {min_chars} AND source IS NOT NULL
-  GROUP BY 1 HAVING count(DISTINCT source) >= {min_sites}),
-marked AS (
-  SELECT line.*, bad.t IS NOT NULL AS gone FROM line LEFT JOIN bad ON trim(line.l, ' ') = bad.t),
+  SELECT t FROM (SELECT trim(unnest(string_split(text, chr(10))), ' ') AS t, site FROM page) WHERE t <> ''
+  GROUP BY t HAVING count(DISTINCT site) >= {min_sites}),
+line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+marked AS (SELECT line.*, bad.t IS NOT NULL AS gone FROM line LEFT JOIN bad ON trim(line.l, ' ') = bad.t),
 doc AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_gone,
-         coalesce(sum(length(l)) FILTER (gone), 0) AS c_gone, sum(length(l)) AS c_all,
          coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
-  FROM marked GROUP BY doc_id),
-verdict AS (
-  SELECT *, n_gone > 0 AND c_gone <= {max_share} * c_all AS used FROM doc)
-SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines,
-       CAST(CASE WHEN used THEN n_gone ELSE 0 END AS INTEGER) AS n_removed,
-       CASE WHEN used THEN kept ELSE d.text END AS text
-FROM documents d LEFT JOIN verdict v ON d.doc_id = v.doc_id
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_gone, 0) AS INTEGER) AS n_removed,
+       CASE WHEN n_gone > 0 THEN kept ELSE d.text END AS text
+FROM documents d LEFT JOIN doc v ON d.doc_id = v.doc_id
 """

@@ -23,7 +23,7 @@ def test_stages(spark):
     assert all(x.columns == docs.columns for x in seen[:-1])
 
     assert Counter(ruled) == Counter(r for r in raw if brute_rules(r["text"])[-1])
-    want = brute_lines([(r["doc_id"], r["text"], r["source"]) for r in ruled], 10, 20, 0.5)
+    want = brute_lines([(r["doc_id"], r["text"], r["source"]) for r in ruled], 10)
     assert Counter((i, t) for i, _, _, t in want) == Counter((r["doc_id"], r["text"]) for r in cleaned)
     groups = brute_classes([(r["doc_id"], r["text"]) for r in cleaned])
     assert {r["doc_id"] for r in single} == {min(cleaned[i]["doc_id"] for i in g) for g in groups}
