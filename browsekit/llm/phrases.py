@@ -40,8 +40,8 @@ MIN_WORDS, MAX_WORDS = 2, 3
 MIN_COUNT = 10
 COVER = 50          # a phrase goes if a longer one has at least this percentage of its count
 TOP = 2000
-GROUP = 1 << 20     # rows of one routed group, about
-STRETCH = 1 << 22   # bytes of text whose pointers are sorted together
+GROUP = 1 << 19     # rows of one routed group, about
+STRETCH = 1 << 21   # bytes of text whose pointers are sorted together
 LEAF = 1 << 12      # smaller partitions are finished by a plain sort
 FILTER_BITS = 1 << 26
 _PER_ROW = 1 << 15  # bits of one row of Spark's bitmap aggregate
@@ -95,10 +95,11 @@ class Suffixes:
         self.start, self.end = texts.runs((blank & stop)[self.data])
         self.doc = texts.owner(self.start)
         self.key = mix(span_hash(self.data, self.start, self.end, _MULTIPLIERS[seed]) + mix(langs[self.doc] + U64(seed)))
-        stops = np.append(0, np.cumsum(~stop[self.data]))
+        before = Texts(self.data, texts.bounds).count_before
         self.joined = np.zeros(len(self.start), dtype=bool)
         if len(self.start):
-            self.joined[:-1] = (self.doc[1:] == self.doc[:-1]) & (stops[self.start[1:]] == stops[self.end[:-1]])
+            apart = before(~stop, self.start[1:]) - before(~stop, self.end[:-1])
+            self.joined[:-1] = (self.doc[1:] == self.doc[:-1]) & (apart == 0)
 
     def at_depth(self, depth: int) -> np.ndarray:
         """Positions at which ``depth`` words follow one another in a piece."""

@@ -47,18 +47,16 @@ def repetition_of(texts: Texts, ngram_limits: dict[int, float], line_limit: floa
     """The columns of ``STATS`` for some texts."""
     table = space_table()
     words = Words(texts, table)
-    before = texts.chars_before()
-    chars = before[words.end] - before[words.start]
+    chars = texts.chars_before(words.end) - texts.chars_before(words.start)
     word_chars = group_sum(chars, words.doc, texts.n)
     symbols = ~byte_table(SYMBOLS)
     hits = np.flatnonzero(symbols[texts.data])
     n_symbols = np.bincount(texts.owner(hits), minlength=texts.n).astype(np.int64)
 
     line_start, line_end = texts.runs(byte_table(b"\n")[texts.data])
-    in_word = np.zeros(len(texts.data) + 1, dtype=np.int64)
-    np.cumsum(table[texts.data], out=in_word[1:])
-    full = in_word[line_end] > in_word[line_start]
+    full = texts.count_before(table, line_end) > texts.count_before(table, line_start)
     line_start, line_end = line_start[full], line_end[full]
+    in_line = texts.chars_before(line_end) - texts.chars_before(line_start)
     line_doc = texts.owner(line_start)
     key = span_hash(texts.data, line_start, line_end)
     order = np.lexsort((key, line_doc))
@@ -66,8 +64,8 @@ def repetition_of(texts: Texts, ngram_limits: dict[int, float], line_limit: floa
     same_doc[1:] = line_doc[order][1:] == line_doc[order][:-1]
     again = order[in_groups(key[order])[0] & same_doc]
     n_dup_lines = np.bincount(line_doc[again], minlength=texts.n)
-    dup_line_chars = group_sum((before[line_end] - before[line_start])[again], line_doc[again], texts.n)
-    line_chars = group_sum(before[line_end] - before[line_start], line_doc, texts.n)
+    dup_line_chars = group_sum(in_line[again], line_doc[again], texts.n)
+    line_chars = group_sum(in_line, line_doc, texts.n)
 
     def share_over(part, whole, limit):
         return part > limit * whole

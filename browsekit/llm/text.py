@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
 _P1, _P2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93   # odd multipliers of the rolling hashes
+BLOCK = 1 << 16     # values hashed at a time: what a hash holds beside its result does not grow with a text
 U64 = np.uint64
 
 
@@ -41,19 +42,43 @@ def space_table() -> np.ndarray:
     return byte_table([0x20, *range(0x09, 0x0E)])
 
 
-def powers(n: int, p: int) -> tuple[np.ndarray, np.ndarray]:
-    """``p**i`` and ``p**-i`` modulo 2**64 for i < n, kept per worker and grown on demand."""
+def powers(p: int) -> tuple[np.ndarray, np.ndarray]:
+    """``p**i`` and ``p**-i`` modulo 2**64 for i up to ``BLOCK``, kept per worker."""
     cache = worker_cache()
-    got = cache.get(("powers", p))
-    if got is None or len(got[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+    if ("powers", p) not in cache:
         both = []
         for base in (p, pow(p, -1, 1 << 64)):
-            x = np.full(size, base, dtype=U64)
+            x = np.full(BLOCK + 1, base, dtype=U64)
             x[0] = 1
             both.append(np.cumprod(x, dtype=U64))
-        got = cache[("powers", p)] = tuple(both)
-    return got[0][:n], got[1][:n]
+        cache[("powers", p)] = tuple(both)
+    return cache[("powers", p)]
+
+
+def prefix_at(n: int, at: np.ndarray, sums: Callable[[int, int], np.ndarray], grow: int = 1) -> np.ndarray:
+    """Prefix sums of n values at the positions ``at`` (0..n), holding one block at a time.
+
+    ``sums(a, b)`` gives the running sums of the values a..b-1 of a block; the sums of block
+    k count ``grow**(k * BLOCK)`` times (modulo 2**64).
+    """
+    order = None
+    if len(at) > 1 and (at[1:] < at[:-1]).any():
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+    out = np.zeros(len(at), dtype=U64)
+    cuts = np.searchsorted(at, np.arange(0, n + BLOCK, BLOCK), side="right")
+    carry, scale, step = 0, 1, pow(grow, BLOCK, 1 << 64)
+    for k, a in enumerate(range(0, n, BLOCK)):
+        part = sums(a, min(n, a + BLOCK))
+        lo, hi = cuts[k], cuts[k + 1] if k + 1 < len(cuts) else len(at)
+        out[lo:hi] = U64(carry) + U64(scale) * part[at[lo:hi] - a - 1].astype(U64)
+        carry = (carry + scale * int(part[-1])) % (1 << 64)
+        scale = scale * step % (1 << 64)
+    if order is None:
+        return out
+    back = np.empty_like(out)
+    back[order] = out
+    return back
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,20 +92,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, p: int = _P1) -> np.ndarray:
     """Rolling (prefix) polynomial hash of ``values[start:end]`` for each span."""
-    up, down = powers(len(values) + 1, p)
-    prefix = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[1:], out=prefix[1:])
-    return mix((prefix[end] - prefix[start]) * down[start] ^ mix((end - start).astype(U64)))
+    up, down = powers(p)
+    start, end = np.asarray(start), np.asarray(end)
+
+    def sums(a, b):
+        x = values[a:b].astype(U64)
+        x += U64(1)
+        x *= up[1:b - a + 1]
+        return np.cumsum(x, out=x)
+
+    n = len(values)
+    between = prefix_at(n, end, sums, p) - prefix_at(n, start, sums, p)
+    back = down[start & (BLOCK - 1)]        # p**-start, from its low and high bits
+    if n > BLOCK:
+        high, base = np.ones(n // BLOCK + 1, dtype=U64), int(down[BLOCK])
+        for i in range(1, len(high)):
+            high[i] = int(high[i - 1]) * base % (1 << 64)
+        back = back * high[start // BLOCK]
+    return mix(between * back ^ mix((end - start).astype(U64)))
 
 
 def window_hash(values: np.ndarray, n: int, p: int = _P2) -> np.ndarray:
     """Hash of every run of ``n`` consecutive values (``len - n + 1`` of them)."""
     if len(values) < n:
         return np.zeros(0, dtype=U64)
-    up, down = powers(len(values) + 1, p)
-    prefix = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values * up[1:], out=prefix[1:])
-    return mix((prefix[n:] - prefix[:-n]) * down[: len(values) - n + 1])
+    up, down = powers(p)
+    out = np.empty(len(values) - n + 1, dtype=U64)
+    prefix = np.zeros(BLOCK + 1, dtype=U64)
+    for a in range(0, len(out), BLOCK - n + 1):
+        part = values[a:a + BLOCK]
+        sums = prefix[:len(part) + 1]
+        np.cumsum(part * up[1:len(part) + 1], out=sums[1:])
+        got = sums[n:] - sums[:-n]
+        got *= down[:len(got)]
+        out[a:a + len(got)] = mix(got)
+    return out
 
 
 class Texts:
@@ -98,22 +144,20 @@ class Texts:
 
     def runs(self, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end offsets of the maximal runs of True, cut at the texts' bounds."""
-        if not len(mask):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        edge = np.zeros(len(mask) + 1, dtype=bool)
-        edge[self.bounds] = True
-        before = np.zeros(len(mask), dtype=bool)
-        before[1:] = mask[:-1]
-        after = np.zeros(len(mask), dtype=bool)
-        after[:-1] = mask[1:]
-        return (np.flatnonzero(mask & (~before | edge[:-1])),
-                np.flatnonzero(mask & (~after | edge[1:])) + 1)
-
-    def chars_before(self) -> np.ndarray:
-        """Number of code points that begin before each byte offset."""
-        out = np.zeros(len(self.data) + 1, dtype=np.int64)
-        np.cumsum((self.data & 0xC0) != 0x80, out=out[1:])
-        return out
+        start, end = mask.copy(), mask.copy()
+        start[1:] &= ~mask[:-1]
+        end[:-1] &= ~mask[1:]
+        first, last = self.bounds[self.bounds < len(mask)], self.bounds[self.bounds > 0] - 1
+        start[first], end[last] = mask[first], mask[last]
+        return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+    def chars_before(self, at: np.ndarray) -> np.ndarray:
+        """Number of code points that begin before each of the byte offsets ``at``."""
+        return self.count_before((np.arange(256) & 0xC0) != 0x80, at)
+
+    def count_before(self, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Number of bytes for which ``table`` is True before each of the byte offsets ``at``."""
+        return prefix_at(len(self.data), np.asarray(at), lambda a, b: np.cumsum(table[self.data[a:b]], dtype=np.int64)).view(np.int64)
 
 
 class Words:

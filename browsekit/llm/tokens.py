@@ -25,6 +25,9 @@ import numpy as np
 from .text import Texts, span_hash, worker_cache
 
 LETTER, DIGIT, MARK, SPACE, UNKNOWN = 0, 1, 2, 3, 255
+ARENA_BYTES = 1 << 24       # known pieces a worker keeps, about
+PART = 1 << 20              # bytes of a long text encoded at a time
+_ASCII_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -45,7 +48,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
         self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
-        self.ids: dict[int, list[int]] = {}
+        self._forget()
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content.encode(): i for i, t in added.items()}
         # a token that takes in spaces, asks for whole words or is matched after others is left to the library
@@ -53,6 +56,29 @@ class Encoder:
         self.marks = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self._learn(range(128))
 
+    def _forget(self) -> None:
+        """Empty the arena of known pieces: sorted keys, and where the ids of each lie in ``flat``."""
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.at = self.size = np.zeros(0, dtype=np.int32)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _known(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key in the arena, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(key), dtype=np.int64), np.zeros(len(key), dtype=bool)
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return place, self.keys[place] == key
+
+    def _remember(self, key: np.ndarray, lists: list[list[int]]) -> None:
+        size = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(size.sum()))
+        keys = np.concatenate([self.keys, key])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.at = np.concatenate([self.at, (len(self.flat) + np.cumsum(size) - size).astype(np.int32)])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.flat = np.concatenate([self.flat, flat])
+
     def _learn(self, points) -> None:
         """Ask the pre-tokenizer what each character is: does it join a letter, a digit, a mark?"""
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
@@ -128,28 +154,52 @@ class Encoder:
         return out, np.append(0, np.cumsum(size))[np.searchsorted(parts, texts.bounds)]
 
     def _encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """The same for texts without added tokens."""
+        """The same for texts without added tokens: long ones in parts, cut before a single space
+        between ASCII letters, where a piece begins whatever stands around."""
+        data, parts = texts.data, [texts.bounds]
+        for i in np.flatnonzero(np.diff(texts.bounds) > 2 * PART):
+            a, b = int(texts.bounds[i]), int(texts.bounds[i + 1])
+            while b - a > 2 * PART:
+                near = data[a + PART:a + 2 * PART]
+                letter = _ASCII_LETTER[near]
+                cut = np.flatnonzero((near[1:-1] == 0x20) & letter[:-2] & letter[2:])
+                if not len(cut):
+                    a += PART       # no such place here: the part grows
+                    continue
+                a += PART + 1 + int(cut[0])
+                parts.append(np.array([a]))
+        if len(parts) == 1:
+            return self._pieces(texts)
+        bounds = np.sort(np.concatenate(parts), kind="stable")
+        ids, sizes, at = [], [], 0
+        while at < len(bounds) - 1:
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + 2 * PART, side="right")) - 1)
+            got, inner = self._pieces(Texts(data[bounds[at]:bounds[to]], bounds[at:to + 1] - bounds[at]))
+            ids.append(got)
+            sizes.append(np.diff(inner))
+            at = to
+        place = np.append(0, np.cumsum(np.concatenate(sizes)))
+        return np.concatenate(ids), place[np.searchsorted(bounds, texts.bounds, side="left")]
+
+    def _pieces(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The same for some texts at once."""
         string = texts.data.tobytes().decode("utf-8")
         points = np.frombuffer(string.encode("utf-32-le"), dtype=np.uint32)
-        bounds = texts.chars_before()[texts.bounds]
+        bounds = texts.chars_before(texts.bounds)
         start = self._starts(points, bounds)
         end = np.append(start[1:], len(points)) if len(start) else start
         key, place, which = np.unique(span_hash(points, start, end), return_index=True, return_inverse=True)
-        lists = []
-        for k, a, b in zip(key.tolist(), start[place].tolist(), end[place].tolist()):
-            got = self.ids.get(k)
-            if got is None:
-                got = self.ids[k] = self._piece(string[a:b])
-            lists.append(got)
-        if len(self.ids) > 400_000:   # bounds the worker's memory, not the result
-            self.ids.clear()
-        size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(size.sum()))
-        base = np.cumsum(size) - size
+        if self.keys.nbytes + self.at.nbytes + self.size.nbytes + self.flat.nbytes > ARENA_BYTES:
+            self._forget()          # bounds the worker's memory, not the result
+        new = np.flatnonzero(~self._known(key)[1])
+        if len(new):
+            self._remember(key[new], [self._piece(string[a:b]) for a, b in zip(start[place[new]].tolist(), end[place[new]].tolist())])
+        here, _ = self._known(key)
+        base, size = self.at[here].astype(np.int64), self.size[here].astype(np.int64)
         length = size[which]
         at = np.cumsum(length) - length
         total = int(length.sum())
-        ids = flat[np.repeat(base[which] - at, length) + np.arange(total)]
+        ids = self.flat[np.repeat(base[which] - at, length) + np.arange(total)]
         of_text = np.searchsorted(start, bounds)
         return ids, np.append(at, total)[of_text]
 

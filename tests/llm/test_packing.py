@@ -134,3 +134,26 @@ def test_differencing_is_a_partition_with_near_equal_sums():
     assert sorted(np.bincount(packing.differencing([8, 7, 6, 5, 4], 2), weights=[8, 7, 6, 5, 4])) == [14, 16]
     window = packing.windows_of([60, 60, 60], 100)      # two windows would hold 180, but no two fit
     assert len(set(window.tolist())) == 3
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    """Texts of megabytes, cut inside: the same ids as the tokenizer's, also when pieces are forgotten."""
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    from browsekit.llm import tokens
+    from browsekit.llm.text import slices
+
+    monkeypatch.setattr(tokens, "PART", 1 << 14)
+    monkeypatch.setattr(tokens, "ARENA_BYTES", 1 << 12)
+    r = random.Random(3)
+    words = ["the", "they're", "né", "日本", "x1", "  ", "\n", "--", "a's", "٣٣", "don't", "Word", "<|endoftext|>"]
+    mixed = " ".join(r.choice(words) + r.choice(words) for _ in range(60_000))
+    texts = ["short", mixed, "", "nospace" * 20_000, "a b", "日本語" * 20_000 + " and so on " * 5_000]
+    library = Tokenizer.from_file(tokenizer_path())
+    encoder, got = Encoder(tokenizer_path()), []
+    for _, part in slices(pa.array(texts)):
+        ids, bounds = encoder.encode(part)
+        got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
