@@ -7,8 +7,8 @@ three-way quicksort ends up with.  The sort goes a depth further only below
 partitions that are large enough, so the work is split by depth:
 
 1. Tasks cut their suffixes at the present depth, sort the pointers and send each
-   equal partition once, with its size (a hot phrase costs one row for each stretch
-   of text sorted together, not one for each occurrence).
+   equal partition once, with its size (a hot phrase costs one row for each few stretches
+   of text, not one for each occurrence).
 2. Rows are routed by a hash of all their leading words into groups of about
    ``GROUP`` rows, so neither a hot word nor a hot phrase fills a group.
 3. Each group is sorted again; sizes are global now, and partitions of fewer than
@@ -42,6 +42,7 @@ COVER = 50          # a phrase goes if a longer one has at least this percentage
 TOP = 2000
 GROUP = 1 << 19     # rows of one routed group, about
 STRETCH = 1 << 21   # bytes of text whose pointers are sorted together
+MERGE = 1 << 20     # rows a task gathers from its stretches before it merges and sends them
 LEAF = 1 << 12      # smaller partitions are finished by a plain sort
 FILTER_BITS = 1 << 26
 _PER_ROW = 1 << 15  # bits of one row of Spark's bitmap aggregate
@@ -124,7 +125,7 @@ def _lang_keys(langs: list[str]) -> np.ndarray:
 
 
 def _partials(docs: DataFrame, depth: int, seed: int, known: np.ndarray | None) -> DataFrame:
-    """Equal partitions of each stretch of text: key (depth longs), n; at depth 1 also lang and word."""
+    """Equal partitions of the stretches of text of a task, merged as they come: key (depth longs), n; at depth 1 also lang and word."""
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(known) if known is not None else None     # FILTER_BITS / 8 bytes
 
@@ -132,34 +133,58 @@ def _partials(docs: DataFrame, depth: int, seed: int, known: np.ndarray | None)
         at = (keys & U64(FILTER_BITS - 1)).astype(np.int64)
         return (bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
+    def merged(held: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(held).combine_chunks()
+        keys = [table.column(f"k{i}").to_numpy().view(U64) for i in range(depth)]
+        apart = [table.column("apart").to_numpy().view(U64)] if depth == 1 else []
+        chosen, n = equal_partitions(keys + apart, table.column("n").to_numpy())
+        return table.take(pa.array(chosen)).set_column(table.column_names.index("n"), "n", pa.array(n))
+
+    def sent(table: pa.Table):
+        yield from (table.drop_columns(["apart"]) if depth == 1 else table).to_batches()
+
     def run(batches):
+        held, rows = [], 0
         for batch in batches:
             names = batch.column("lang").to_pylist()
             for at, texts in slices(batch.column("text"), STRETCH):
-                own = names[at:at + texts.n]
-                kinds = sorted(set(own))
-                place = {x: i for i, x in enumerate(kinds)}
-                lang = np.array([place[x] for x in own], dtype=np.int64)
-                s = Suffixes(texts, seed, _lang_keys(kinds)[lang])
-                where = s.at_depth(depth)
-                if bits is not None:
-                    leading = seen(_phrase_key([s.key[i:len(s.key) - depth + 2 + i] for i in range(depth - 1)]))
-                    where = where[leading[where] & leading[where + 1]]
-                keys = [s.key[where + i] for i in range(depth)]
-                # words behind one key stay apart here, so that the group they meet in can tell
-                apart = [span_hash(s.data, s.start, s.end, _APART)[where]] if depth == 1 else []
-                chosen, n = equal_partitions(keys + apart, np.ones(len(where), dtype=np.int64))
-                columns = {f"k{i}": pa.array(np.ascontiguousarray(k[chosen]).view(np.int64)) for i, k in enumerate(keys)}
-                columns["n"] = pa.array(n)
-                if depth == 1:
-                    a, b = s.start[where[chosen]], s.end[where[chosen]]
-                    columns["lang"] = pa.array(kinds, type=pa.string()).take(pa.array(lang[s.doc[where[chosen]]]))
-                    columns["word"] = _strings(s.data, a, b)
-                yield pa.RecordBatch.from_pydict(columns)
+                held.append(_stretch(texts, names[at:at + texts.n], depth, seed, seen if bits is not None else None))
+                rows += len(held[-1])
+                if rows > MERGE:
+                    held = [merged(held)]
+                    rows = len(held[0])
+                    if rows > MERGE // 2:
+                        yield from sent(held[0])
+                        held, rows = [], 0
+        if held:
+            yield from sent(merged(held))
 
     return docs.mapInArrow(run, _schema(depth))
 
 
+def _stretch(texts: Texts, langs: list[str], depth: int, seed: int, seen) -> pa.Table:
+    """The equal partitions of one stretch of text."""
+    kinds = sorted(set(langs))
+    place = {x: i for i, x in enumerate(kinds)}
+    lang = np.array([place[x] for x in langs], dtype=np.int64)
+    s = Suffixes(texts, seed, _lang_keys(kinds)[lang])
+    where = s.at_depth(depth)
+    if seen is not None:
+        leading = seen(_phrase_key([s.key[i:len(s.key) - depth + 2 + i] for i in range(depth - 1)]))
+        where = where[leading[where] & leading[where + 1]]
+    keys = [s.key[where + i] for i in range(depth)]
+    # words behind one key stay apart here, so that the group they meet in can tell
+    apart = [span_hash(s.data, s.start, s.end, _APART)[where]] if depth == 1 else []
+    chosen, n = equal_partitions(keys + apart, np.ones(len(where), dtype=np.int64))
+    columns = {f"k{i}": pa.array(np.ascontiguousarray(k[chosen]).view(np.int64)) for i, k in enumerate(keys)}
+    columns["n"] = pa.array(n)
+    if depth == 1:
+        columns["lang"] = pa.array(kinds, type=pa.string()).take(pa.array(lang[s.doc[where[chosen]]]))
+        columns["word"] = _strings(s.data, s.start[where[chosen]], s.end[where[chosen]])
+        columns["apart"] = pa.array(apart[0][chosen].view(np.int64))
+    return pa.table(columns)
+
+
 def _schema(depth: int) -> str:
     return ", ".join(f"k{i} long" for i in range(depth)) + ", n long" + (", lang string, word string" if depth == 1 else "")
 
@@ -246,9 +271,9 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     as k0, k1, ... and n; lang and word of each k0)."""
     x = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size = x.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     for seed in range(len(_MULTIPLIERS)):
-        words = materialize(_partials(x, 1, seed, None))
-        found = materialize(_counted(words, 1, min_count, _groups(words, group)))
+        found = materialize(_counted(_partials(x, 1, seed, None), 1, min_count, _groups(size // 8, group)))
         if not found.agg(F.sum("clashes")).first()[0]:
             break
     else:
@@ -256,15 +281,28 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     totals = found.where("k0 is null").groupBy("lang").agg(F.sum("n").alias("n_words"))
     known = found.where("k0 is not null")
     levels = [known.select("k0", "n")]
+    n = totals.agg(F.sum("n_words")).first()[0] or 0
     for depth in range(2, max_words + 1):
-        rows = materialize(_partials(x, depth, seed, _bitmap(levels[-1], depth - 1)))
-        levels.append(materialize(_counted(rows, depth, min_count, _groups(rows, group))))
+        rows = _partials(x, depth, seed, _bitmap(levels[-1], depth - 1))
+        levels.append(materialize(_counted(rows, depth, min_count, _groups(n, group))))
     return totals, levels, known.select("k0", "lang", "word")
 
 
-def _groups(rows: DataFrame, group: int) -> int:
-    """Into how many groups these rows are routed."""
-    return max(1, -(-rows.count() // group))
+def _groups(rows: int, group: int) -> int:
+    """Into how many groups at most so many rows are routed."""
+    return max(1, -(-rows // group))
+
+
+def _first_of_each(rows: DataFrame, group: str, order: list[Column], top: int) -> DataFrame:
+    """The first ``top`` rows of each group with their rank, by ranges of the order that are sorted
+    side by side: no task holds a whole group."""
+    sorted_ = materialize(rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+                          .withColumn("part", F.spark_partition_id()).withColumn("mono", F.monotonically_increasing_id()))
+    sizes = sorted_.groupBy(group, "part").agg(F.count(F.lit(1)).alias("size"), F.min("mono").alias("start"))
+    before = F.sum("size").over(Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(group, "part", "start", F.coalesce(before, F.lit(0)).alias("before")).where(F.col("before") < top)
+    return (sorted_.join(sizes, [group, "part"]).withColumn("rank", F.col("before") + F.col("mono") - F.col("start") + 1)
+            .where(F.col("rank") <= top))
 
 
 def score_of(a: str, l: str, r: str) -> Column:
@@ -313,10 +351,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
             x = x.join(words.select(F.col("k0").alias(f"k{i}"), F.col("word").alias(f"w{i}"),
                                     *([F.col("lang")] if i == 0 else [])), f"k{i}")
         scored.append(x.select("lang", F.concat_ws(" ", *(f"w{i}" for i in range(depth))).alias("phrase"), "a", "l", "r", "score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    # row_number under a limit: each task keeps its first ``top`` rows of a language before the shuffle
-    ranked = (reduce(DataFrame.unionByName, scored).withColumn("rank", F.row_number().over(best))
-              .where(F.col("rank") <= top))
+    ranked = _first_of_each(reduce(DataFrame.unionByName, scored), "lang", [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("n_words").alias("n"), "score")
 
