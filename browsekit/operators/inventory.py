@@ -25,13 +25,16 @@ REPLY_SCHEMA = T.MapType(T.StringType(), T.StructType([T.StructField("stock_leve
 # -- S3 / S4 / S5: inventory sources -------------------------------------------------
 def latest_event(events: DataFrame, type_: str = config.INVENTORY_EVENT_TYPE) -> DataFrame:
     """S3: the rows of the newest publish of ``type_`` by id (PostgreSQL ``desc``: NULL id
-    first).  A publish is one row or many of bounded size; the newest id is one row, the only
-    thing broadcast."""
+    first).  A publish is one row or many of bounded size.
+
+    The newest id is found first, from the id and type columns alone, and then filters the
+    scan as a literal: the documents of earlier publishes are never read.
+    """
     typed = events.where(F.col("type") == type_)
-    newest = typed.agg(F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("id").isNull()).alias("_none"),
-                       F.max("id").alias("_max")).where("_n > 0").select(
-        F.when(~F.col("_none"), F.col("_max")).alias("_newest"))
-    return typed.join(F.broadcast(newest), typed.id.eqNullSafe(F.col("_newest"))).drop("_newest")
+    newest = typed.agg(F.max(F.col("id").isNull()).alias("none"), F.max("id").alias("id")).first()
+    if newest["none"] is None or newest["none"]:
+        return typed.where(F.col("id").isNull())
+    return typed.where(F.col("id") == F.lit(newest["id"]))
 
 
 def inventory_from_events(events: DataFrame, upper_limit: float | None = None,
@@ -57,12 +60,27 @@ def inventory_from_events(events: DataFrame, upper_limit: float | None = None,
 
 
 def inventory_from_reply(reply: DataFrame, minimum: int = config.INVENTORY_MIN) -> DataFrame:
-    """Skus of a reply map whose ``stock_level >= minimum`` (re-aimed HTTP call)."""
+    """Skus of a reply map whose ``stock_level >= minimum`` (re-aimed HTTP call).
+
+    A broken reply gives no rows and spoils none of the others; ``broken_replies`` names it.
+    """
     m = reply.select(F.explode(F.from_json("reply", REPLY_SCHEMA)).alias("sku", "v"))
     return m.where(F.col("v.stock_level") >= minimum).select(
         "sku", F.col("v.stock_level").alias("qty"))
 
 
+def broken_replies(reply: DataFrame) -> DataFrame:
+    """The replies that are no JSON map of stock levels (a null reply included), all columns."""
+    return reply.where(F.from_json("reply", REPLY_SCHEMA).isNull())
+
+
+def read_replies(reply: DataFrame, quarantine: str, minimum: int = config.INVENTORY_MIN) -> tuple[DataFrame, int]:
+    """S5 as a job step: the stock of the readable replies, and how many were broken; those are
+    written to the folder ``quarantine`` (replaced by each call) instead of vanishing."""
+    broken_replies(reply).write.mode("overwrite").parquet(quarantine)
+    return inventory_from_reply(reply, minimum), reply.sparkSession.read.parquet(quarantine).count()
+
+
 def in_stock(inventory: DataFrame, minimum: int = config.INVENTORY_MIN) -> DataFrame:
     """P17 key set: skus with ``qty >= minimum`` (an absent sku counts 0)."""
     return inventory.where(F.col("qty") >= minimum).select("sku").distinct()

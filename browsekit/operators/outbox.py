@@ -7,12 +7,17 @@ delivery is a separate consumer of the outbox table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
+from ..session import materialize
+from .ranking import rank_by_range
 
 
 def prediction_log(pid_preds: DataFrame, cat_preds: DataFrame, win: RunWindow,
@@ -62,16 +67,63 @@ def rollout_gate(df: DataFrame, bits: int = 224,
     return df.where(parse.in_rollout("email", bits, share))
 
 
+CAP_BUCKETS = 1 << 12   # score buckets of the histogram that finds the cut
+
+
+def _send_order(df: DataFrame) -> list[Column]:
+    """Best score first.  A user can have several rows of one score (variants of a colour), so the
+    order goes on through activity, SKU and variant: the cut is the same on every run."""
+    more = [F.asc_nulls_first(c) for c in ("activity", "upc", "product_variant_id") if c in df.columns]
+    return [F.desc_nulls_last("pred"), F.asc("email"), *more]
+
+
+def _score_bucket() -> Column:
+    """0 for the best scores to CAP_BUCKETS for the worst and for none; never decreases along the send order."""
+    share = F.least(F.greatest(F.col("pred").cast("double"), F.lit(0.0)), F.lit(1.0))
+    return F.coalesce(F.lit(CAP_BUCKETS - 1) - F.floor(share * (CAP_BUCKETS - 1)), F.lit(CAP_BUCKETS)).cast("int")
+
+
 def send_cap(df: DataFrame, n: int | None = None) -> DataFrame:
     """The first ``n`` rows, best score first (all rows when ``n`` is None).
 
-    A user can have several rows of one score (variants of a colour), so the order goes on
-    through activity, SKU and variant: the cut is the same on every run.
+    A histogram over score buckets (at most ``CAP_BUCKETS + 1`` rows) finds the bucket in which
+    the cut lies; better buckets go in whole and only that one is ranked, by ranges, so no
+    task holds all rows whatever ``n`` is.
     """
     if n is None:
         return df
-    more = [F.asc_nulls_first(c) for c in ("activity", "upc", "product_variant_id") if c in df.columns]
-    return df.orderBy(F.desc_nulls_last("pred"), F.asc("email"), *more).limit(int(n))
+    x = df.withColumn("_bucket", _score_bucket())
+    before, cut = 0, -1
+    for r in sorted(x.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()):
+        cut = r["_bucket"]
+        if before + r["n"] > n:
+            break
+        before, cut = before + r["n"], cut + 1
+    whole = x.where(F.col("_bucket") < cut)
+    last = rank_by_range(x.where(F.col("_bucket") == cut), _send_order(df)).where(F.col("_rank") <= int(n) - before)
+    return whole.drop("_bucket").unionByName(last.drop("_bucket", "_rank"))
+
+
+def send_until(df: DataFrame, n: int, deliver: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """L5 over successes: hand rows to ``deliver``, best first, until ``n`` of them have
+    succeeded or none are left; a failed one is replaced by the next best.
+
+    ``deliver`` gets the next rows (with ``_rank``) and returns ``(_rank, ok)`` for them; what it
+    returns is written once, so nothing is delivered twice.  Returns every row handed over, with
+    ``ok``.  Rounds go on from a cursor over the ranks, each as long as what is still missing.
+    """
+    ranked = materialize(rank_by_range(df, _send_order(df)))
+    total, cursor, done, parts = ranked.count(), 0, 0, []
+    while done < n and cursor < total:
+        until = cursor + n - done
+        told = materialize(deliver(ranked.where((F.col("_rank") > cursor) & (F.col("_rank") <= until))).select("_rank", "ok"))
+        parts.append(told)
+        done += told.where("ok").count()
+        cursor = until
+    if not parts:
+        return ranked.limit(0).withColumn("ok", F.lit(False)).drop("_rank")
+    told = reduce(DataFrame.unionByName, parts)
+    return ranked.join(told, "_rank").drop("_rank")
 
 
 def payload(best: DataFrame, event_name: str = config.EVENT_NAME) -> DataFrame:

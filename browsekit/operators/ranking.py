@@ -50,6 +50,20 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], bucket: Column,
             .drop("_bucket", "_before", "_in_bucket", *(f"_r_{i}" for i in range(len(keys)))))
 
 
+def rank_by_range(df: DataFrame, order: Sequence[Column], rank_col: str = "_rank") -> DataFrame:
+    """Add the 1-based rank of each row by ``order``: ranges of the order are sorted side by side
+    and numbered on from the ranges before, so no task sees all rows."""
+    from ..session import materialize
+    rows = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("_part", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id()))
+    w_run = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)   # one row a range
+    offsets = (rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(w_run), F.lit(0)).alias("_before")))
+    local = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33)
+    return (rows.join(F.broadcast(offsets), "_part")
+            .withColumn(rank_col, F.col("_before") + local + 1).drop("_part", "_mono", "_before"))
+
+
 def sample_hash(seed: str, key: Column) -> Column:
     """Sampling order: ``md5(seed || key)`` ascending, then the key."""
     return F.md5(F.concat(F.lit(seed), key.cast("string")))

@@ -48,10 +48,10 @@ def activity_views(views: DataFrame, identity: DataFrame, hosts=config.HOSTS,
     return attach_email(v, identity).drop("user_uuid")
 
 
-def training_views(tables, start, hosts=config.HOSTS) -> DataFrame:
-    """Training rows: every view strictly after ``start`` (P8), raw colour."""
-    lo = config.ms(start)
-    views = window_filter(tables.page_views(lo, None, strict_lo=True), lo, None, strict_lo=True)
+def training_views(tables, start, hosts=config.HOSTS, until=None) -> DataFrame:
+    """Training rows: every view strictly after ``start`` (P8) and before ``until``, if given; raw colour."""
+    lo, hi = config.ms(start), config.ms(until) if until is not None else None
+    views = window_filter(tables.page_views(lo, hi, strict_lo=True), lo, hi, strict_lo=True)
     return activity_views(views, tables.email_uuids(), hosts, clean_color=False)
 
 
@@ -79,6 +79,26 @@ def encode(df: DataFrame, vocab: DataFrame, col: str = "activity",
     return df.join(v, df[col] == v["_act"]).drop("_act")
 
 
+def transform(df: DataFrame, vocab: DataFrame, col: str = "activity",
+              item_col: str = "item") -> DataFrame:
+    """M1 transform as the reference's encoder does it: an activity outside the vocabulary
+    (or none) fails the query and is named in the error, instead of losing its rows."""
+    v = vocab.select(F.col(col).alias("_act"), (F.col("idx") + 1).alias("_item"))
+    unseen = F.concat(F.lit("label outside the vocabulary: "), F.coalesce(F.col(col), F.lit("null")))
+    item = F.when(F.col("_item").isNotNull(), F.col("_item")).otherwise(F.raise_error(unseen).cast("int"))
+    return df.join(v, df[col] == v["_act"], "left").withColumn(item_col, item).drop("_act", "_item")
+
+
+def grow_vocabulary(vocab: DataFrame, df: DataFrame, col: str = "activity") -> DataFrame:
+    """M1 fit on top of an earlier fit: old activities keep their index, new ones follow in sorted
+    order, so models and sequences of the earlier vocabulary stay valid."""
+    old = materialize(vocab.select(col, "idx"))
+    top = old.agg(F.max("idx")).first()[0]
+    new = df.select(col).join(old.select(col), col, "left_anti")
+    first = 0 if top is None else top + 1
+    return old.unionByName(dense_index(new, col, "_new").select(col, (F.col("_new") + first).cast("int").alias("idx")))
+
+
 def known_vocabulary(df: DataFrame, vocab: DataFrame, col: str = "activity") -> DataFrame:
     """Keep rows whose activity the vocabulary knows (semi join)."""
     return df.join(vocab.select(F.col(col).alias("_act")), df[col] == F.col("_act"),

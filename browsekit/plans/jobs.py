@@ -8,6 +8,7 @@ on the way (``session.materialize``), and ``expire_stage_tables`` removes them a
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import RunWindow
-from ..session import materialize, materialize_many, path_exists
+from ..session import (materialize, materialize_many, path_exists, read_file, replace_file,
+                       stage_scope)
 from ..operators import (affinity, features, inventory, outbox, recipients, recommend,
                          sequences)
 
@@ -27,56 +29,84 @@ class Training:
     model: dict[str, DataFrame]
     reciprocal_ranks: DataFrame
     record: DataFrame
+    served: dict[str, DataFrame] | None = None
 
 
 def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
-                   version: int | None = None) -> Training:
+                   version: int | None = None, until: datetime | None = None,
+                   serve: bool = False) -> Training:
     """Vocabulary, split, fit, evaluate, record.
 
     ``fit_on_full=True`` reproduces the reference, which fits on every
     sequence and so also on the test rows; the default fits on train.
+    The training clicks (before ``until``, if given) are scanned once and written: the
+    vocabulary, the evaluated model and, with ``serve``, the served model fitted on every
+    sequence all come from those rows.  ``version`` is by default the time of training.
     """
-    rows = materialize(sequences.training_views(tables, start))
-    vocab = sequences.fit_vocabulary(rows)
+    rows = materialize(sequences.training_views(tables, start, until=until))
+    vocab = materialize(sequences.fit_vocabulary(rows))
     parts = sequences.train_test_split(rows)
     fit_part = "full" if fit_on_full else "train"
-    built = materialize_many(*[sequences.to_sequences(sequences.encode(parts[n], vocab))
-                               for n in (fit_part, "test")])
-    seq = dict(zip((fit_part, "test"), built))
+    names = list(dict.fromkeys((fit_part, "test", *(("full",) if serve else ()))))
+    built = materialize_many(*[sequences.to_sequences(sequences.encode(parts[n], vocab)) for n in names])
+    seq = dict(zip(names, built))
     fit_seq = seq[fit_part]
-    model = affinity.fit(fit_seq)
+    if serve and fit_part != "full":
+        model, served = concurrently(lambda: affinity.fit(fit_seq), lambda: affinity.fit(seq["full"]))
+    else:
+        model = affinity.fit(fit_seq)
+        served = model if serve else None
     rr = affinity.reciprocal_ranks(seq["test"], model, affinity.universe_of(fit_seq))
-    version = version if version is not None else config.ms(start) // 1000
+    version = version if version is not None else time.time_ns() // 1_000_000
     record = affinity.model_record(affinity.mean_reciprocal_rank(rr), version)
-    return Training(vocab, model, rr, record)
+    return Training(vocab, model, rr, record, served)
 
 
-def run_training(tables, path: str, start=config.TRAIN_START, **kw) -> Training:
-    """T8 with artefacts under ``path``: the vocabulary and the count tables to serve,
-    fitted on every training sequence, and under ``evaluated`` the tables fitted as
-    ``build_training`` does (by default on the train part), with the record of their
-    test metrics."""
-    base = path.rstrip("/")
-    t, (_, served) = concurrently(lambda: build_training(tables, start, **kw),
-                                  lambda: serving_model(tables, start))
+def run_training(tables, path: str, start=config.TRAIN_START, until: datetime | None = None,
+                 version: int | None = None, **kw) -> Training:
+    """T8 with artefacts: everything is written into ``path``/versions/<version>, and only then
+    the pointer ``path``/current is switched to it in one step, so a run that reads an
+    earlier version goes on reading it, and a failed training publishes nothing.
+
+    A version holds the vocabulary and the count tables to serve, fitted on every training
+    sequence, and under ``evaluated`` the tables fitted as ``build_training`` does (by default on
+    the train part), with the record of their test metrics.  Versions are named by the time of
+    training in milliseconds; one that exists is not overwritten.
+    """
+    version = version if version is not None else time.time_ns() // 1_000_000
+    base = f"{path.rstrip('/')}/versions/{version}"
+    if path_exists(tables.spark, f"{base}/record/_SUCCESS"):
+        raise ValueError(f"model version {version} exists")
+    t = build_training(tables, start, version=version, until=until, serve=True, **kw)
     t.vocabulary.write.mode("overwrite").parquet(f"{base}/vocabulary")
-    affinity.save_model(served, base)
+    affinity.save_model(t.served, base)
     affinity.save_model(t.model, f"{base}/evaluated")
     t.record.write.mode("overwrite").parquet(f"{base}/record")
+    replace_file(tables.spark, f"{path.rstrip('/')}/current", str(version))
     return t
 
 
-def load_serving(spark, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Vocabulary and serving tables written by ``run_training``, as the hourly
-    run loads them (the reference downloads its fitted artefacts likewise)."""
+def model_path(spark, path: str, version: int | None = None) -> str:
+    """The folder of a published version, by default the current one."""
     base = path.rstrip("/")
+    name = str(version) if version is not None else read_file(spark, f"{base}/current")
+    if not name:
+        raise FileNotFoundError(f"no model has been published under {base}")
+    return f"{base}/versions/{name.strip()}"
+
+
+def load_serving(spark, path: str, version: int | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Vocabulary and serving tables of a version written by ``run_training`` (the current one),
+    as the hourly run loads them (the reference downloads its fitted artefacts likewise).  The
+    frames stay with the version that was current when they were loaded."""
+    base = model_path(spark, path, version)
     return spark.read.parquet(f"{base}/vocabulary"), affinity.load_model(spark, base)
 
 
 def serving_model(tables, start=config.TRAIN_START) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Vocabulary and a model fitted on every training sequence, as served."""
     rows = materialize(sequences.training_views(tables, start))
-    vocab = sequences.fit_vocabulary(rows)
+    vocab = materialize(sequences.fit_vocabulary(rows))
     seqs = materialize(sequences.to_sequences(sequences.encode(rows, vocab)))
     return vocab, affinity.fit(seqs)
 
@@ -107,6 +137,12 @@ class Scoring:
     prediction_log: DataFrame
     best: DataFrame
     outbox: DataFrame
+    written: dict[str, DataFrame] | None = None     # the outputs as read back from the run's partitions
+
+    def _replace_intermediate(self) -> Scoring:
+        """The same run as its written outputs, for when its stage tables are gone."""
+        return Scoring(self.written["score_rows"], None, self.written["prediction_log"], None,
+                       self.written["outbox"], self.written)
 
 
 def send_scores(tables, win: RunWindow) -> DataFrame:
@@ -157,13 +193,15 @@ def window_of(spark, out_dir: str, run, hosts=config.HOSTS) -> RunWindow:
     return RunWindow(run, last or run - timedelta(hours=1), hosts)
 
 
+def run_folder(path: str, win: RunWindow) -> str:
+    """The partition of a run in one of its tables."""
+    return f"{path}/run_date={win.run:%Y-%m-%d}/run_time=t{win.run:%H%M%S}"
+
+
 def _write_run(df: DataFrame, path: str, win: RunWindow, fmt: str = "parquet") -> None:
-    """Write one run's rows into the partition of its day and time, replacing what an earlier
-    attempt of the same run left there, and nothing else."""
-    stamp = F.lit(win.run_text).cast("timestamp")
-    (df.withColumn("run_date", F.to_date(stamp)).withColumn("run_time", F.lit(win.run.strftime("t%H%M%S")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date", "run_time").format(fmt).save(path))
+    """Write one run's rows as the partition of its day and time, replacing what an earlier
+    attempt of the same run left there (also when there are no rows now), and nothing else."""
+    df.write.mode("overwrite").format(fmt).save(run_folder(path, win))
 
 
 def run_log_so_far(tables, base: str, win: RunWindow, delivered: DataFrame | None = None) -> DataFrame:
@@ -183,21 +221,29 @@ def run_log_so_far(tables, base: str, win: RunWindow, delivered: DataFrame | Non
 
 def run_scoring(tables, win: RunWindow | datetime, vocab: DataFrame, model: dict[str, DataFrame],
                 out_dir: str, n: int | None = None, delivered: DataFrame | None = None,
-                rollout_bits: int = 224) -> Scoring:
+                rollout_bits: int = 224, expire: bool = False) -> Scoring:
     """T7 with its writes: score log (written, then read back for T2), prediction log,
     outbox, delivery log and run log, each in the partition of its run, so a repeated run
-    replaces its rows.
+    replaces its rows, also where it has none now.  The run log is written last: a run that is in
+    it is complete.
 
     ``win`` may be the run's time alone: the window then starts at the last run in the run
     log.  ``delivered`` is the mailer's own delivery log ``(email, timestamp)``; without it
-    everything in the outbox counts as delivered and this job writes the log.
+    everything in the outbox counts as delivered and this job writes the log.  With ``expire``
+    the run's stage tables are removed at its end, whether it succeeds or fails, and
+    ``recipients`` and ``best`` of the result are None.
     """
+    if expire:
+        with stage_scope(vocab.sparkSession):
+            s = run_scoring(tables, win, vocab, model, out_dir, n, delivered, rollout_bits)
+        return s._replace_intermediate()
     spark = vocab.sparkSession
     base = out_dir.rstrip("/")
     if isinstance(win, datetime):
         win = window_of(spark, base, win)
     scores = send_scores(tables, win)
-    _write_run(recipients.score_log_rows(scores, win), f"{base}/score_log", win)
+    score_rows = recipients.score_log_rows(scores, win)
+    _write_run(score_rows, f"{base}/score_log", win)
     earlier = delivered
     if earlier is None and path_exists(spark, f"{base}/delivery_log"):
         # a repeated run must not see its own deliveries
@@ -206,9 +252,13 @@ def run_scoring(tables, win: RunWindow | datetime, vocab: DataFrame, model: dict
     log = run_log_so_far(tables, base, win, earlier)
     s = build_scoring(tables, win, vocab, model, n=n, score_log=log, scores=scores, rollout_bits=rollout_bits)
     s.outbox = materialize(s.outbox)
+    sent = s.outbox.withColumn("timestamp", F.lit(win.run_text).cast("timestamp"))
     _write_run(s.prediction_log, f"{base}/prediction_log", win)
-    _write_run(s.outbox.withColumn("timestamp", F.lit(win.run_text).cast("timestamp")), f"{base}/outbox", win, "json")
+    _write_run(sent, f"{base}/outbox", win, "json")
     if delivered is None:
         _write_run(outbox.delivery_rows(s.outbox, win), f"{base}/delivery_log", win)
     _write_run(outbox.run_log_row(spark, win), f"{base}/run_log", win)
+    s.written = {"score_rows": spark.read.schema(score_rows.schema).parquet(run_folder(f"{base}/score_log", win)),
+                 "prediction_log": spark.read.schema(s.prediction_log.schema).parquet(run_folder(f"{base}/prediction_log", win)),
+                 "outbox": spark.read.schema(sent.schema).json(run_folder(f"{base}/outbox", win)).drop("timestamp")}
     return s

@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -82,20 +84,64 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder, on any file system Spark can reach; False if there was none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place in one step: readers see the old text or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    made = jvm.org.apache.hadoop.fs.Path(f"{path}.{os.getpid()}-{next(_counter)}")
+    out = made.getFileSystem(conf).create(made, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(made.getFileSystem(conf).getUri(), conf).rename(
+        made.getFileSystem(conf).makeQualified(made), target.getFileSystem(conf).makeQualified(target), options)
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(r["value"] for r in spark.read.text(path).collect())
+
+
 def expire_stage_tables(spark: SparkSession) -> bool:
     """Remove this application's stage tables (after a run's outputs are written); frames
     that still read them can no longer be computed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return delete_path(spark, stage_root(spark))
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Stage tables written inside, also by the threads of a job, are removed at its end, whether
+    it succeeds or not; those written before or beside it stay.  Scopes of one application may
+    nest but not overlap."""
+    with _scope_lock:
+        _scopes.append(f"scope-{os.getpid()}-{next(_counter)}")
+        here = f"{stage_root(spark)}/{'/'.join(_scopes)}"
+    try:
+        yield here
+    finally:
+        with _scope_lock:
+            _scopes.pop()
+        delete_path(spark, here)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A per-call table location under the shared checkpoint folder, grouped
-    by application so one run's stage tables can be expired together."""
-    return f"{stage_root(spark)}/{name}-{os.getpid()}-{next(_counter)}"
+    by application (and by scope) so one run's stage tables can be expired together."""
+    return "/".join([stage_root(spark), *_scopes, f"{name}-{os.getpid()}-{next(_counter)}"])
 
 
+_scopes: list[str] = []
+_scope_lock = threading.Lock()
 # called with every frame that is about to be written as a stage table (plan tests)
 stage_observers: list = []
 _counter = itertools.count(1)   # next() on a count is atomic: safe from job threads

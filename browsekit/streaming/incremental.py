@@ -2,7 +2,8 @@
 
 R1 lands new page views with a file-source stream (``availableNow`` each
 hour, exactly-once file sink, checkpointed progress), so the hourly batch
-reads only a partitioned table instead of rescanning raw events.
+reads only a partitioned table instead of rescanning raw events.  ``hourly_unit`` joins landing
+and scoring in one ``foreachBatch`` that a restart finishes or repeats as a whole.
 
 R2 keeps the send features' mergeable parts -- last view, category and
 product view counts -- as hourly partials per email under a 2-hour
@@ -17,6 +18,8 @@ hourly distinct counts add up exactly.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +28,7 @@ from .. import config
 from ..config import RunWindow
 from ..functions import parse
 from ..operators.features import host_filter
+from ..session import path_exists, read_file, replace_file
 from ..operators.identity import attach_email, restrict_single_email
 from ..sources.fixtures import derive_page_views
 
@@ -194,7 +198,7 @@ class LandedTables:
         if hi_ms is not None:
             df = df.where(F.col("view_date") <= F.to_date(F.timestamp_millis(F.lit(hi_ms))))
             df = df.where(ts < hi_ms)
-        return df.drop("view_date")
+        return df.drop("view_date", "batch")
 
 
 def hourly_run(clicks: DataFrame, tables, landed_path: str, checkpoint: str, win: RunWindow,
@@ -209,3 +213,46 @@ def hourly_run(clicks: DataFrame, tables, landed_path: str, checkpoint: str, win
     if out_dir:
         return jobs.run_scoring(landed, win, vocab, model, out_dir, rollout_bits=rollout_bits)
     return jobs.build_scoring(landed, win, vocab, model, rollout_bits=rollout_bits)
+
+
+def hourly_unit(clicks: DataFrame, tables, landed_path: str, checkpoint: str, run: datetime,
+                vocab: DataFrame, model, out_dir: str, n: int | None = None, rollout_bits: int = 224) -> None:
+    """R1 as one restartable unit: landing the new page views and the hourly run (T7) are one
+    ``foreachBatch``, committed together by the stream's checkpoint.
+
+    The batch id is the run key.  A batch lands in a partition of its id and the run writes the
+    partitions of its time, both replaced when the batch is repeated, and the time belongs
+    to the batch: it is noted before anything else, so a batch that was interrupted is finished
+    under the time of its first attempt, and the requested run then follows.  An hour without new
+    clicks is run as well.  Outputs are complete when the run is in the run log.
+    """
+    from ..plans import jobs
+
+    spark = tables.spark
+    landed = LandedTables(tables, f"{landed_path.rstrip('/')}/clicks")
+
+    def score(when: datetime) -> None:
+        jobs.run_scoring(landed, when, vocab, model, out_dir, n=n, rollout_bits=rollout_bits, expire=True)
+
+    def unit(batch: DataFrame, batch_id: int) -> None:
+        note = f"{landed_path.rstrip('/')}/runs/{batch_id}"
+        when = read_file(spark, note)
+        if when is None:
+            when = run.isoformat()
+            replace_file(spark, note, when)
+        day = F.to_date(F.timestamp_millis("timestamp"))
+        (batch.withColumn("view_date", day).write.mode("overwrite").partitionBy("view_date")
+         .parquet(f"{landed_path.rstrip('/')}/clicks/batch={batch_id}"))
+        score(datetime.fromisoformat(when))
+
+    def pass_over() -> None:
+        (clicks.writeStream.foreachBatch(unit).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    pass_over()
+    log = f"{out_dir.rstrip('/')}/run_log"
+    if not path_exists(spark, jobs.run_folder(log, RunWindow(run)) + "/_SUCCESS"):
+        # the batch finished an earlier attempt, or there were no clicks
+        pass_over()
+        if not path_exists(spark, jobs.run_folder(log, RunWindow(run)) + "/_SUCCESS"):
+            score(run)

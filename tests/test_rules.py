@@ -3,9 +3,11 @@ small predicates, on literal frames."""
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from browsekit import config
 from browsekit.functions import parse
 from browsekit.operators import inventory, recommend, recipients, sequences
 
@@ -193,3 +195,42 @@ def test_send_probability_from_spark_ml_model(spark):
     for e, *x in rows:
         z = b + sum(wi * xi for wi, xi in zip(w, x))
         assert m.isclose(got[e], 1 / (1 + m.exp(-z)), rel_tol=1e-9)
+
+
+def test_transform_refuses_unseen_labels_and_growth_keeps_old_ids(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "activity string")
+    vocab = sequences.fit_vocabulary(df)
+    assert sorted((r.activity, r.item) for r in sequences.transform(df, vocab).collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    for bad in ("d", None):
+        with pytest.raises(Exception, match="label outside the vocabulary: " + (bad or "null")):
+            sequences.transform(spark.createDataFrame([("a",), (bad,)], "activity string"), vocab).collect()
+    more = spark.createDataFrame([("c",), ("aa",), ("A",), ("aa",), (None,)], "activity string")
+    grown = sequences.grow_vocabulary(vocab, more)
+    assert sorted((r.idx, r.activity) for r in grown.collect()) == [(0, "a"), (1, "b"), (2, "c"), (3, "A"), (4, "aa")]
+    assert dict(grown.dtypes) == dict(vocab.dtypes)
+    fresh = sequences.grow_vocabulary(vocab.limit(0), more)
+    assert sorted((r.idx, r.activity) for r in fresh.collect()) == [(0, "A"), (1, "aa"), (2, "c")]
+
+
+def test_newest_publish_is_read_by_its_id(spark, tmp_path):
+    """The documents of earlier publishes are not read: the newest id reaches the scan as a literal."""
+    kind = config.INVENTORY_EVENT_TYPE
+    rows = [(i, p, kind, f'[{{"sku": "s{p}", "qty": {i}}}]') for i in (1, 2, 7) for p in range(2)] + [(9, 0, "other", "[]")]
+    path = str(tmp_path / "events")
+    spark.createDataFrame(rows, "id long, part long, type string, event string").write.parquet(path)
+    events = spark.read.parquet(path)
+    stock = inventory.inventory_from_events(events)
+    assert sorted(map(tuple, stock.collect())) == [("s0", 7), ("s1", 7)]
+    assert "EqualTo(id,7)" in stock._jdf.queryExecution().executedPlan().toString()
+    none = spark.createDataFrame([(None, 0, kind, '[{"sku": "n", "qty": 3}]')], events.schema)
+    assert [tuple(r) for r in inventory.inventory_from_events(events.unionByName(none)).collect()] == [("n", 3)]
+    assert inventory.inventory_from_events(events.limit(0)).count() == 0
+
+
+def test_broken_replies_are_kept_and_counted(spark, tmp_path):
+    good = ['{"a": {"stock_level": 3}, "b": {"stock_level": 0}}', '{"c": {"stock_level": 5}}']
+    reply = spark.createDataFrame([(good[0],), ('{"x": {"stock_le',), (good[1],)], "reply string")
+    stock, broken = inventory.read_replies(reply, str(tmp_path / "quarantine"))
+    assert sorted(map(tuple, stock.collect())) == [("a", 3), ("c", 5)] and broken == 1
+    assert [r.reply for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()] == ['{"x": {"stock_le']
+    assert inventory.read_replies(reply.limit(0), str(tmp_path / "quarantine"))[1] == 0

@@ -99,3 +99,44 @@ def test_hourly_partials_over_many_batches(spark):
     cols = ["email", "time_since_browse", "cgid_count", "pdp_count", "count"]
     assert sorted(map(tuple, streamed.select(*cols).collect())) == \
         sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_an_interrupted_hour_is_finished_and_none_is_lost_or_doubled(spark, monkeypatch):
+    """Killed between landing and writing, then restarted with the next hour's run: both runs are
+    there once, equal to the batch job's."""
+    from browsekit.plans import jobs
+
+    t = FixtureTables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="browsekit-unit-")
+    vocab, model = jobs.serving_model(t)
+    win = RunWindow()
+    later = datetime(2024, 1, 30, 13, 0)
+    plain = jobs.run_scoring
+    calls = []
+
+    def killed(tables, when, *a, **k):
+        calls.append(when)
+        if len(calls) == 1:
+            raise RuntimeError("killed")
+        return plain(tables, when, *a, **k)
+
+    monkeypatch.setattr(jobs, "run_scoring", killed)
+
+    def unit(run):
+        incremental.hourly_unit(clicks(spark), t, f"{base}/landed", f"{base}/ckpt", run, vocab, model, f"{base}/out")
+
+    with pytest.raises(Exception, match="killed"):
+        unit(win.run)
+    unit(later)
+    assert calls == [win.run, win.run, later]
+    unit(later)
+    assert len(calls) == 3, "a complete run is not repeated"
+    for when in (win.run, later):
+        plain(t, when, vocab, model, f"{base}/batch")
+    for table in ("outbox", "delivery_log", "run_log", "score_log", "prediction_log"):
+        read = spark.read.json if table == "outbox" else spark.read.parquet
+        a, b = (sorted(map(str, read(f"{base}/{x}/{table}").collect())) for x in ("out", "batch"))
+        assert a == b and a
+    cols = ["user_uuid", "timestamp", "session_id", "host", "query_string", "url"]
+    landed = spark.read.parquet(f"{base}/landed/clicks").select(*cols)
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, t.page_views().select(*cols).collect()))
