@@ -139,7 +139,7 @@ class Scoring:
     outbox: DataFrame
     written: dict[str, DataFrame] | None = None     # the outputs as read back from the run's partitions
 
-    def _replace_intermediate(self) -> Scoring:
+    def as_written(self) -> Scoring:
         """The same run as its written outputs, for when its stage tables are gone."""
         return Scoring(self.written["score_rows"], None, self.written["prediction_log"], None,
                        self.written["outbox"], self.written)
@@ -233,10 +233,14 @@ def run_scoring(tables, win: RunWindow | datetime, vocab: DataFrame, model: dict
     the run's stage tables are removed at its end, whether it succeeds or fails, and
     ``recipients`` and ``best`` of the result are None.
     """
-    if expire:
-        with stage_scope(vocab.sparkSession):
-            s = run_scoring(tables, win, vocab, model, out_dir, n, delivered, rollout_bits)
-        return s._replace_intermediate()
+    if not expire:
+        return _score_and_write(tables, win, vocab, model, out_dir, n, delivered, rollout_bits)
+    with stage_scope(vocab.sparkSession):
+        s = _score_and_write(tables, win, vocab, model, out_dir, n, delivered, rollout_bits)
+    return s.as_written()
+
+
+def _score_and_write(tables, win, vocab, model, out_dir, n, delivered, rollout_bits) -> Scoring:
     spark = vocab.sparkSession
     base = out_dir.rstrip("/")
     if isinstance(win, datetime):
