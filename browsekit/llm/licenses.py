@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ LEVELS = {
 UNKNOWN_LEVEL = 4
 TAG_TRUST, BASE_TRUST, NOTICE_TRUST = 0.9, 0.8, 0.6     # how sure one place makes us
 
-_TOKEN = re.compile(r"\s*([()]|[a-z0-9][a-z0-9.+\-:]*)")
+_TOKEN = re.compile(r"\s*([()/]|[a-z0-9][a-z0-9.+\-:]*)")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -75,7 +76,8 @@ def parse_expression(text: str) -> list[str]:
     """The longest well-formed license expression at the start of ``text`` in postfix order (shunting-yard).
 
     Reading stops at a token that cannot follow; operators left without an operand and
-    brackets left open are given up.  [] if there is no license.
+    brackets left open are given up.  A slash between two names is the older way to write
+    ``or``.  [] if there is no license.
     """
     out: list[str] = []
     stack: list[str] = []
@@ -87,7 +89,7 @@ def parse_expression(text: str) -> list[str]:
 
     text = text.lower()
     while hit := _TOKEN.match(text, at):
-        token = hit[1]
+        token = "or" if hit[1] == "/" and hit.end() < len(text) and not text[hit.end()].isspace() else hit[1]
         if operand_next:
             if token == "(":
                 stack.append(token)
@@ -131,7 +133,8 @@ def evaluate(postfix: list[str]) -> tuple[set[str], int]:
             else:
                 stack.append((left | right, min(a, b) if token == "or" else max(a, b)))
         else:
-            label = IDENTIFIERS.get(token, token.rstrip("+"))
+            plain = token.rstrip("+")      # "or any later version"
+            label = IDENTIFIERS.get(token, IDENTIFIERS.get(plain, plain))
             stack.append(({label}, LEVELS.get(label, UNKNOWN_LEVEL)))
     labels = set().union(*(s[0] for s in stack)) if stack else set()
     return labels, max((s[1] for s in stack), default=-1)
@@ -162,6 +165,16 @@ def _automaton(base: dict[str, str], notices: dict[str, str]):
     return automaton
 
 
+def _inside(found: list[tuple]) -> list[bool]:
+    """For finds (start, -last, ...) in order: does a longer find hold this one whole?"""
+    out, reach, widest = [], -1, (-1, -1)      # the farthest end so far, and the span that has it
+    for at, last, *_ in found:
+        out.append(-last <= reach and (at, -last) != widest)
+        if -last > reach:
+            reach, widest = -last, (at, -last)
+    return out
+
+
 _TAG_LINE = re.compile(r"spdx[^a-z0-9\n]{0,3}license[^a-z0-9\n]{0,3}identifier[^a-z0-9(\n]*([^\n]*)", re.I)
 
 
@@ -172,7 +185,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``score`` is how sure the finds make us that the text carries a license (0 without any),
     ``level`` the strictest obligation found (null without any), ``expressions`` the postfix
-    forms of the tags' expressions.  A null text has no words and no finds; ids are carried
+    forms of the tags' expressions.  A notice that lies within a longer find is not counted: the
+    longest phrase speaks.  Repeated rows are scanned alike.  A null text has no words and no finds; ids are carried
     through; other columns are ignored; an empty table gives an empty result.
     """
     x = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -187,20 +201,28 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         def one(raw: bytes) -> tuple:
             words = raw.translate(table).split()
             line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-            places, base_labels, labels, doubt, levels, tagged = [], set(), set(), 1.0, [], False
+            found, tagged = [], False
             for end, (size, what) in automaton.iter(line):
                 for kind, label in what:
                     if kind == "tag":
                         tagged = True
-                        continue
-                    labels.add(label)
-                    levels.append(LEVELS.get(label, UNKNOWN_LEVEL))
-                    if kind == "base":
-                        places.append(line.count(" ", 0, end + 1 - size))
-                        base_labels.add(label)
-                        doubt *= 1 - BASE_TRUST
                     else:
-                        doubt *= 1 - NOTICE_TRUST
+                        found.append((end + 1 - size, -end, kind, label))
+            base_at, base_labels, labels, doubt, levels = [], set(), set(), 1.0, []
+            found.sort()
+            for (at, end, kind, label), inside in zip(found, _inside(found)):
+                if kind == "base":
+                    base_at.append(at)
+                    base_labels.add(label)
+                elif inside:        # a notice within a longer find says nothing of its own
+                    continue
+                labels.add(label)
+                levels.append(LEVELS.get(label, UNKNOWN_LEVEL))
+                doubt *= 1 - (BASE_TRUST if kind == "base" else NOTICE_TRUST)
+            places = []
+            if base_at:     # word numbers: spaces before each place
+                space = np.flatnonzero(np.frombuffer(line.encode("latin-1"), dtype=np.uint8) == 0x20)
+                places = np.searchsorted(space, base_at).tolist()
             expressions = []
             if tagged:
                 for hit in _TAG_LINE.finditer(raw.decode("utf-8")):

@@ -85,3 +85,31 @@ def test_tags(spark):
         "SPDX-License-Identifier:")).collect()
     assert [r["labels"] for r in rows] == ["apache-2,mit", "gpl-3", "", ""]
     assert [r["level"] for r in rows] == [1, 3, None, None]
+
+
+def scanned(spark, *texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return sorted(licenses.scan_licenses(docs).collect(), key=lambda r: r["doc_id"])
+
+
+def test_or_later_forms_and_slashes(spark):
+    tag = "SPDX-License-Identifier: "
+    rows = scanned(spark, tag + "GPL-2.0+", tag + "LGPL-2.1+", tag + "Apache-2.0+", tag + "MIT/Apache-2.0", tag + "MIT / later")
+    assert [(r["labels"], r["level"]) for r in rows] == [("gpl-2", 3), ("lgpl", 2), ("apache-2", 1), ("apache-2,mit", 1), ("mit", 1)]
+
+
+def test_the_longest_phrase_speaks(spark):
+    rows = scanned(spark, "GNU General Public License version 3", "GNU General Public License", "under the MIT license",
+                   "the MIT license", "GNU General Public License version 3, GNU General Public License")
+    assert [r["labels"] for r in rows] == ["gpl-3", "gpl", "mit", "mit", "gpl,gpl-3"]
+    assert abs(rows[2]["score"] - licenses.BASE_TRUST) < 1e-9 and abs(rows[3]["score"] - licenses.NOTICE_TRUST) < 1e-9
+
+
+def test_word_numbers_take_linear_time(spark):
+    import time
+
+    text = "cc by nc text " * 360_000      # 5 MB
+    began = time.monotonic()
+    row = scanned(spark, text)[0]
+    assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"]) == (1_440_000, 360_000, 0, 1_439_996)
+    assert time.monotonic() - began < 30
