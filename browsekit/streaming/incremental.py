@@ -190,6 +190,8 @@ class LandedTables:
 
     def page_views(self, lo_ms: int | None = None, hi_ms: int | None = None,
                    strict_lo: bool = False) -> DataFrame:
+        if not path_exists(self._base.spark, self._path):    # nothing has landed yet
+            return self._base.page_views(lo_ms, hi_ms, strict_lo).limit(0)
         df = self._base.spark.read.parquet(self._path)
         ts = F.col("timestamp")
         if lo_ms is not None:

@@ -140,3 +140,9 @@ def test_an_interrupted_hour_is_finished_and_none_is_lost_or_doubled(spark, monk
     cols = ["user_uuid", "timestamp", "session_id", "host", "query_string", "url"]
     landed = spark.read.parquet(f"{base}/landed/clicks").select(*cols)
     assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, t.page_views().select(*cols).collect()))
+
+
+def test_nothing_has_landed_yet(spark, tmp_path):
+    t = FixtureTables(spark, SF_SMALL)
+    views = incremental.LandedTables(t, str(tmp_path / "none")).page_views(0, 1)
+    assert views.count() == 0 and views.columns == t.page_views().columns
