@@ -53,6 +53,11 @@ def fit(sequences: DataFrame) -> dict[str, DataFrame]:
     counts, pairs = materialize_many(
         _items(sequences).groupBy(*K, "item").agg(F.count(F.lit(1)).alias("item_count")),
         _pairs(sequences).groupBy(*K, "src", "dst").agg(F.count(F.lit(1)).alias("pair_count")))
+    return tables_of(counts, pairs)
+
+
+def tables_of(counts: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
+    """The model tables from written item and pair counts."""
     totals = counts.groupBy(*K).agg(F.sum("item_count").alias("total"))
     src = pairs.groupBy(*K, "src").agg(F.sum("pair_count").alias("src_count"))
     # one row per activity type in ``totals``; ``src`` is re-aggregated from

@@ -106,7 +106,8 @@ def known_vocabulary(df: DataFrame, vocab: DataFrame, col: str = "activity") ->
 
 
 # -- W3: sequences -------------------------------------------------------------
-def _minute(c: Column) -> Column:
+def minute(c: Column) -> Column:
+    """Epoch minute of a time: the bucket that ranks and neighbours are found in."""
     return F.floor(F.unix_seconds(c) / 60)
 
 
@@ -122,7 +123,7 @@ def to_sequences(df: DataFrame, group_cols: Sequence[str] = ("email", "activity_
     of times and each window is one small ``collect_list``.
     """
     g = list(group_cols)
-    ranked = rank_in_group(df.select(*g, item_col, *order), g, _minute(F.col(order[0])),
+    ranked = rank_in_group(df.select(*g, item_col, *order), g, minute(F.col(order[0])),
                            [F.col(c) for c in order])
     q = F.col("_total") - F.col("_rank")
     k_hi = F.floor(q / step)

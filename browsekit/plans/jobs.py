@@ -19,7 +19,7 @@ from .. import config
 from ..config import RunWindow
 from ..session import (materialize, materialize_many, path_exists, read_file, replace_file,
                        stage_scope)
-from ..operators import (affinity, features, inventory, outbox, recipients, recommend,
+from ..operators import (affinity, continued, features, inventory, outbox, recipients, recommend,
                          sequences)
 
 
@@ -86,6 +86,48 @@ def run_training(tables, path: str, start=config.TRAIN_START, until: datetime |
     return t
 
 
+def continue_training(tables, path: str, until: datetime, start=config.TRAIN_START,
+                      version: int | None = None) -> str:
+    """T8 without rescanning: publish a version that adds the clicks from the end of the current
+    version's clicks up to ``until`` to its counts, and return its folder.
+
+    The first call (or one after ``run_training``, which publishes no state) counts everything
+    after ``start``.  Later ones scan their own clicks, let the vocabulary grow, so items keep
+    their ids, and merge counts and newest items (``operators.continued``).  A version is complete before the
+    pointer is switched and is computed from the one before it alone, so a failed call leaves
+    the current version and is simply repeated.  ``until`` closes its clicks: rows that land
+    later with earlier times are not counted, which the usual two hours of lag are for.
+    """
+    spark, base = tables.spark, path.rstrip("/")
+    earlier = f"{base}/versions/{(read_file(spark, f'{base}/current') or '').strip()}"
+    closed = read_file(spark, f"{earlier}/until")
+    if closed is not None:
+        done = datetime.fromisoformat(closed.strip())
+        if until <= done:
+            raise ValueError(f"clicks before {done} are counted already")
+        start = done - timedelta(milliseconds=1)        # the lower bound is exclusive
+    version = version if version is not None else time.time_ns() // 1_000_000
+    home = f"{base}/versions/{version}"
+    if path_exists(spark, f"{home}/until") or path_exists(spark, f"{home}/record/_SUCCESS"):
+        raise ValueError(f"model version {version} exists")
+    with stage_scope(spark):
+        rows = materialize(sequences.training_views(tables, start, until=until))
+        if closed is None:
+            vocab, state = sequences.fit_vocabulary(rows), None
+        else:
+            vocab, served = load_serving(spark, path, int(earlier.rsplit("/", 1)[1]))
+            vocab = sequences.grow_vocabulary(vocab, rows)
+            state = continued.state_of(served, spark.read.parquet(f"{earlier}/recent"))
+        vocab = materialize(vocab)
+        state = continued.carry(state, materialize(sequences.transform(rows, vocab)))
+        vocab.write.mode("overwrite").parquet(f"{home}/vocabulary")
+        affinity.save_model(continued.model(state), home)
+        state["recent"].write.mode("overwrite").parquet(f"{home}/recent")
+    replace_file(spark, f"{home}/until", until.isoformat())
+    replace_file(spark, f"{base}/current", str(version))
+    return home
+
+
 def model_path(spark, path: str, version: int | None = None) -> str:
     """The folder of a published version, by default the current one."""
     base = path.rstrip("/")

@@ -9,6 +9,7 @@ equal; the library functions themselves return full precision.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from pyspark.sql import types as T
 from .. import config
 from ..config import RunWindow
 from ..functions import parse
-from ..operators import (affinity, catalog, features, identity, inventory, outbox, recipients,
-                         recommend, sequences)
+from ..operators import (affinity, catalog, continued, features, identity, inventory, outbox,
+                         recipients, recommend, sequences)
 from ..session import materialize
 from . import jobs
 from ..streaming import incremental as streaming
@@ -785,6 +786,40 @@ def t8(spark, sf_dir):
     return edge(jobs.build_training(t, version=WIN.run_ms // 1000).record)
 
 
+# the batches in which the training clicks up to the run arrive
+BATCHES = (datetime(2024, 1, 11), datetime(2024, 1, 20), datetime(2024, 1, 26, 7, 30), config.RUN)
+
+
+@query("t8_continued_training")
+def t8_continued(spark, sf_dir):
+    """T8 in four calls, each reading its own clicks: the served transitions by name."""
+    from ..session import scratch_path
+    t = tables(spark, sf_dir)
+    path = scratch_path(spark, "continued")
+    for i, until in enumerate(BATCHES):
+        jobs.continue_training(t, path, until, version=i)
+    vocab, model = jobs.load_serving(spark, path)
+    names = vocab.select((F.col("idx") + 1).alias("item"), "activity")
+    prob = affinity.transition_probabilities(model)
+    src = names.select(F.col("item").alias("src"), F.col("activity").alias("src_activity"))
+    dst = names.select(F.col("item").alias("dst"), F.col("activity").alias("dst_activity"))
+    return edge(prob.join(src, "src").join(dst, "dst").drop("src", "dst"))
+
+
+@query("w3_newest_items")
+def w3_newest(spark, sf_dir):
+    """W3's chunk 0 from the kept newest items, merged over the batches and the clicks after."""
+    rows = _train_rows(spark, sf_dir)
+    rows = materialize(sequences.encode(rows, sequences.fit_vocabulary(rows)))
+    kept, ms = None, F.col("timestamp")
+    bounds = [None, *map(config.ms, BATCHES), None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        batch = rows if lo is None else rows.where(ms >= lo)
+        batch = batch if hi is None else batch.where(ms < hi)
+        kept = materialize(continued.merge_last_n(kept, batch, config.MAX_SEQUENCE_LENGTH))
+    return _seq_text(continued.newest_sequences(kept))
+
+
 @query("s11_model_round_trip")
 def s11(spark, sf_dir):
     """Write the fitted model tables and read them back."""
@@ -956,17 +991,11 @@ def r1(spark, sf_dir):
 
 @query("r2_hourly_partials")
 def r2(spark, sf_dir):
-    """R2: send features from streamed hourly partials (watermark 2 h)."""
+    """R2: send features from one stream of hourly partials (watermark 2 h)."""
     t = tables(spark, sf_dir)
     out, ckpt = _stream_dirs(spark, "r2")
-    dout, dckpt = _stream_dirs(spark, "r2d")
-    ids = t.email_uuids()
-    queries_ = [streaming.start_hourly_partials(_click_stream(spark, sf_dir), ids, out, ckpt),
-                streaming.start_hourly_distinct(_click_stream(spark, sf_dir), ids, dout, dckpt)]
-    for q in queries_:
-        q.awaitTermination()
-    return edge(streaming.features_from_partials(spark.read.parquet(out), WIN,
-                                                 distinct=spark.read.parquet(dout)))
+    streaming.start_hourly_features(_click_stream(spark, sf_dir), t.email_uuids(), out, ckpt).awaitTermination()
+    return edge(streaming.features_from_partials(spark.read.parquet(out), WIN))
 
 
 # ------------------------------------------------------ small named rules ---

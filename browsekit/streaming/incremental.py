@@ -10,10 +10,11 @@ product view counts -- as hourly partials per email under a 2-hour
 watermark (the reference ends every window 2 h before the run for late
 rows).  A run then sums the 122 hourly partials of its window instead of
 rescanning 5 days of clicks.  Each row lands in exactly one hour, so no
-row is replicated across overlapping windows.  The distinct-timestamp count
-comes from a second stream that deduplicates (email, timestamp) under the
-watermark before counting per hour; since a timestamp lies in one hour, the
-hourly distinct counts add up exactly.
+row is replicated across overlapping windows.  One stream does it
+(``hourly_features``): its state is first one row per (email, timestamp), then one per
+(email, hour), so the distinct-timestamp count is the number of first-level rows; since a
+timestamp lies in one hour, the hourly distinct counts add up exactly.  Its two parts
+are also there as streams of their own (``hourly_partials``, ``hourly_distinct_views``).
 """
 
 from __future__ import annotations
@@ -95,12 +96,53 @@ def hourly_distinct_views(clicks: DataFrame, identity: DataFrame, hosts=config.H
                     F.col("w.end").alias("hour_end"), "distinct_views"))
 
 
+def hourly_features(clicks: DataFrame, identity: DataFrame, hosts=config.HOSTS,
+                    lateness: str = "2 hours", salts: int = 8) -> DataFrame:
+    """R2 in one pass over the clicks: per (email, hour) the last view (ms), category views, product
+    views, views and distinct view timestamps.
+
+    Two chained aggregations under one watermark.  The first keeps one row per (email,
+    timestamp), so a hot email is spread over its timestamps; the second receives what the watermark
+    has closed.  Both drop a row from their state once its hour is ``lateness`` old.
+
+    A stateful query runs without adaptive skew splitting, so the join to the identity map is
+    salted: a uuid's clicks go to ``salts`` tasks by a hash of the click, and each of
+    its (few) identity rows to all of them.
+    """
+    c = host_filter(clicks, hosts).select(
+        "user_uuid", "timestamp",
+        F.timestamp_millis("timestamp").alias("event_time"),
+        (parse.category_key() != "").alias("_is_cat"),
+        (parse.product_key() != "").alias("_is_pdp"),
+        F.pmod(F.xxhash64("timestamp", "query_string"), F.lit(salts)).cast("int").alias("_salt"))
+    ids = restrict_single_email(identity).select(
+        F.col("uuid").alias("user_uuid"), "email",
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    per_time = (c.join(ids, ["user_uuid", "_salt"]).withWatermark("event_time", lateness)
+                .groupBy("email", "timestamp", F.window("event_time", "1 hour").alias("_w"))
+                .agg(F.count_if("_is_cat").alias("_cat"), F.count_if("_is_pdp").alias("_pdp"),
+                     F.count(F.lit(1)).alias("_views")))
+    return (per_time.groupBy("email", F.window(F.window_time("_w"), "1 hour").alias("w"))
+            .agg(F.max("timestamp").alias("last_ms"), F.sum("_cat").alias("cgid_count"),
+                 F.sum("_pdp").alias("pdp_count"), F.sum("_views").alias("views"),
+                 F.count(F.lit(1)).alias("distinct_views"))
+            .select("email", F.col("w.start").alias("hour_start"), F.col("w.end").alias("hour_end"),
+                    "last_ms", "cgid_count", "pdp_count", "views", "distinct_views"))
+
+
 def _start(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
     return (df.writeStream.format("parquet").outputMode("append")
             .option("path", out_path).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def start_hourly_features(clicks: DataFrame, identity: DataFrame,
+                          out_path: str, checkpoint: str) -> StreamingQuery:
+    """Run R2 once over the available part of a click stream (``availableNow``), appending closed
+    hours to one parquet table that serves as partials and as distinct counts."""
+    return _start(hourly_features(clicks, identity), out_path, checkpoint)
+
+
 def start_hourly_partials(clicks: DataFrame, identity: DataFrame,
                           out_path: str, checkpoint: str) -> StreamingQuery:
     """Run R2 once over the available part of a click stream (``availableNow``), appending
@@ -118,18 +160,21 @@ def features_from_partials(partials: DataFrame, win: RunWindow,
                            distinct: DataFrame | None = None) -> DataFrame:
     """Sum the hourly partials inside ``[send_lo, send_hi)`` and apply the
     recency gate: the A1 columns, with ``count`` (distinct view timestamps)
-    when the distinct partials are given.  Partials are whole hours, so a window
+    when the distinct partials are given or ``partials`` come from ``hourly_features``.  Partials are whole hours, so a window
     whose bounds are not raises; ``edges_from_views`` gives the partials of its
     broken first and last hour."""
     if win.send_lo % HOUR_MS or win.send_hi % HOUR_MS:
         raise ValueError("hourly partials need a run on the full hour; see features_at")
+    if distinct is None and "distinct_views" in partials.columns:
+        distinct = partials
     return _summed(partials, win, distinct)
 
 
 def features_at(partials: DataFrame, distinct: DataFrame, views: DataFrame, identity: DataFrame,
                 win: RunWindow) -> DataFrame:
     """``features_from_partials`` for a run at any time: whole hours from the partials, the
-    broken first and last hour from the raw ``views`` (at most two hours of clicks)."""
+    broken first and last hour from the raw ``views`` (at most two hours of clicks).  The table
+    of ``hourly_features`` is both ``partials`` and ``distinct``."""
     first = -(-win.send_lo // HOUR_MS) * HOUR_MS
     last = win.send_hi // HOUR_MS * HOUR_MS
     ms = F.col("timestamp")
@@ -145,8 +190,9 @@ def features_at(partials: DataFrame, distinct: DataFrame, views: DataFrame, iden
         F.count_if("_is_pdp").alias("pdp_count"), F.count(F.lit(1)).alias("views"))
     times = (joined.select("email", "timestamp").distinct().groupBy("email")
              .agg(F.count(F.lit(1)).alias("distinct_views")))
-    whole = partials.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
-    counted = distinct.where((F.col("hour_start") >= lo) & (F.col("hour_end") <= hi))
+    inside = (F.col("hour_start") >= lo) & (F.col("hour_end") <= hi)
+    whole = partials.where(inside).select(*sums.columns, "hour_start", "hour_end")
+    counted = distinct.where(inside).select("email", "distinct_views", "hour_start", "hour_end")
     bounds = [lo.alias("hour_start"), hi.alias("hour_end")]
     return _summed(whole.unionByName(sums.select("*", *bounds)), win,
                    counted.unionByName(times.select("*", *bounds)))

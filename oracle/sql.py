@@ -186,6 +186,7 @@ def seqs(src: str, step: int = config.SEQUENCE_STEP, length: int = config.MAX_SE
 SEQ_CTES = dict(train_views=TRAIN_VIEWS, vocab=VOCAB)
 q("m1_vocabulary", "select activity, idx from vocab", **SEQ_CTES)
 q("w3_sequences", seqs("select * from train_views"), **SEQ_CTES)
+q("w3_newest_items", f"select * from ({seqs('select * from train_views')}) s where chunk = 0", **SEQ_CTES)
 q("w3_sequences_step3", seqs("select * from train_views", step=3), **SEQ_CTES)
 
 
@@ -570,6 +571,21 @@ q("t8_run_training", f"select 'seq_' || activity_type || '_model{W.run_ms // 100
   **EVAL_CTES)
 SQL["s11_model_round_trip"] = SQL["m4_affinity_fit"]
 
+# unbroken next-item counts of the clicks before the run
+q("t8_continued_training",
+  "select p.activity_type, p.src as src_activity, p.dst as dst_activity, p.pair_count, s.src_count, "
+  "round((p.pair_count + 1.0 * i.item_count / t.total) / (s.src_count + 1.0), 6) as prob "
+  "from u_pairs p join u_srcc s on p.activity_type = s.activity_type and p.src = s.src "
+  "join u_icnt i on i.activity_type = p.activity_type and i.activity = p.dst "
+  "join u_tot t on t.activity_type = p.activity_type",
+  u_views=act_views(f"c.timestamp > {config.ms(config.TRAIN_START)} and c.timestamp < {W.run_ms}", COLOR_RAW),
+  u_icnt="select activity_type, activity, count(*) as item_count from u_views group by all",
+  u_tot="select activity_type, cast(sum(item_count) as bigint) as total from u_icnt group by all",
+  u_pairs="select activity_type, src, dst, count(*) as pair_count from (select activity_type, activity as dst, "
+          "lag(activity) over (partition by email, activity_type order by sec, session_id, activity) as src "
+          "from u_views) l where src is not null group by all",
+  u_srcc="select activity_type, src, cast(sum(pair_count) as bigint) as src_count from u_pairs group by all")
+
 # ---------------------------------------------------------------- catalog ---
 q("s2_resolve_table", "select billing_email, order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') "
   "as order_date, sales_order_sku from orders_fact")

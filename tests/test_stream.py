@@ -146,3 +146,43 @@ def test_nothing_has_landed_yet(spark, tmp_path):
     t = FixtureTables(spark, SF_SMALL)
     views = incremental.LandedTables(t, str(tmp_path / "none")).page_views(0, 1)
     assert views.count() == 0 and views.columns == t.page_views().columns
+
+
+def test_one_stream_gives_all_send_features(spark):
+    """One scan of the clicks, a file a batch; equal to A1 on the hour and at any minute."""
+    from pyspark.sql import functions as F
+    t = FixtureTables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="browsekit-one-")
+    ev = t.raw("events").withColumn("d", F.floor(F.dayofmonth("ts") / 4))
+    for (d,) in sorted(ev.select("d").distinct().collect()):
+        ev.where(F.col("d") == d).drop("d").coalesce(1).write.parquet(f"{base}/events/part={d:03d}")
+    stream = incremental.event_stream(spark, f"{base}/events/*/*.parquet", max_files_per_trigger=1)
+    q = incremental.start_hourly_features(incremental.derive_page_views(stream), t.email_uuids(),
+                                          f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    assert len(q.lastProgress["sources"]) == 1 and len(q.lastProgress["stateOperators"]) == 2
+    table = spark.read.parquet(f"{base}/out")
+    cols = ["email", "time_since_browse", "cgid_count", "pdp_count", "count"]
+    for minute in (0, 17, 30):
+        win = RunWindow(datetime(2024, 1, 30, 12, minute), datetime(2024, 1, 30, 11, minute))
+        views = t.page_views(win.send_lo, win.send_hi)
+        want = sorted(map(tuple, features.browse_features(views, t.email_uuids(), win).select(*cols).collect()))
+        got = (incremental.features_at(table, table, views, t.email_uuids(), win) if minute
+               else incremental.features_from_partials(table, win))
+        assert sorted(map(tuple, got.select(*cols).collect())) == want and want
+
+
+def test_a_hot_uuid_is_split_by_the_salted_join(spark):
+    """A uuid with most clicks meets its identity row in several tasks, with the same result as unsalted."""
+    from pyspark.sql import functions as F
+    rows = [("hot" if i % 3 else f"u{i % 7}", i % 900 * 1000, "s", "shop.example", f"pid=p{i % 50}&x=1", "")
+            for i in range(3000)]
+    views = spark.createDataFrame(rows, "user_uuid string, timestamp bigint, session_id string, host string, "
+                                        "query_string string, url string")
+    ids = spark.createDataFrame([("hot", "h@x")] + [(f"u{i}", "h@x" if i == 1 else f"{i}@x") for i in range(7)],
+                                "uuid string, email string")
+    out = [sorted(map(tuple, incremental.hourly_features(views, ids, salts=s).collect())) for s in (1, 8)]
+    assert out[0] == out[1] and len(out[0]) == 7
+    salt = F.pmod(F.xxhash64("timestamp", "query_string"), F.lit(8))
+    shares = [r["count"] for r in views.where("user_uuid = 'hot'").groupBy(salt).count().collect()]
+    assert len(shares) == 8 and max(shares) < 2 * sum(shares) / 8
