@@ -19,7 +19,7 @@ from .. import config
 from ..config import RunWindow
 from ..session import (materialize, materialize_many, path_exists, read_file, replace_file,
                        stage_scope)
-from ..operators import (affinity, continued, features, inventory, outbox, recipients, recommend,
+from ..operators import (affinity, continued, factors, features, inventory, outbox, recipients, recommend,
                          sequences)
 
 
@@ -62,6 +62,23 @@ def build_training(tables, start=config.TRAIN_START, fit_on_full: bool = False,
     return Training(vocab, model, rr, record, served)
 
 
+def compare_models(tables, start=config.TRAIN_START, seed: int = 0) -> DataFrame:
+    """M6 of the counts and of the factors, both fitted on T4's train part and tested on its test
+    part: ``(model, activity_type, mrr, sequences)``."""
+    rows = materialize(sequences.training_views(tables, start))
+    vocab = materialize(sequences.fit_vocabulary(rows))
+    parts = sequences.train_test_split(rows)
+    train, test = materialize_many(*[sequences.to_sequences(sequences.encode(parts[n], vocab))
+                                     for n in ("train", "test")])
+    counts, universe = affinity.fit(train), affinity.universe_of(train)
+    by_factors = factors.fit(counts["transitions"].select("activity_type", "src", "dst", "pair_count"), seed=seed)
+    ranks = {"counts": affinity.reciprocal_ranks(test, counts, universe),
+             "factors": factors.reciprocal_ranks(test, by_factors, universe)}
+    out = [affinity.mean_reciprocal_rank(rr).select(F.lit(name).alias("model"), "activity_type", "mrr", "sequences")
+           for name, rr in ranks.items()]
+    return out[0].unionByName(out[1])
+
+
 def run_training(tables, path: str, start=config.TRAIN_START, until: datetime | None = None,
                  version: int | None = None, **kw) -> Training:
     """T8 with artefacts: everything is written into ``path``/versions/<version>, and only then

@@ -820,6 +820,12 @@ def w3_newest(spark, sf_dir):
     return _seq_text(continued.newest_sequences(kept))
 
 
+@query("m6_counts_and_factors")
+def m6_models(spark, sf_dir):
+    """M6 and A13 of the counts and of the matrix factorisation on one test part."""
+    return jobs.compare_models(tables(spark, sf_dir))
+
+
 @query("s11_model_round_trip")
 def s11(spark, sf_dir):
     """Write the fitted model tables and read them back."""

@@ -60,7 +60,8 @@ def test_matches_duckdb(spark, con, key):
 
 def test_every_query_runs(spark):
     missing = [k for k in library(entry.queries()) if k not in entry.oracle_sql()]
-    assert set(missing) == {"l4_rollout_gate_224", "t7_run_scoring_224", "f_hash_224"}
+    assert set(missing) == {"l4_rollout_gate_224", "t7_run_scoring_224", "f_hash_224",
+                            "m6_counts_and_factors"}      # iterative; ranks by brute force in test_factors
 
 
 def test_entry_smoke(spark):
