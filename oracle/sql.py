@@ -175,9 +175,8 @@ def seqs(src: str, step: int = config.SEQUENCE_STEP, length: int = config.MAX_SE
     ranked = (f"select r.*, v.idx + 1 as item, row_number() over (partition by {extra} email, "
               "activity_type order by sec desc, session_id desc, r.activity desc) - 1 as q "
               f"from ({src}) r join vocab v on r.activity = v.activity")
-    windows = (f"select x.*, k.chunk from ({ranked}) x, "
-               f"(select unnest(range(0, 100000)) as chunk) k "
-               f"where k.chunk * {step} <= x.q and x.q < k.chunk * {step} + {length}")
+    windows = (f"select x.*, unnest(range((greatest(x.q - {length - 1}, 0) + {step - 1}) // {step}, "
+               f"x.q // {step} + 1)) as chunk from ({ranked}) x")
     return (f"select {extra} email, activity_type, cast(chunk as integer) as chunk, "
             f"repeat('0,', {length} - count(*)) || string_agg(cast(item as varchar), ',' "
             f"order by q desc) as items from ({windows}) w group by all")
@@ -307,7 +306,7 @@ EVAL = f"""
             coalesce(i.item_count, 0) as ci
           from (select m.activity_type, r.item, s.src
                 from (select activity_type, max(item) as mx from trr group by all) m,
-                     unnest(range(0, 1000000)) r(item),
+                     unnest(range(0, m.mx + 1)) r(item),
                      (select distinct activity_type, src from (select t.activity_type,
                         coalesce(p.item, 0) as src from ter t left join ter p on p.email = t.email
                         and p.activity_type = t.activity_type and p.q = t.q + 1
