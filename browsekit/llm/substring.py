@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, materialize_many
+from .skew import join_by_count
 from .text import (Texts, Words, arrow_map, list_array, mix, slices, space_table, span_hash, text_key,
                    window_hash)
 
@@ -164,10 +165,12 @@ def _search(keyed: DataFrame, length: int, seed: int) -> tuple[DataFrame, DataFr
         "text", ("k1", "k2", "id"), per_task=True))
     anchors = seeded.select("k1", "k2", F.explode(F.arrays_zip("h", "recurs")).alias("a")).select(
         "k1", "k2", F.col("a.h").alias("h"), F.col("a.recurs").alias("recurs"))
-    shared = (anchors.groupBy("h")
-              .agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.max("recurs").alias("recurs"))
-              .where("least < most or recurs").select("h"))
-    wanted = (anchors.select("k1", "k2", "h").join(shared, "h")
+    shared = materialize(
+        anchors.groupBy("h")
+        .agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.max("recurs").alias("recurs"),
+             F.count(F.lit(1)).alias("rows"))
+        .where("least < most or recurs").select("h", "rows"))
+    wanted = (join_by_count(anchors.select("k1", "k2", "h"), shared, ["h"], "rows")
               .groupBy("k1", "k2").agg(F.collect_set("h").alias("hs")))
     # at most one row for each text and task meets here; any of them will do
     texts = _first_copies(keyed.select("k1", "k2", "text"))
@@ -178,20 +181,24 @@ def _search(keyed: DataFrame, length: int, seed: int) -> tuple[DataFrame, DataFr
     contexts = runs.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"),
                                           F.min(F.struct("k1", "k2", "lo")).alias("one"))
     contexts = materialize(contexts.select("h", "c", "n", "one"))
-    whole = (runs.select("k1", "k2", "h", "c", "lo", "hi")
-             .join(contexts.where("n > 1").select("h", "c"), ["h", "c"]).select("k1", "k2", "lo", "hi"))
+    whole = (join_by_count(runs.select("k1", "k2", "h", "c", "lo", "hi"),
+                           contexts.where("n > 1").select("h", "c", "n"), ["h", "c"], "n")
+             .select("k1", "k2", "lo", "hi"))
     # anchors with a context found once: compare windows, one run for each context
-    open_anchors = contexts.groupBy("h").agg(F.min("n").alias("n")).where("n = 1").select("h")
-    one = contexts.join(open_anchors, "h").select("h", "n", "one.k1", "one.k2", "one.lo")
+    open_anchors = materialize(contexts.groupBy("h").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("rows"))
+                               .where("least = 1").select("h", "rows"))
+    one = (join_by_count(contexts, open_anchors, ["h"], "rows")
+           .select("h", "n", "one.k1", "one.k2", "one.lo"))
     # the run's windows: 16-word seeds and 64-bit window hashes together identify a window
     windows = materialize(runs.join(one, ["h", "k1", "k2", "lo"])
                           .select("h", "n", "k1", "k2", "lo", F.posexplode("w").alias("i", "w")))
-    twice = (windows.groupBy("h", "w").agg(F.sum("n").alias("times"), F.min("n").alias("least"))
-             .where("times > 1 and least = 1").select("h", "w"))
+    twice = materialize(
+        windows.groupBy("h", "w").agg(F.sum("n").alias("times"), F.min("n").alias("least"), F.count_if(F.col("n") == 1).alias("rows"))
+        .where("times > 1 and least = 1").select("h", "w", "rows"))
     start = (F.col("lo") + F.col("i")).cast("int")
-    single = (windows.where("n = 1").join(twice, ["h", "w"])
+    single = (join_by_count(windows.where("n = 1"), twice, ["h", "w"], "rows")
               .select("k1", "k2", start.alias("lo"), start.alias("hi")))
-    # two jobs, so that each join's hot keys are split by themselves
+    # a key's rows are known by count, so the joins' hot keys stay out of the shuffles
     whole, single = materialize_many(whole, single)
     return seeded, found, whole.unionByName(single)
 
