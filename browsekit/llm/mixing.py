@@ -26,6 +26,7 @@ TOPICS = {"prose": 0.93, "contact": 0.02, "legal": 0.03, "table": 0.02}
 KEEP = 0.5          # share of all tokens to keep
 SWEEPS = 60
 SEED = "mix-1"
+MAX_TARGETS = 4096  # rows of a target table
 OTHER = "other"
 
 
@@ -67,6 +68,30 @@ def rake(tokens: np.ndarray, cells: list[tuple], targets: list[Mapping[str, floa
     return np.divide(mass, tokens, out=np.zeros_like(mass), where=tokens > 0)
 
 
+def read_targets(table: DataFrame, limit: int = MAX_TARGETS) -> dict[str, dict[str, float]]:
+    """Targets from a table (margin, value, share), as keyword arguments of ``mixing_probabilities``.
+
+    ``margin`` is ``sources``, ``languages`` or ``topics``; the shares of a margin need not sum to
+    one.  A margin without rows has no targets: all its values are ``other`` and it moves nothing.
+    Other columns are ignored.  More than ``limit`` rows, another margin, a null, a repeated value
+    and a share that is not a number of zero or more are errors.
+    """
+    rows = table.select("margin", F.col("value").cast("string").alias("value"),
+                        F.col("share").cast("double").alias("share")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} targets")
+    out: dict[str, dict[str, float]] = {"sources": {}, "languages": {}, "topics": {}}
+    for margin, value, share in rows:
+        if margin not in out:
+            raise ValueError(f"unknown margin: {margin}")
+        if value is None or share is None or not 0 <= share < float("inf"):
+            raise ValueError(f"no target: {margin} {value} {share}")
+        if value in out[margin]:
+            raise ValueError(f"two targets: {margin} {value}")
+        out[margin][value] = share
+    return out
+
+
 def _value(column: Column, target: Mapping[str, float]) -> Column:
     text = column.cast("string")
     return F.when(text.isin(*target), text).otherwise(OTHER)

@@ -1,6 +1,8 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from browsekit.llm import mixing
 
@@ -55,3 +57,35 @@ def test_odd_rows_and_clashing_names(spark):
     every = Counter(map(str, docs.collect()))
     assert all(every[k] == n for k, n in Counter(map(str, kept.collect())).items())     # repeats stand or fall together
     assert mixing.sample_to_targets(empty_docs(spark)).count() == 0
+
+
+def test_targets_from_a_table(spark):
+    docs = spark.createDataFrame(
+        [(i, "x" * 400, "web" if i % 4 else "books", "xx", "law" if i % 3 else "art") for i in range(4000)],
+        "doc_id long, text string, source string, lang string, topic string")
+    table = spark.createDataFrame(
+        [("sources", "web", 1.0, 0), ("sources", "books", 1.0, 0), ("topics", "law", 3.0, 0), ("topics", "art", 2.0, 0)],
+        "margin string, value string, share double, extra int")
+    targets = mixing.read_targets(table)
+    assert targets == {"sources": {"web": 1.0, "books": 1.0}, "languages": {}, "topics": {"law": 3.0, "art": 2.0}}
+    got = mixing.mixing_probabilities(docs, topic=F.col("topic"), keep=0.3, **targets).withColumn("m", F.col("_p") * F.col("_tokens"))
+    for margin, want in (("_cell_source", {"web": 0.5, "books": 0.5}), ("_cell_lang", {"other": 1.0}),
+                         ("_cell_topic", {"law": 0.6, "art": 0.4})):
+        mass = {r[0]: r[1] for r in got.groupBy(margin).agg(F.sum("m")).collect()}
+        total = sum(mass.values())
+        assert abs(total - 0.3 * 4000 * 100) < 1
+        assert mass.keys() == want.keys() and all(abs(mass[k] / total - want[k]) < 1e-6 for k in want)
+
+
+@pytest.mark.parametrize("rows", [
+    [("owner", "a", 1.0)], [("sources", None, 1.0)], [("sources", "a", None)], [("sources", "a", -1.0)],
+    [("sources", "a", float("nan"))], [("sources", "a", 1.0), ("sources", "a", 2.0)], [(None, "a", 1.0)],
+    [("topics", str(i), 1.0) for i in range(6)]])
+def test_targets_that_are_none(spark, rows):
+    with pytest.raises(ValueError):
+        mixing.read_targets(spark.createDataFrame(rows, "margin string, value string, share double"), limit=5)
+
+
+def test_an_empty_target_table(spark):
+    targets = mixing.read_targets(spark.createDataFrame([], "margin string, value string, share double"))
+    assert targets == {"sources": {}, "languages": {}, "topics": {}}
