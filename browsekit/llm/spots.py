@@ -107,6 +107,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``id_col``, fingerprint, spots (the signatures, ascending).
 
     Equal texts have equal fingerprints; texts without words (null, empty, blank) the empty one.
+    Ids are carried through, null or repeated, and repeated rows stay; other columns, whatever their
+    names, are ignored; an empty table gives an empty result.
     """
     x = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = _anchor_hashes(anchors)

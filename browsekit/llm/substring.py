@@ -279,7 +279,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def repeat_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Maximal repeats of distinct texts: k1, k2 (key of the text), first word and number of words.
 
-    Overlapping and touching windows are merged; whole copies count once.
+    Overlapping and touching windows are merged; whole copies, so also repeated rows, count once.  A null
+    text is empty and, like any text of fewer than ``length`` words, has no repeat; other columns
+    are ignored; an empty table gives an empty result.
     """
     keyed = _prepare(docs.select(text_col).withColumn("_none", F.lit(0)), "_none", text_col)
     _, _, spans = _search(keyed, length, seed)
