@@ -38,3 +38,10 @@ def test_a_small_side_is_still_broadcast_once_measured(spark, catalogue):
     # the plan of the last run is kept by its own execution: ask one that has run
     j.collect()
     assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_read_bounded_parts_of_a_shuffle(spark):
+    """About 48 MB that do not compress are read in several parts."""
+    rows = spark.range(3_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    read = rows.groupBy("a").agg(F.max("b").alias("b")).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert read >= 2
