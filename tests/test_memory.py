@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from browsekit.operators import inventory
+from browsekit.operators import factors, inventory
 from browsekit.sources.fixtures import FixtureTables
 
 
@@ -45,3 +45,20 @@ def test_tasks_read_bounded_parts_of_a_shuffle(spark):
     rows = spark.range(3_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
     read = rows.groupBy("a").agg(F.max("b").alias("b")).select(F.spark_partition_id().alias("p")).distinct().count()
     assert read >= 2
+
+
+def test_ranks_by_factors_of_one_type_are_counted_in_many_tasks(spark, monkeypatch):
+    for name, size in (("QUERY_BLOCK", 4), ("ITEM_BLOCK", 5), ("TILE", 1)):
+        monkeypatch.setattr(factors, name, size)
+    left = [[float(n % 5), 1.0] for n in range(60)]
+    item = [[float(n % 3), float(n % 4)] for n in range(70)]
+    queries = spark.createDataFrame([("pid", n, v, float(n % 7)) for n, v in enumerate(left)],
+                                    "activity_type string, q bigint, left array<double>, score double")
+    items = spark.createDataFrame([("pid", n, v) for n, v in enumerate(item)],
+                                  "activity_type string, item int, factors array<float>")
+    counted = factors.count_above(queries, items)
+    assert counted.select(F.spark_partition_id()).distinct().count() > 50       # of 15 x 14 tiles
+    got = {r.q: (r.gt, r.eq) for r in counted.groupBy("q").agg(F.sum("gt").alias("gt"), F.sum("eq").alias("eq")).collect()}
+    for n, v in enumerate(left):
+        scores = [v[0] * a + v[1] * b for a, b in item]
+        assert got[n] == (sum(s > n % 7 for s in scores), sum(s == n % 7 for s in scores))
