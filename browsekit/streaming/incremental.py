@@ -29,7 +29,7 @@ from .. import config
 from ..config import RunWindow
 from ..functions import parse
 from ..operators.features import host_filter
-from ..session import path_exists, read_file, replace_file
+from ..session import materialize, path_exists, read_file, replace_file
 from ..operators.identity import attach_email, restrict_single_email
 from ..sources.fixtures import derive_page_views
 
@@ -109,13 +109,19 @@ def hourly_features(clicks: DataFrame, identity: DataFrame, hosts=config.HOSTS,
     salted: a uuid's clicks go to ``salts`` tasks by a hash of the click, and each of
     its (few) identity rows to all of them.
     """
+    return _hourly_features(clicks, restrict_single_email(identity), hosts, lateness, salts)
+
+
+def _hourly_features(clicks: DataFrame, single: DataFrame, hosts=config.HOSTS,
+                     lateness: str = "2 hours", salts: int = 8) -> DataFrame:
+    """``hourly_features`` on identity rows that are restricted to single-email uuids already."""
     c = host_filter(clicks, hosts).select(
         "user_uuid", "timestamp",
         F.timestamp_millis("timestamp").alias("event_time"),
         (parse.category_key() != "").alias("_is_cat"),
         (parse.product_key() != "").alias("_is_pdp"),
         F.pmod(F.xxhash64("timestamp", "query_string"), F.lit(salts)).cast("int").alias("_salt"))
-    ids = restrict_single_email(identity).select(
+    ids = single.select(
         F.col("uuid").alias("user_uuid"), "email",
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     per_time = (c.join(ids, ["user_uuid", "_salt"]).withWatermark("event_time", lateness)
@@ -139,8 +145,12 @@ def _start(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
 def start_hourly_features(clicks: DataFrame, identity: DataFrame,
                           out_path: str, checkpoint: str) -> StreamingQuery:
     """Run R2 once over the available part of a click stream (``availableNow``), appending closed
-    hours to one parquet table that serves as partials and as distinct counts."""
-    return _start(hourly_features(clicks, identity), out_path, checkpoint)
+    hours to one parquet table that serves as partials and as distinct counts.
+
+    The static side of a stream is computed anew in every micro-batch, also in the last one,
+    which has no clicks and only closes hours.  So the single-email identity is written once,
+    as it is when the run starts, and the batches read that table."""
+    return _start(_hourly_features(clicks, materialize(restrict_single_email(identity))), out_path, checkpoint)
 
 
 def start_hourly_partials(clicks: DataFrame, identity: DataFrame,

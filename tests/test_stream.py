@@ -186,3 +186,19 @@ def test_a_hot_uuid_is_split_by_the_salted_join(spark):
     salt = F.pmod(F.xxhash64("timestamp", "query_string"), F.lit(8))
     shares = [r["count"] for r in views.where("user_uuid = 'hot'").groupBy(salt).count().collect()]
     assert len(shares) == 8 and max(shares) < 2 * sum(shares) / 8
+
+
+def test_the_identity_is_computed_once_and_not_in_every_batch(spark, tmp_path):
+    """Micro-batches read a written identity; a uuid of two emails stays out, a repeated row counts twice."""
+    views = [("u1", 1704067200000 + 60_000 * n, "s", "shop.example", "pid=1_01", "") for n in (0, 1, 2, 360)]
+    views += [("u2", 1704067200000, "s", "shop.example", "cgid=pumps", "")]      # minute 360 closes the first hour
+    columns = "user_uuid string, timestamp bigint, session_id string, host string, query_string string, url string"
+    spark.createDataFrame(views, columns).write.parquet(f"{tmp_path}/in")
+    ids = spark.createDataFrame([("u1", "a@x"), ("u1", "a@x"), ("u2", "b@x"), ("u2", "c@x"), (None, "d@x")],
+                                "uuid string, email string")
+    q = incremental.start_hourly_features(spark.readStream.schema(columns).parquet(f"{tmp_path}/in"), ids,
+                                          f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    q.awaitTermination()
+    assert "count_emails" not in q._jsq.explainInternal(True)
+    out = spark.read.parquet(f"{tmp_path}/out").select("email", "cgid_count", "pdp_count", "views", "distinct_views")
+    assert [tuple(r) for r in out.collect()] == [("a@x", 0, 6, 6, 3)]
