@@ -47,6 +47,13 @@ def test_tasks_read_bounded_parts_of_a_shuffle(spark):
     assert read >= 2
 
 
+def test_a_shuffle_below_the_advisory_size_still_uses_the_cores(spark):
+    """About 24 MB, two parts of the advisory size, are read by all four cores of the test session."""
+    rows = spark.range(1_500_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    read = rows.groupBy("a").agg(F.max("b").alias("b")).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert read >= 4
+
+
 def test_ranks_by_factors_of_one_type_are_counted_in_many_tasks(spark, monkeypatch):
     for name, size in (("QUERY_BLOCK", 4), ("ITEM_BLOCK", 5), ("TILE", 1)):
         monkeypatch.setattr(factors, name, size)
