@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import Texts, Words, arrow_map, byte_table, in_share, mix, slices, span_hash
+from .text import Texts, Words, arrow_map, bound_batches, byte_table, in_share, mix, slices, span_hash
 
 # Common words of the four languages of the corpus.
 ANCHORS = (
@@ -201,7 +201,7 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 held = (meta[-1], raw[-1])
                 yield _compare(meta, raw, known, chain, distance, id_type.field(0).type)
 
-    return dealt.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return bound_batches(dealt).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def _arrow_type(docs: DataFrame, column: str):

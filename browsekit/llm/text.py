@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
+BATCH_BYTES = 2 << 20   # bytes of rows that Spark sends a Python worker at a time, at most (or one row)
 _P1, _P2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93   # odd multipliers of the rolling hashes
 BLOCK = 1 << 16     # values hashed at a time: what a hash holds beside its result does not grow with a text
 U64 = np.uint64
@@ -198,6 +199,14 @@ def slices(array: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = to
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends rows to Python in batches of at most ``BATCH_BYTES``.  Spark's
+    own bounds (10,000 rows, 64 MB) let each task hold whole partitions of texts, in the JVM beside
+    its heap and again in the worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, Texts], dict], schema: str,
               text_col: str, keep: tuple[str, ...] = (), max_bytes: int = SLICE_BYTES,
               per_task: bool = False) -> DataFrame:
@@ -220,7 +229,7 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, Texts], dict], sche
                        for f in new.fields)],
                     names=[*keep, *(f.name for f in new.fields)])
 
-    return df.mapInArrow(run, out)
+    return bound_batches(df).mapInArrow(run, out)
 
 
 def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
