@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from browsekit.llm import spots
+from browsekit.llm import repetition, spots
 from browsekit.llm.text import BATCH_BYTES, arrow_map
 
 ROW = 20_000        # 400 rows of one partition: 8 MB, well under 10,000 rows and 64 MB
@@ -27,3 +27,12 @@ def test_fingerprints_ask_for_bounded_batches_and_keep_every_row(spark):
     out = spots.neighbour_likeness(_texts(spark))
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(BATCH_BYTES)
     assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == list(range(400))
+
+
+def test_the_rows_that_pass_the_quality_rules_come_from_bounded_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(100)), lambda i: F.concat(F.lit("w"), i + 1000 * F.col("id"))), " ").alias("text"))
+    out = repetition.drop_repetitive(docs)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(BATCH_BYTES)
+    assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == list(range(400))
